@@ -1,7 +1,372 @@
-"""Sequence preparation and evaluation tables (J-1 … J-11, I-9)."""
+"""Sequence preparation and evaluation tables (J-1 … J-11, I-9).
+
+Token sequences are built with array expressions on each row (no UDF);
+windows over a probe's history use ``ordering.ordered_index`` and a
+partial aggregate per (probe, size, window), so a hot probe is never one
+task. Window token lists are bounded by the window size (<= 128 rows).
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.time import r6
+from .ordering import ordered_index
+from .quantiles import exact_quantiles
+
+# Token vocabulary of the measurement language (ids are ours;
+# the structure follows the design notes). Order of structural tokens:
+# START, END, SRC, DST, V4, V6, LATENCY, TIMESTAMP, then PAD.
+START, END, SRC, DST, V4, V6, LATENCY, TIMESTAMP, PAD = 0, 1, 2, 3, 4, 5, 6, 7, 8
+SHORT_MIN = 9                      # SHORT(v) = 9 + v, v in 0..65535
+SHORT_MAX = SHORT_MIN + 65535
+LATENCY_MIN = SHORT_MAX + 1        # 1024 latency buckets
+LATENCY_MAX = LATENCY_MIN + 1023
+TIMESTAMP_MIN = LATENCY_MAX + 1    # 1024 time buckets
+TIMESTAMP_MAX = TIMESTAMP_MIN + 1023
+VOCAB_SIZE = TIMESTAMP_MAX + 1
+LAT_SCALE = 94.0                   # log-scale: ln(1 + 51,083 ms) * 94 < 1024
+TIME_BUCKET_SECONDS = 600          # time-of-week in 10-minute buckets (1008)
+
+# IPv4 byte-sequence variant (262 tokens).
+BYTE_SUCCESS, BYTE_FAIL, BYTE_SEP, BYTE_TEMPORAL, BYTE_NO_TEMPORAL, BYTE_PAD = 256, 257, 258, 259, 260, 261
+CONDITIONS = ["TEMPORAL", "NO_TEMPORAL"]
+WINDOW_SIZES = [20, 40, 80, 128]
+
+STRUCT_NAMES = ["START", "END", "SRC", "DST", "V4", "V6", "LATENCY", "TIMESTAMP", "PAD"]
+
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+# ---------------------------------------------------------------- J-2
+def latency_token(avg="avg") -> Column:
+    """J-2: latency -> LATENCY_MIN + bucket; bucket = clip(floor(ln(1+x)*94), 1, 1023),
+    failed measurement (avg <= 0 or NULL) -> bucket 0."""
+    x = _c(avg).cast("double")
+    b = F.least(F.lit(1023), F.greatest(F.lit(1), F.floor(F.log(F.lit(1.0) + x) * LAT_SCALE)))
+    return (F.lit(LATENCY_MIN) + F.when(x > 0, b).otherwise(F.lit(0))).cast("int")
+
+
+def time_token(ts="ts") -> Column:
+    """J-2: unix seconds -> TIMESTAMP_MIN + 10-minute time-of-week bucket (Monday 00:00 = 0)."""
+    tow = (_c(ts) + 3 * 86400) % 604800
+    return (F.lit(TIMESTAMP_MIN) + F.floor(tow / TIME_BUCKET_SECONDS)).cast("int")
+
+
+def _v4_shorts(x: Column) -> Column:
+    return F.array((F.lit(SHORT_MIN) + F.floor(x / 65536)).cast("int"),
+                   (F.lit(SHORT_MIN) + x % 65536).cast("int"))
+
+
+def _v6_shorts(b: Column) -> Column:
+    h = F.hex(b)
+    return F.array(*[(F.lit(SHORT_MIN) + F.conv(F.substring(h, 4 * i + 1, 4), 16, 10).cast("int")).cast("int")
+                     for i in range(8)])
+
+
+def _ip_block(marker: int, is_v6: Column, v4: Column, v6: Column) -> Column:
+    return F.when(is_v6, F.concat(F.array(F.lit(marker), F.lit(V6)), _v6_shorts(v6))) \
+            .otherwise(F.concat(F.array(F.lit(marker), F.lit(V4)), _v4_shorts(v4)))
+
+
+def addresses_known(opt: DataFrame) -> DataFrame:
+    """Rows whose source and destination can be written as tokens."""
+    src_ok = (F.col("src_is_ipv6") & F.col("src_ipv6_bytes").isNotNull()) | \
+             (~F.col("src_is_ipv6") & (F.col("src_ipv4_int") > 0))
+    dst_ok = (F.col("dst_is_ipv6") & F.col("dst_ipv6_bytes").isNotNull()) | \
+             (~F.col("dst_is_ipv6") & (F.col("dst_ipv4_int") > 0))
+    return opt.where(F.coalesce(src_ok, F.lit(False)) & F.coalesce(dst_ok, F.lit(False)))
+
+
+# ---------------------------------------------------------------- J-1
+def tokenize(opt: DataFrame, seed: int = 42, with_timestamp: bool = True) -> DataFrame:
+    """J-1: one token sequence per measurement of the optimized table:
+    START, then the SRC, DST, LATENCY (and TIMESTAMP) blocks in a per-row
+    permutation seeded by md5(seed|prb_id|ts|dst|field), then END.
+    Adds ``tokens array<int>`` and ``length int``."""
+    src = _ip_block(SRC, F.col("src_is_ipv6"), F.col("src_ipv4_int"), F.col("src_ipv6_bytes"))
+    dst = _ip_block(DST, F.col("dst_is_ipv6"), F.col("dst_ipv4_int"), F.col("dst_ipv6_bytes"))
+    lat = F.array(F.lit(LATENCY), latency_token("avg"))
+    blocks = [("src", src), ("dst", dst), ("lat", lat)]
+    if with_timestamp:
+        blocks.append(("ts", F.array(F.lit(TIMESTAMP), time_token("ts"))))
+
+    def key(name):
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("prb_id").cast("string"),
+                                 F.col("ts").cast("string"), F.col("dst_addr_display"), F.lit(name)))
+    arr = F.array(*[F.struct(key(n).alias("h"), b.alias("b")) for n, b in blocks])
+    body = F.flatten(F.transform(F.array_sort(arr), lambda s: s["b"]))
+    tokens = F.concat(F.array(F.lit(START)), body, F.array(F.lit(END)))
+    return addresses_known(opt).withColumn("tokens", tokens).withColumn("length", F.size("tokens"))
+
+
+# ---------------------------------------------------------------- J-3
+def byte_sequence(opt_v4: DataFrame) -> DataFrame:
+    """J-3: IPv4 variant: 4 source bytes, 4 destination bytes, SUCCESS/FAIL
+    (10 discrete tokens per measurement incl. the separator)."""
+    def bytes_of(x):
+        return [(F.floor(x / (1 << s)) % 256).cast("int") for s in (24, 16, 8, 0)]
+    ok = F.when((F.col("sent") == F.col("rcvd")) & (F.col("avg") > 0), F.lit(BYTE_SUCCESS)).otherwise(F.lit(BYTE_FAIL))
+    toks = F.array(*bytes_of(F.col("src_ipv4_int")), *bytes_of(F.col("dst_ipv4_int")), ok, F.lit(BYTE_SEP))
+    return opt_v4.withColumn("byte_tokens", toks)
+
+
+# ---------------------------------------------------------------- J-4
+def decode_tokens(tokens="tokens") -> Column:
+    """J-4: token ids -> names by range."""
+    def name(t):
+        out = F.when(t == START, "START")
+        for i, n in enumerate(STRUCT_NAMES[1:], 1):
+            out = out.when(t == i, n)
+        return (out.when(t.between(SHORT_MIN, SHORT_MAX), F.concat(F.lit("SHORT("), (t - SHORT_MIN).cast("string"), F.lit(")")))
+                   .when(t.between(LATENCY_MIN, LATENCY_MAX), F.concat(F.lit("LAT("), (t - LATENCY_MIN).cast("string"), F.lit(")")))
+                   .when(t.between(TIMESTAMP_MIN, TIMESTAMP_MAX), F.concat(F.lit("TIME("), (t - TIMESTAMP_MIN).cast("string"), F.lit(")")))
+                   .otherwise(F.concat(F.lit("UNKNOWN("), t.cast("string"), F.lit(")"))))
+    return F.transform(_c(tokens), name)
+
+
+# ---------------------------------------------------------------- J-5
+def validate_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """J-5: list of violated rules per row (empty when valid): first START,
+    last END, all ids in vocabulary, contains SRC, DST and LATENCY."""
+    t = F.col(tokens)
+    checks = [
+        (F.try_element_at(t, F.lit(1)) != START, "first token is not START"),
+        (F.try_element_at(t, F.lit(-1)) != END, "last token is not END"),
+        (~F.forall(t, lambda x: (x >= 0) & (x < VOCAB_SIZE)), "token outside vocabulary"),
+        (~F.array_contains(t, SRC), "missing SRC"),
+        (~F.array_contains(t, DST), "missing DST"),
+        (~F.array_contains(t, LATENCY), "missing LATENCY"),
+    ]
+    v = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(msg)) for c, msg in checks]),
+                 lambda x: x.isNotNull())
+    return df.withColumn("violations", v).withColumn("valid", F.size(v) == 0)
+
+
+# ---------------------------------------------------------------- J-6
+def token_stats(tok: DataFrame) -> DataFrame:
+    """J-6: sequence length min/max/mean/median, total and distinct tokens,
+    and tokens per class (structural, short, latency, timestamp)."""
+    lens = tok.agg(F.count(F.lit(1)).alias("n_sequences"), F.min("length").alias("min_length"),
+                   F.max("length").alias("max_length"), r6(F.avg("length")).alias("mean_length"),
+                   F.sum("length").cast("bigint").alias("total_tokens"))
+    med = exact_quantiles(tok, [], "length", {"median_length": 0.5})
+    t = tok.select(F.explode("tokens").alias("t"))
+    cls = t.agg(F.count_distinct("t").alias("unique_tokens"),
+                F.count_if(F.col("t") <= PAD).alias("structural"),
+                F.count_if(F.col("t").between(SHORT_MIN, SHORT_MAX)).alias("short"),
+                F.count_if(F.col("t").between(LATENCY_MIN, LATENCY_MAX)).alias("latency"),
+                F.count_if(F.col("t").between(TIMESTAMP_MIN, TIMESTAMP_MAX)).alias("timestamp"))
+    k = F.lit(0).alias("_k")
+    return (lens.select("*", k).join(med.select(r6("median_length").alias("median_length"), k), "_k")
+                .join(cls.select("*", k), "_k").drop("_k"))
+
 
+# ---------------------------------------------------------------- J-7
+def pad_and_mask(df: DataFrame, max_length: int, tokens: str = "tokens") -> DataFrame:
+    """J-7: pad sequences shorter than ``max_length`` with PAD, with a
+    boolean attention mask (True on real tokens) and the real length.
+    Longer sequences are kept whole (no truncation) with a full mask."""
+    t = F.col(tokens)
+    n = F.size(t)
+    padded = F.concat(t, F.array_repeat(F.lit(PAD), F.greatest(F.lit(0), F.lit(max_length) - n)))
+    mask = F.transform(padded, lambda x, i: i < n)
+    return df.withColumn("padded", padded).withColumn("attention_mask", mask).withColumn("lengths", n)
+
+
+# ---------------------------------------------------------------- J-8
+def split(opt: DataFrame, train_share_hex: str = "b333") -> DataFrame:
+    """J-8: probe split by md5(prb_id) (< 'b333' ≈ 70 % train probes) and a
+    day index from the table's first timestamp: train probes give days 1-5
+    to 'train' and day 6 to 'val'; held-out probes give day 7 to 'test';
+    every other row is 'unused'."""
+    t0 = opt.agg(F.min("ts").alias("t0"))
+    k = F.lit(0).alias("_k")
+    j = opt.select("*", k).join(F.broadcast(t0.select("t0", k)), "_k").drop("_k")
+    day = (F.floor((F.col("ts") - F.col("t0")) / 86400) + 1).cast("bigint")
+    train_probe = F.md5(F.col("prb_id").cast("string")) < F.lit(train_share_hex)
+    lab = (F.when(train_probe & day.between(1, 5), "train").when(train_probe & (day == 6), "val")
+            .when(~train_probe & (day == 7), "test").otherwise("unused"))
+    return j.withColumn("day", day).withColumn("split", lab).drop("t0")
+
+
+# ---------------------------------------------------------------- I-9
+def training_windows(df: DataFrame, key: str = "prb_id", sizes: list[int] | None = None,
+                     tiebreak: list[str] | None = None) -> DataFrame:
+    """I-9: per probe in ts order, windows of each size with stride size/2,
+    ``start in range(0, n - size, stride)``; each window in both conditions.
+    Output: key, size, wid, condition, n, first_ts, last_ts, mean_latency,
+    success_pct."""
+    sizes = sizes or WINDOW_SIZES
+    tiebreak = tiebreak or ["dst_addr_display", "avg"]
+    idx = ordered_index(df, [key], "ts", tiebreak)
+    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    idx = idx.join(n, key)
+    p = F.col("rn") - 1
+    parts = []
+    for s in sizes:
+        st = s // 2
+        w = F.explode(F.array(F.floor(p / st), F.floor(p / st) - 1)).alias("wid")
+        parts.append(idx.select(key, "ts", "avg", "sent", "rcvd", "_n", F.lit(s).alias("size"), w)
+                        .where((F.col("wid") >= 0) & (F.col("wid") * st < F.col("_n") - s)))
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x)
+    ok = (F.col("sent") == F.col("rcvd")) & (F.col("avg") > 0)
+    a = u.groupBy(key, "size", "wid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        r6(F.avg(F.col("avg").cast("double"))).alias("mean_latency"),
+        r6(F.count_if(ok) * 100.0 / F.count(F.lit(1))).alias("success_pct"))
+    return a.select(key, F.col("size").cast("bigint").alias("size"), F.col("wid").cast("bigint").alias("wid"),
+                    F.explode(F.array(*[F.lit(c) for c in CONDITIONS])).alias("condition"),
+                    "n", "first_ts", "last_ts", "mean_latency", "success_pct")
+
+
+def window_sequences(opt_v4: DataFrame, key: str = "prb_id", sizes: list[int] | None = None) -> DataFrame:
+    """I-9 + J-3: the byte-token sequence of every window: condition token,
+    then each measurement's 10 tokens in ts order (<= 128 rows per window)."""
+    sizes = sizes or WINDOW_SIZES
+    b = byte_sequence(opt_v4)
+    idx = ordered_index(b, [key], "ts", ["dst_addr_display", "avg"])
+    n = b.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    idx = idx.join(n, key)
+    p = F.col("rn") - 1
+    parts = []
+    for s in sizes:
+        st = s // 2
+        w = F.explode(F.array(F.floor(p / st), F.floor(p / st) - 1)).alias("wid")
+        parts.append(idx.select(key, "rn", "byte_tokens", "_n", F.lit(s).alias("size"), w)
+                        .where((F.col("wid") >= 0) & (F.col("wid") * st < F.col("_n") - s)))
+    u = parts[0]
+    for x in parts[1:]:
+        u = u.unionByName(x)
+    seq = u.groupBy(key, "size", "wid").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("rn", "byte_tokens"))),
+                              lambda s: s["byte_tokens"])).alias("body"))
+    cond = F.explode(F.array(F.lit(BYTE_TEMPORAL), F.lit(BYTE_NO_TEMPORAL))).alias("cond")
+    return seq.select(key, "size", "wid", cond, "body") \
+              .select(key, "size", "wid", F.concat(F.array("cond"), F.col("body")).alias("tokens"))
+
+
+# ---------------------------------------------------------------- J-9
+def evaluate(pred: DataFrame, y: str = "y", p: str = "pred", by: list[str] | None = None,
+             z: float = 1.96) -> DataFrame:
+    """J-9: MAE with a normal confidence interval per group (e.g. method,
+    condition, sequence length, hour of day)."""
+    by = by or []
+    err = F.abs(F.col(y) - F.col(p))
+    a = pred.where(F.col(p).isNotNull()).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(err).alias("mae"), F.stddev_samp(err).alias("sd"))
+    se = F.col("sd") / F.sqrt(F.col("n"))
+    return a.select(*by, "n", r6("mae").alias("mae"), r6(F.col("mae") - z * se).alias("ci_lo"),
+                    r6(F.col("mae") + z * se).alias("ci_hi"))
+
+
+def delta_mae(evaluated: DataFrame, cond_col: str, a: str, b: str, by: list[str] | None = None) -> DataFrame:
+    """J-9: ΔMAE = MAE(a) - MAE(b) between two conditions (or methods)."""
+    by = by or []
+    piv = evaluated.groupBy(*by).agg(F.max(F.when(F.col(cond_col) == a, F.col("mae"))).alias("mae_a"),
+                                     F.max(F.when(F.col(cond_col) == b, F.col("mae"))).alias("mae_b"))
+    return piv.withColumn("delta_mae", r6(F.col("mae_a") - F.col("mae_b")))
+
+
+def success_accuracy(pred: DataFrame, label: str = "success", p: str = "pred_success",
+                     by: list[str] | None = None) -> DataFrame:
+    """J-9: accuracy of a success/failure prediction."""
+    by = by or []
+    return pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
+                                 r6(F.avg((F.col(label) == F.col(p)).cast("double"))).alias("accuracy"))
+
+
+# ---------------------------------------------------------------- J-10
+def dataset_traits(opt: DataFrame, key: str = "prb_id") -> DataFrame:
+    """J-10: latency mean/std/min/max, success %, and rows-per-probe skew
+    (min, exact quartiles, max)."""
+    a = opt.agg(r6(F.avg(F.col("avg").cast("double"))).alias("mean_latency"),
+                r6(F.stddev_samp(F.col("avg").cast("double"))).alias("std_latency"),
+                r6(F.min(F.col("avg").cast("double"))).alias("min_latency"),
+                r6(F.max(F.col("avg").cast("double"))).alias("max_latency"),
+                r6(F.count_if(F.col("sent") == F.col("rcvd")) * 100.0 / F.count(F.lit(1))).alias("success_pct"))
+    per = opt.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    s = per.agg(F.count(F.lit(1)).alias("n_probes"), F.min("rows").alias("min_rows_per_probe"),
+                F.max("rows").alias("max_rows_per_probe"))
+    q = exact_quantiles(per, [], "rows", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    k = F.lit(0).alias("_k")
+    return (a.select("*", k).join(s.select("*", k), "_k")
+             .join(q.select(r6("p25").alias("p25_rows_per_probe"), r6("p50").alias("median_rows_per_probe"),
+                            r6("p75").alias("p75_rows_per_probe"), k), "_k").drop("_k"))
+
+
+# ---------------------------------------------------------------- J-11
+def sample_sequences(windows: DataFrame, good_probes: DataFrame, n: int, seed: int = 42,
+                     key: str = "prb_id") -> DataFrame:
+    """J-11: ``n`` windows drawn from good probes (G-16) in a seeded md5
+    order, each in both conditions (50/50 balance). Sampling is the feature."""
+    g = good_probes.where("good").select(F.col(good_probes.columns[0]).alias(key))
+    w = windows.where(F.col("condition") == CONDITIONS[0]).join(g, key, "left_semi")
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"),
+                          F.col("size").cast("string"), F.col("wid").cast("string")))
+    picked = w.withColumn("_h", h).orderBy("_h").limit(n).drop("_h", "condition")
+    return picked.select("*", F.explode(F.array(*[F.lit(c) for c in CONDITIONS])).alias("condition"))
+
+
+# ------------------------------------------------------------- registry
 def entry_queries(ping_fn, map_fn, opt_fn) -> dict:
-    return {}
+    from ..operators.filters import ipv4_only
+    from ..operators.profile import probe_quality
+
+    def q_tokenize(spark, sf):
+        t = tokenize(opt_fn(spark, sf))
+        return t.select("prb_id", "ts", "dst_addr_display", F.array_join("tokens", " ").alias("tokens"),
+                        F.col("length").cast("bigint").alias("length"))
+
+    def q_validate_tokens(spark, sf):
+        v = validate_tokens(tokenize(opt_fn(spark, sf)))
+        return v.agg(F.count(F.lit(1)).alias("n_sequences"), F.count_if("valid").alias("n_valid"))
+
+    def q_decode_tokens(spark, sf):
+        t = tokenize(opt_fn(spark, sf))
+        return t.select("prb_id", "ts", "dst_addr_display", F.array_join(decode_tokens("tokens"), " ").alias("names"))
+
+    def q_token_stats(spark, sf):
+        return token_stats(tokenize(opt_fn(spark, sf)))
+
+    def q_pad_and_mask(spark, sf):
+        t = pad_and_mask(tokenize(opt_fn(spark, sf)), 24)
+        return t.select("prb_id", "ts", "dst_addr_display", F.array_join("padded", " ").alias("padded"),
+                        F.size(F.filter("attention_mask", lambda x: x)).cast("bigint").alias("mask_true"),
+                        F.size("attention_mask").cast("bigint").alias("mask_len"), F.col("lengths").cast("bigint").alias("lengths"))
+
+    def q_byte_sequence(spark, sf):
+        b = byte_sequence(ipv4_only(opt_fn(spark, sf)))
+        return b.select("prb_id", "ts", "dst_ipv4_int", F.array_join("byte_tokens", " ").alias("byte_tokens"))
+
+    def q_split(spark, sf):
+        s = split(opt_fn(spark, sf))
+        return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("prb_id").alias("n_probes"))
+
+    def q_training_windows(spark, sf):
+        return training_windows(opt_fn(spark, sf))
+
+    def q_dataset_traits(spark, sf):
+        return dataset_traits(opt_fn(spark, sf))
+
+    def q_sample_sequences(spark, sf):
+        o = opt_fn(spark, sf)
+        good = probe_quality(o, key="prb_id", dst="dst_addr_display")
+        return sample_sequences(training_windows(o), good, 20)
+
+    def q_window_sequences(spark, sf):
+        s = window_sequences(ipv4_only(opt_fn(spark, sf)))
+        return s.select("prb_id", F.col("size").cast("bigint").alias("size"), F.col("wid").cast("bigint").alias("wid"),
+                        F.size("tokens").cast("bigint").alias("n_tokens"),
+                        F.element_at("tokens", 1).cast("bigint").alias("first_token"),
+                        F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("token_sum"))
+
+    return {"tokenize": q_tokenize, "validate_tokens": q_validate_tokens, "decode_tokens": q_decode_tokens,
+            "token_stats": q_token_stats, "pad_and_mask": q_pad_and_mask, "byte_sequence": q_byte_sequence,
+            "split": q_split, "training_windows": q_training_windows, "dataset_traits": q_dataset_traits,
+            "sample_sequences": q_sample_sequences, "window_sequences": q_window_sequences}

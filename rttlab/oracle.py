@@ -368,3 +368,117 @@ ORACLE = {
         from bl where pred is not null group by src, dst, method""", BASELINE),
     "multi_resolution_windows": q(_mrw()),
 }
+
+
+# ---------------------------------------------------------------- sequences
+def _shorts6(h: str) -> str:
+    return "[" + ", ".join(f"9 + ('0x' || substr({h}, {4 * i + 1}, 4))::int" for i in range(8)) + "]"
+
+
+def _ip_block(marker: int, v6: str, v4: str, hx: str) -> str:
+    return (f"(case when {v6} then [{marker}, 5] || {_shorts6(hx)} "
+            f"else [{marker}, 4, (9 + floor({v4} / 65536))::int, (9 + {v4} % 65536)::int] end)")
+
+
+def _key(name: str) -> str:
+    return f"md5(concat_ws('|', '42', prb_id::varchar, ts::varchar, dst_addr_display, '{name}'))"
+
+
+SEQ = f"""
+known as (select * from opt where
+          coalesce((src_is_ipv6 and src_ipv6_hex is not null) or (not src_is_ipv6 and src_ipv4_int > 0), false)
+          and coalesce((dst_is_ipv6 and dst_ipv6_hex is not null) or (not dst_is_ipv6 and dst_ipv4_int > 0), false)),
+tok as (select prb_id, ts, dst_addr_display,
+          [0] || flatten(list_transform(list_sort([
+             {{'h': {_key('src')}, 'b': {_ip_block(2, 'src_is_ipv6', 'src_ipv4_int', 'src_ipv6_hex')}}},
+             {{'h': {_key('dst')}, 'b': {_ip_block(3, 'dst_is_ipv6', 'dst_ipv4_int', 'dst_ipv6_hex')}}},
+             {{'h': {_key('lat')}, 'b': [6, (65545 + case when avg > 0 then least(1023, greatest(1, floor(ln(1.0 + avg::double) * 94.0))) else 0 end)::int]}},
+             {{'h': {_key('ts')}, 'b': [7, (66569 + floor(((ts + 259200) % 604800) / 600))::int]}}
+          ]), lambda s: s.b)) || [1] as t
+        from known)
+"""
+
+TW = """
+tw_r as (select prb_id, ts, avg, sent, rcvd,
+                row_number() over (partition by prb_id order by ts, dst_addr_display, avg) - 1 as p,
+                count(*) over (partition by prb_id) as n from opt),
+tw_x as (select r.*, s.size, unnest([p // (s.size // 2), p // (s.size // 2) - 1]) as wid
+         from tw_r r cross join (values (20), (40), (80), (128)) s(size)),
+tw as (select prb_id, size::bigint as size, wid::bigint as wid, count(*) as n, min(ts) as first_ts,
+              max(ts) as last_ts, round(avg(avg::double), 6) as mean_latency,
+              round(count_if(sent = rcvd and avg > 0) * 100.0::double / count(*), 6) as success_pct
+       from tw_x where wid >= 0 and wid * (size // 2) < n - size group by prb_id, size, wid),
+twc as (select tw.*, c.condition from tw cross join (values ('TEMPORAL'), ('NO_TEMPORAL')) c(condition))
+"""
+
+
+def _decode() -> str:
+    names = ["START", "END", "SRC", "DST", "V4", "V6", "LATENCY", "TIMESTAMP", "PAD"]
+    whens = " ".join(f"when x = {i} then '{n}'" for i, n in enumerate(names))
+    return (f"list_transform(t, lambda x: case {whens} "
+            "when x between 9 and 65544 then 'SHORT(' || (x - 9)::varchar || ')' "
+            "when x between 65545 and 66568 then 'LAT(' || (x - 65545)::varchar || ')' "
+            "when x between 66569 and 67592 then 'TIME(' || (x - 66569)::varchar || ')' "
+            "else 'UNKNOWN(' || x::varchar || ')' end)")
+
+
+def _bytes_sum(x: str) -> str:
+    return " + ".join(f"(floor({x} / {1 << s})::bigint % 256)" for s in (24, 16, 8, 0))
+
+
+ORACLE.update({
+    "tokenize": q("select prb_id, ts, dst_addr_display, array_to_string(t, ' ') as tokens, len(t)::bigint as length from tok", SEQ),
+    "validate_tokens": q("""select count(*) as n_sequences,
+        count_if(t[1] = 0 and t[-1] = 1 and list_bool_and(list_transform(t, lambda x: x >= 0 and x < 67593))
+                 and list_contains(t, 2) and list_contains(t, 3) and list_contains(t, 6)) as n_valid from tok""", SEQ),
+    "decode_tokens": q(f"select prb_id, ts, dst_addr_display, array_to_string({_decode()}, ' ') as names from tok", SEQ),
+    "token_stats": q("""select count(*) as n_sequences, min(len(t)) as min_length, max(len(t)) as max_length,
+        round(avg(len(t)), 6) as mean_length, sum(len(t))::bigint as total_tokens,
+        round(quantile_cont(len(t), 0.5), 6) as median_length,
+        (select count(distinct x) from (select unnest(t) as x from tok)) as unique_tokens,
+        (select count_if(x <= 8) from (select unnest(t) as x from tok)) as structural,
+        (select count_if(x between 9 and 65544) from (select unnest(t) as x from tok)) as short,
+        (select count_if(x between 65545 and 66568) from (select unnest(t) as x from tok)) as latency,
+        (select count_if(x between 66569 and 67592) from (select unnest(t) as x from tok)) as "timestamp"
+        from tok""", SEQ),
+    "pad_and_mask": q("""select prb_id, ts, dst_addr_display,
+        array_to_string(t || list_transform(range(greatest(0, 24 - len(t))), lambda i: 8), ' ') as padded,
+        len(t)::bigint as mask_true, greatest(24, len(t))::bigint as mask_len, len(t)::bigint as lengths from tok""", SEQ),
+    "byte_sequence": q(f"""select prb_id, ts, dst_ipv4_int, array_to_string([
+        {", ".join(f"floor(src_ipv4_int / {1 << s})::bigint % 256" for s in (24, 16, 8, 0))},
+        {", ".join(f"floor(dst_ipv4_int / {1 << s})::bigint % 256" for s in (24, 16, 8, 0))},
+        case when sent = rcvd and avg > 0 then 256 else 257 end, 258], ' ') as byte_tokens
+        from opt where src_ipv4_int is not null and src_ipv4_int > 0 and dst_ipv4_int is not null and dst_ipv4_int > 0"""),
+    "split": q("""select split, count(*) as n_rows, count(distinct prb_id) as n_probes from
+        (select prb_id, case when md5(prb_id::varchar) < 'b333' and day between 1 and 5 then 'train'
+                             when md5(prb_id::varchar) < 'b333' and day = 6 then 'val'
+                             when md5(prb_id::varchar) >= 'b333' and day = 7 then 'test' else 'unused' end as split
+         from (select prb_id, (floor((ts - (select min(ts) from opt)) / 86400) + 1)::bigint as day from opt))
+        group by split"""),
+    "training_windows": q("select * from twc", TW),
+    "dataset_traits": q("""select round(avg(avg::double), 6) as mean_latency, round(stddev_samp(avg::double), 6) as std_latency,
+        round(min(avg::double), 6) as min_latency, round(max(avg::double), 6) as max_latency,
+        round(count_if(sent = rcvd) * 100.0::double / count(*), 6) as success_pct,
+        (select count(*) from pp) as n_probes, (select min(c) from pp) as min_rows_per_probe,
+        (select max(c) from pp) as max_rows_per_probe,
+        (select round(quantile_cont(c, 0.25), 6) from pp) as p25_rows_per_probe,
+        (select round(quantile_cont(c, 0.5), 6) from pp) as median_rows_per_probe,
+        (select round(quantile_cont(c, 0.75), 6) from pp) as p75_rows_per_probe from opt""",
+        "pp as (select prb_id, count(*) as c from opt group by prb_id)"),
+    "sample_sequences": q("""select prb_id, size, wid, n, first_ts, last_ts, mean_latency, success_pct, c.condition from
+        (select * from tw where prb_id in (select prb_id from opt group by prb_id
+                                           having count(*) >= 20 and count(distinct dst_addr_display) >= 5)
+         order by md5(concat_ws('|', '42', prb_id::varchar, size::varchar, wid::varchar)) limit 20)
+        cross join (values ('TEMPORAL'), ('NO_TEMPORAL')) c(condition)""", TW),
+    "window_sequences": q(f"""select prb_id, size, wid, (1 + 10 * count(*))::bigint as n_tokens, c.cond::bigint as first_token,
+        (c.cond + sum({_bytes_sum('src_ipv4_int')} + {_bytes_sum('dst_ipv4_int')}
+                      + case when sent = rcvd and avg > 0 then 256 else 257 end + 258))::bigint as token_sum
+        from ws_x cross join (values (259), (260)) c(cond)
+        where wid >= 0 and wid * (size // 2) < n - size group by prb_id, size, wid, c.cond""",
+        """ws_r as (select *, row_number() over (partition by prb_id order by ts, dst_addr_display, avg) - 1 as p,
+                          count(*) over (partition by prb_id) as n
+                   from opt where src_ipv4_int is not null and src_ipv4_int > 0
+                              and dst_ipv4_int is not null and dst_ipv4_int > 0),
+           ws_x as (select r.*, s.size::bigint as size, unnest([p // (s.size // 2), p // (s.size // 2) - 1])::bigint as wid
+                    from ws_r r cross join (values (20), (40), (80), (128)) s(size))"""),
+})
