@@ -312,6 +312,28 @@ def q_baseline_mae(spark, sf):
     return I.baseline_mae(_edges(spark, sf), 7)
 
 
+def q_stream_ingest(spark, sf):
+    """K-1: ping rows written as raw dump files, consumed by the file stream
+    (availableNow, checkpointed) into Parquet, read back."""
+    from rttlab.session import shared_path
+    from rttlab.streaming.ingest import stream_ingest
+    src, out, ck = (shared_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck"))
+    RAW.write_raw_dump(_ping(spark, sf), src)
+    stream_ingest(spark, src, out, ck)
+    return spark.read.parquet(out)
+
+
+def q_optimize_write_readback(spark, sf):
+    """F-6 + B-1/B-4/B-5: optimized table written with a row-count check
+    against its input, then read back."""
+    from rttlab.session import shared_path
+    from rttlab.sinks.layout import write_checked
+    p = _ping(spark, sf)
+    path = shared_path(spark, "optimized")
+    write_checked(OPT.optimize_from_ping(p, _map(spark)), path, expected_rows=p.count())
+    return _hexed(spark.read.parquet(path))
+
+
 def q_multi_resolution_windows(spark, sf):
     return I.multi_resolution_windows(_ping(spark, sf))
 
@@ -377,6 +399,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "autocorr_over_time": q_autocorr_over_time,
     "baseline_mae": q_baseline_mae,
     "multi_resolution_windows": q_multi_resolution_windows,
+    "stream_ingest": q_stream_ingest,
+    "optimize_write_readback": q_optimize_write_readback,
 }
 QUERIES.update(J.entry_queries(_ping, _map, _opt))
 

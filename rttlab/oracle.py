@@ -482,3 +482,6 @@ ORACLE.update({
            ws_x as (select r.*, s.size::bigint as size, unnest([p // (s.size // 2), p // (s.size // 2) - 1])::bigint as wid
                     from ws_r r cross join (values (20), (40), (80), (128)) s(size))"""),
 })
+
+ORACLE["stream_ingest"] = ORACLE["parse_measurements"]
+ORACLE["optimize_write_readback"] = ORACLE["optimize_dataset"]
