@@ -92,4 +92,5 @@ def ingest_report(raw: DataFrame) -> DataFrame:
     ``_corrupt_record`` column)."""
     return raw.groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt_rows"))
+        F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt_rows"),
+        F.count("prb_id").alias("rows_with_probe"))

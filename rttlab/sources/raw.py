@@ -27,7 +27,9 @@ def read_raw_dump(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a raw read into (good rows, corrupt rows)."""
     bad = F.col("_corrupt_record").isNotNull()
-    return raw.where(~bad).drop("_corrupt_record"), raw.where(bad).select("_corrupt_record")
+    # the corrupt side keeps every column: Spark refuses queries that read
+    # only the corrupt-record column of a raw file
+    return raw.where(~bad).drop("_corrupt_record"), raw.where(bad)
 
 
 def read_ping(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
