@@ -20,92 +20,67 @@ def is_ipv6(ip) -> Column:
     return F.contains(_c(ip), F.lit(":"))
 
 
-def _let(value: Column, fn) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``fn`` (a lambda
-    binding) so large sub-expressions are not copied into the plan."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
+# Textual address patterns.
+V4_RE = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
+V6_FULL_RE = r"^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$"
 
 
-def _v4_value(ip: Column) -> Column:
-    """-1 for an invalid dotted quad, else its integer value."""
-    def with_parts(parts):
-        def with_octets(o):
-            ok = (F.size(o) == 4) & F.forall(o, lambda x: x.isNotNull() & x.between(0, 255))
-            val = F.aggregate(o, F.lit(0).cast("bigint"), lambda acc, x: acc * 256 + x)
-            return F.when(F.coalesce(ok, F.lit(False)), val).otherwise(F.lit(-1).cast("bigint"))
-        return _let(F.transform(parts, lambda p: p.try_cast("bigint")), with_octets)
-    return F.when(ip.isNull() | F.contains(ip, F.lit(":")), F.lit(-1).cast("bigint")) \
-            .otherwise(_let(F.split(ip, r"\.", -1), with_parts))
+def _octets(ip: Column) -> list[Column]:
+    return [F.regexp_extract(ip, V4_RE, i).try_cast("bigint") for i in range(1, 5)]
 
 
 def ipv4_valid(ip) -> Column:
     """True when ``ip`` is a dotted quad of four integers in 0..255."""
-    return _v4_value(_c(ip)) >= 0
+    ok = F.lit(True)
+    for o in _octets(_c(ip)):
+        ok = ok & o.isNotNull() & (o <= 255)
+    return F.coalesce(ok, F.lit(False))
 
 
 def ipv4_to_int(ip) -> Column:
-    """F-2: dotted quad -> a*2^24 + b*2^16 + c*2^8 + d as LongType; else 0."""
-    return _let(_v4_value(_c(ip)), lambda v: F.greatest(v, F.lit(0).cast("bigint")))
+    """F-2: dotted quad -> a*2^24 + b*2^16 + c*2^8 + d as LongType; else 0.
+    Regex extraction only, so the expression stays inside whole-stage codegen."""
+    ip = _c(ip)
+    a, b, c, d = _octets(ip)
+    return F.when(ipv4_valid(ip), a * 16777216 + b * 65536 + c * 256 + d) \
+            .otherwise(F.lit(0).cast("bigint"))
 
 
 def int_to_ipv4(x) -> Column:
     """F-3: LongType -> dotted quad; NULL when the value is NULL or 0."""
-    def text(v):
-        t = F.concat_ws(".",
-                        F.floor(v / 16777216).cast("string"),
-                        (F.floor(v / 65536) % 256).cast("string"),
-                        (F.floor(v / 256) % 256).cast("string"),
-                        (v % 256).cast("string"))
-        return F.when(v.isNotNull() & (v > 0), t)
-    return _let(_c(x), text)
+    x = _c(x)
+    t = F.concat_ws(".", F.floor(x / 16777216).cast("string"), (F.floor(x / 65536) % 256).cast("string"),
+                    (F.floor(x / 256) % 256).cast("string"), (x % 256).cast("string"))
+    return F.when(x.isNotNull() & (x > 0), t)
 
 
 def ipv6_to_bytes(ip) -> Column:
     """F-4: textual IPv6 -> 16 packed bytes; IPv4, invalid or NULL -> NULL.
 
-    Handles '::' zero compression and an embedded dotted IPv4 tail
-    (``::ffff:1.2.3.4``).
+    '::' is expanded with the number of missing zero groups, an embedded
+    dotted IPv4 tail (``::ffff:1.2.3.4``) becomes two hex groups, and every
+    group is left-padded to four digits with two regex replacements.
     """
-    empty = F.array().cast("array<string>")
-
-    def with_s(s):
-        tail = F.substring_index(s, ":", -1)
-
-        def with_v4(v4):
-            hex_tail = F.concat(F.lpad(F.hex(F.floor(v4 / 65536)), 4, "0"), F.lit(":"),
-                                F.lpad(F.hex(v4 % 65536), 4, "0"))
-            s2 = F.when(F.contains(tail, F.lit(".")),
-                        F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(tail)), hex_tail)) \
-                  .otherwise(s)
-            v4_ok = ~F.contains(tail, F.lit(".")) | (v4 >= 0)
-
-            def with_s2(t):
-                def with_halves(h):
-                    lg = F.when(F.get(h, 0) == "", empty).otherwise(F.split(F.get(h, 0), ":", -1))
-                    rg = F.when(F.get(h, 1).isNull() | (F.get(h, 1) == ""), empty) \
-                          .otherwise(F.split(F.get(h, 1), ":", -1))
-
-                    def with_sides(sides):
-                        left, right = sides.getField("l"), sides.getField("r")
-                        missing = F.lit(8) - F.size(left) - F.size(right)
-                        groups = F.when(F.size(h) == 2, F.concat(
-                            left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)) \
-                                  .otherwise(F.split(t, ":", -1))
-                        shape_ok = (F.size(h) <= 2) & F.when(F.size(h) == 2, missing >= 1).otherwise(F.lit(True))
-
-                        def with_groups(g):
-                            ok = (shape_ok & (F.size(g) == 8)
-                                  & F.forall(g, lambda x: x.rlike(r"^[0-9a-f]{1,4}$")))
-                            packed = F.unhex(F.array_join(F.transform(g, lambda x: F.lpad(x, 4, "0")), ""))
-                            return F.when(F.coalesce(ok, F.lit(False)), packed)
-                        return _let(groups, with_groups)
-                    return _let(F.struct(lg.alias("l"), rg.alias("r")), with_sides)
-                base_ok = (F.contains(s, F.lit(":")) & s.rlike(r"^[0-9a-f:.]+$")
-                           & ~F.contains(t, F.lit(":::")) & v4_ok)
-                return F.when(F.coalesce(base_ok, F.lit(False)), _let(F.split(t, "::", -1), with_halves))
-            return _let(s2, with_s2)
-        return _let(_v4_value(tail), with_v4)
-    return _let(F.lower(_c(ip)), with_s)
+    s = F.lower(_c(ip))
+    tail = F.substring_index(s, ":", -1)
+    v4_tail = F.contains(tail, F.lit("."))
+    v4 = ipv4_to_int(tail)
+    hex_tail = F.concat(F.lpad(F.hex(F.floor(v4 / 65536)), 4, "0"), F.lit(":"),
+                        F.lpad(F.hex(v4 % 65536), 4, "0"))
+    s2 = F.when(v4_tail, F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(tail)), hex_tail)) \
+          .otherwise(s)
+    n_dc = F.regexp_count(s2, F.lit("::"))
+    fill = F.lit(8) - F.regexp_count(s2, F.lit("[0-9a-f]+"))
+    expanded = F.when(n_dc == 1, F.regexp_replace(
+        F.regexp_replace(s2, "::", F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(fill, F.lit(0))))),
+        "^:|:$", "")).otherwise(s2)
+    padded = F.regexp_replace(F.regexp_replace(F.concat(F.lit(":"), expanded), ":", ":000"),
+                              ":0*([0-9a-f]{4})", "$1")
+    valid = (F.contains(s, F.lit(":")) & s.rlike(r"^[0-9a-f:.]+$")
+             & (~v4_tail | ipv4_valid(tail))
+             & (n_dc <= 1) & ((n_dc == 0) | (fill >= 1)) & ~F.contains(s2, F.lit(":::"))
+             & expanded.rlike(V6_FULL_RE))
+    return F.when(F.coalesce(valid, F.lit(False)), F.unhex(padded))
 
 
 def dst_addr_display(dst_is_v6="dst_is_ipv6", dst_addr="dst_addr",
