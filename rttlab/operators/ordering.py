@@ -65,10 +65,12 @@ def with_lags(idx: DataFrame, keys: list[str], value: str, lags: int, rn: str =
     block = max(block, lags)
     pos0 = F.col(rn) - 1
     blk = F.floor(pos0 / block)
-    main = idx.withColumn("_blk", blk).withColumn("_ctx", F.lit(False))
-    ctx = (idx.where(pos0 % block >= block - lags)
-              .withColumn("_blk", blk + 1).withColumn("_ctx", F.lit(True)))
-    u = main.unionByName(ctx)
+    home = F.struct(blk.alias("b"), F.lit(False).alias("c"))
+    copy = F.struct((blk + 1).alias("b"), F.lit(True).alias("c"))
+    # one pass: every row goes to its block, the tail rows also to the next one
+    targets = F.when(pos0 % block >= block - lags, F.array(home, copy)).otherwise(F.array(home))
+    u = idx.select("*", F.explode(targets).alias("_t")) \
+           .select("*", F.col("_t.b").alias("_blk"), F.col("_t.c").alias("_ctx")).drop("_t")
     w = Window.partitionBy(*keys, "_blk").orderBy(rn)
     lag_cols = [F.lag(value, k).over(w).alias(f"{prefix}{k}") for k in range(1, lags + 1)]
     return u.select("*", *lag_cols).where(~F.col("_ctx")).drop("_blk", "_ctx")
