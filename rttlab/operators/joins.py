@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ip import ipv4_to_int, ipv6_to_bytes, is_ipv6
-from ..session import sized_broadcast
+from ..session import broadcast_if_bounded, sized_broadcast
 from .filters import rename_edge
 
 MAP_BROADCAST_ROWS = 5_000_000
@@ -62,7 +62,7 @@ def add_source_ip(df: DataFrame, probe_map: DataFrame) -> DataFrame:
     """D-3: LEFT join ``prb_id = dst_prb_id`` on the deduplicated map; never
     multiplies rows. Unmapped probes get NULL source columns."""
     src = source_ip_columns(dedup_probe_map(probe_map))
-    src, _ = sized_broadcast(src, MAP_BROADCAST_ROWS)
+    src = broadcast_if_bounded(src, probe_map, MAP_BROADCAST_ROWS)  # dedup <= map rows
     return df.join(src, df.prb_id == src.dst_prb_id, "left").drop("dst_prb_id")
 
 
@@ -71,7 +71,7 @@ def add_source_ip_fanout(df: DataFrame, probe_map: DataFrame) -> DataFrame:
     several IPs (kept to demonstrate the bias the dedup removes)."""
     src = probe_map.select("dst_prb_id", is_ipv6("ip").alias("src_is_ipv6"),
                            ipv4_to_int("ip").alias("src_ipv4_int"))
-    src, _ = sized_broadcast(src, MAP_BROADCAST_ROWS)
+    src = broadcast_if_bounded(src, probe_map, MAP_BROADCAST_ROWS)
     return df.join(src, df.prb_id == src.dst_prb_id, "left").drop("dst_prb_id")
 
 

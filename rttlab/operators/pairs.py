@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import hour_of, pair_label, r6, weekday_of
-from ..session import sized_broadcast
 from .ordering import ordered_index
 from .quantiles import exact_quantiles
 
@@ -108,8 +107,8 @@ def histogram(df: DataFrame, value: str = "avg", bins: int = 30, keys: list[str]
     if not keys:
         d = d.withColumn("_k", F.lit(0))
     rng = d.groupBy(*kk).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    rng, _ = sized_broadcast(rng)
-    j = d.join(rng, kk)
+    # per-key range: an aggregate stage, AQE broadcasts it when small
+    j = d.join(F.broadcast(rng) if not keys else rng, kk)
     b = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
         F.least(F.width_bucket(F.col("v"), F.col("lo"), F.col("hi"), F.lit(bins)), F.lit(bins)))
     h = j.groupBy(*keys, b.cast("bigint").alias("bin"), "lo", "hi").agg(

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import r6
-from ..session import sized_broadcast
 from .ordering import group_sizes, ordered_index, with_lags
 
 PAIR = ["src", "dst"]
@@ -27,10 +26,12 @@ def _pearson(x, y):
 
 
 def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join per-group results back to rows; broadcast when the per-group
-    frame is proven small, else a shuffle join AQE can split on skew."""
-    s, _ = sized_broadcast(small)
-    return df.join(s, keys, how)
+    """Join per-group results back to rows. The per-group side is an
+    aggregate, i.e. a materialized shuffle stage: AQE measures its real size
+    and turns the join into a broadcast join when it is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
+    shuffle join whose skewed partitions AQE splits. No extra counting pass."""
+    return df.join(small, keys, how)
 
 
 def autocorr_lag1(edges: DataFrame, keys: list[str] | None = None, value: str = "avg",

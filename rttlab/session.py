@@ -100,6 +100,14 @@ def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame
     return df, False
 
 
+def broadcast_if_bounded(derived: DataFrame, source: DataFrame,
+                         max_rows: int = 2_000_000) -> DataFrame:
+    """Broadcast-hint ``derived`` when the frame it is computed from (and
+    cannot outgrow, e.g. a dedup or projection of it) holds at most
+    ``max_rows`` rows; the bound is counted on the cheaper ``source``."""
+    return F.broadcast(derived) if source.limit(max_rows + 1).count() <= max_rows else derived
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -96,3 +96,55 @@ def test_stream_ingest_once_and_incremental(spark, tmp_dir):
     RAW.write_raw_dump(p.where("prb_id >= 5"), os.path.join(src, "b"))
     K.stream_ingest(spark, src + "/*", out, ck)             # only the new files
     assert spark.read.parquet(out).count() == p.count()
+
+
+def test_probe_map_readers(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "map.csv")
+    with open(path, "w") as f:
+        f.write("ip,prb_id\n10.0.0.1,1\n2001:db8::1,1\n")
+    m = RAW.read_probe_map(spark, path).collect()
+    assert [(r.ip, r.dst_prb_id) for r in m] == [("10.0.0.1", 1), ("2001:db8::1", 1)]
+    rec = spark.createDataFrame([(1, "10.0.0.1", None), (2, "10.0.0.2", "2001:db8::2")],
+                                "id long, address_v4 string, address_v6 string")
+    rows = sorted((r.dst_prb_id, r.ip) for r in RAW.probe_map_from_records(rec).collect())
+    assert rows == [(1, "10.0.0.1"), (2, "10.0.0.2"), (2, "2001:db8::2")]
+
+
+def test_downcast_overflow_raises(spark):
+    import pytest
+    ok = spark.createDataFrame([(1, 3, 3, 1.5)], "prb_id long, sent long, rcvd long, avg double")
+    assert C.downcast(ok).schema["sent"].dataType.simpleString() == "smallint"
+    bad = spark.createDataFrame([(1, 300, 3, 1.5)], "prb_id long, sent long, rcvd long, avg double")
+    with pytest.raises(Exception):
+        C.downcast(bad).collect()
+
+
+def test_stream_windows_match_batch_for_closed_windows(spark, tmp_dir):
+    from rttlab.operators.series import multi_resolution_windows
+    p = ping(spark, SF)
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("src", "out", "ck"))
+    RAW.write_raw_dump(p, src)
+    K.stream_windows(spark, src, out, ck, "5 minutes", "30 seconds")
+    got = {(r.prb_id, r.window_start): (r.n, r.n_ok) for r in spark.read.parquet(out).collect()}
+    batch = multi_resolution_windows(C.parse_measurements(RAW.read_raw_dump(spark, src)).select(
+        "prb_id", "ts", "avg"), resolutions=[("5 minutes", "30 seconds")])
+    exp = {(r.prb_id, r.window_start): (r.n, r.n_ok) for r in batch.collect()}
+    assert got and all(exp[k] == v for k, v in got.items())   # every emitted window is final
+    last = max(r.ts for r in p.select("ts").collect())
+    closed = {k for k in exp if k[1] + 300 <= last - 3600}     # behind the watermark
+    assert closed <= set(got)
+
+
+def test_dense_latency_matrix_and_batch_write(spark, tmp_dir):
+    from rttlab.operators.profile import latency_matrix, latency_matrix_dense
+    e = spark.createDataFrame([(1, 2, 0, 10.0), (2, 1, 0, 20.0), (1, 3, 0, 5.0)],
+                              "src long, dst long, ts long, avg double")
+    nodes = spark.createDataFrame([(1,), (2,)], "node long")
+    long = latency_matrix(e, nodes)
+    dense = {r.src: r for r in latency_matrix_dense(long, [1, 2]).collect()}
+    assert dense[1]["2"] == 10.0 and dense[1]["1"] is None and dense[2]["1"] == 20.0
+    src = os.path.join(tmp_dir, "in")
+    B.write_ping(ping(spark, SF), src)
+    out = os.path.join(tmp_dir, "out")
+    B.batch_transform_write(spark, src, out, C.partial_loss, rows_per_file=100)
+    assert B.verify_readback(spark, out) == C.partial_loss(ping(spark, SF)).count()
