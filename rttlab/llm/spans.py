@@ -108,6 +108,10 @@ class Rolling:
         np.cumsum(items * self.up[:n], out=out[1:])
         return out
 
+    def raw(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of spans before mixing: for tables that spread keys themselves."""
+        return (prefix[end] - prefix[start]) * self.down[start]
+
     def span(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         x = (prefix[end] - prefix[start]) * self.down[start]
         return mix(x ^ ((end - start).astype(U64) * U64(0x9E3779B97F4A7C15)))
