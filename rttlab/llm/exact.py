@@ -107,8 +107,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dig
     stay = dedup_classes(docs, id_col, text, digest).filter("kept")
     stay = stay.select(F.col("id").alias("_id"), F.col("row_hash").alias("_row"))
     rows = docs.withColumn("_hash", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    rows = rows.join(stay, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row")))
-    return rows.dropDuplicates(["_id", "_row"]).select(*docs.columns)
+    same_id = (F.col(id_col) == F.col("_id")) | (F.col(id_col).isNull() & F.col("_id").isNull())
+    rows = rows.join(stay, (F.col("_hash") == F.col("_row")) & same_id)
+    return rows.dropDuplicates(["_hash", "_id"]).select(*docs.columns)
 
 
 def op9_exact_dedup(spark, sf: str) -> DataFrame:

@@ -171,23 +171,38 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, d: int = MAX_BITS) -> DataFrame:
-    """``id_col``, ``fingerprint`` (long) and ``component_id``: the smallest id of the documents reachable over links.
+    """``docs`` without ``text``, with ``fingerprint`` (long), ``root`` (the smallest fingerprint reachable over links)
+    and ``component_id`` (the smallest id of the documents reachable).
 
     Documents with equal fingerprints are linked; null, empty and wordless
     texts have fingerprint zero. Repeated rows keep their row. Null ids are in
     a component but name one only if all its ids are null. An empty table
-    gives an empty table.
+    gives an empty table; columns named like an output are replaced.
     """
-    prints = persist_table(fingerprints(docs.select(id_col, text), text, n=n), "simhash-prints")
+    docs = docs.select([c for c in docs.columns if c not in ("fingerprint", "root", "component_id")])
+    prints = persist_table(fingerprints(docs, text, n=n), "simhash-prints")
     groups = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first_id"))
     groups = persist_table(groups, "simhash-groups")
     roots = components(groups.select("fp"), links(groups.select("fp"), d))
     named = roots.join(groups, "fp")
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(names, "root").select(F.col("fp").alias("_fp"), "component_id")
+    named = named.join(names, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("_fp")).drop("_fp")
 
 
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, d: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the one with the smallest id.
+
+    A null id comes first; of several rows with that id, the one with the
+    smallest row hash, and of whole rows that repeat, one.
+    """
+    rows = docs.withColumn("_hash", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    classes = near_duplicates(rows.select(F.col(id_col).alias("_id"), "_hash", text), "_id", text, n, d)
+    stay = classes.groupBy("root").agg(F.min(F.struct("_id", "_hash")).alias("s")).select("s._id", F.col("s._hash").alias("_row"))
+    same_id = (F.col(id_col) == F.col("_id")) | (F.col(id_col).isNull() & F.col("_id").isNull())
+    return (rows.join(stay, (F.col("_hash") == F.col("_row")) & same_id).dropDuplicates(["_hash", "_id"]).select(*docs.columns))
+
+
 def op8_simhash(spark, sf: str) -> DataFrame:
     """Fingerprint and component of every document of ``documents``."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")

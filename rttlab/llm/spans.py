@@ -117,6 +117,11 @@ class Rolling:
         return mix(x ^ ((end - start).astype(U64) * U64(0x9E3779B97F4A7C15)))
 
 
+def mixed_span(roll: Rolling, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the same spans that is independent of :meth:`Rolling.span` in all but the polynomial."""
+    return mix(roll.raw(prefix, start, end) * U64(0xD6E8FEB86659FD93) + (end - start).astype(U64))
+
+
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(occurs twice or more, equals an earlier one) for each key."""
     n = len(keys)
