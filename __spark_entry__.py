@@ -405,6 +405,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES.update(J.entry_queries(_ping, _map, _opt))
 
 
+try:
+    from rttlab.llm import queries as _llm
+except ModuleNotFoundError as gone:  # the subpackage and its pipeline may be left out
+    if (gone.name or "").split(".")[:2] not in (["rttlab", "llm"], ["corpus_pipeline"]):
+        raise
+    _llm = None
+else:
+    def _with_defaults(query):
+        def run(spark, sf):
+            apply_defaults(spark)
+            return query(spark, sf)
+        return run
+
+    QUERIES.update({name: _with_defaults(f) for name, f in _llm.QUERIES.items()})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: ping -> resolve destination probe -> top measured pairs."""
     return q_top_pairs(spark, SF_SMOKE)
@@ -416,4 +432,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from rttlab.oracle import ORACLE
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    sql = {**ORACLE, **(_llm.ORACLE if _llm else {})}
+    return {k: v for k, v in sql.items() if k in QUERIES}
