@@ -407,7 +407,7 @@ QUERIES.update(J.entry_queries(_ping, _map, _opt))
 
 try:
     from rttlab.llm import queries as _llm
-except ModuleNotFoundError as gone:  # the subpackage and its pipeline may be left out
+except ImportError as gone:  # the subpackage and its pipeline may be left out
     if (gone.name or "").split(".")[:2] not in (["rttlab", "llm"], ["corpus_pipeline"]):
         raise
     _llm = None
