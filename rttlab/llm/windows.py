@@ -29,7 +29,6 @@ POSITION_BITS = 24
 SHARD_ITEMS = 1 << 20
 HOT_TEXTS = 2_000  # distinct texts of one anchor that a shard takes
 HOT_STEP = 16  # window starts that the texts of a hot anchor are first compared by
-BROADCAST_ROWS = 300_000  # of at most 60 bytes
 
 _ROLL, _BYTE = S.Rolling(61), S.Rolling(63)
 
@@ -274,19 +273,18 @@ def repeated_spans(docs: DataFrame, text: str, unit: Unit, hot_texts: int = HOT_
     windows of rows with less than a window are none.
     """
     all_runs = persist_table(runs(docs, text, unit), "window-runs")
-    shared = all_runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
+    # written, so that the join's sides are plain exchanges whose hot partitions Spark can split
+    shared = persist_table(all_runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor"), "window-shared")
     cand = persist_table(all_runs.join(shared, "anchor", "left_semi"), "window-candidates")
     bodies = cand.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"),
                                                 F.min_by("place", "row").alias("place"))
     bodies = persist_table(bodies, "window-bodies")
     open_ = (bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"), F.min("copies").alias("least"))
              .filter("texts > 1 and least = 1").select("anchor", (F.col("texts") > hot_texts).alias("hot")))
-    todo = bodies.join(open_, "anchor")
+    todo = bodies.join(persist_table(open_, "window-open"), "anchor")
     wanted = todo.groupBy("row", F.col("place").bitwiseAND(F.lit((1 << 14) - 1)).alias("tag")).agg(
         F.collect_list(F.struct("place", "anchor", "body", "copies", "hot")).alias("todo"))
     wanted = persist_table(wanted, "window-wanted")
-    if wanted.select(F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()[0] <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     texts = persist_table(fetch(docs, text, unit, wanted), "window-texts")
     found = persist_table(search(texts, unit), "window-found")
     L = unit.length
