@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from rttlab.session import persist_table, shared_path
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state lives in RocksDB on disk; a task closes its store when it has committed, so that the
+# stores open at once (several MB each) are as many as running tasks, not as partitions.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normalised(text):
@@ -35,9 +40,9 @@ def _registry(spark: SparkSession, landing: str, schema) -> DataFrame:
     a key's row of the latest batch is its state.
     """
     out, progress = shared_path(spark, "dedup-registry"), shared_path(spark, "dedup-progress")
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
+    before = {name: spark.conf.get(name) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         state = (spark.readStream.schema(schema).parquet(landing).groupBy("digest")
                  .agg(F.min(F.struct("id", "locator")).alias("first"), F.count(F.lit(1)).alias("rows")))
@@ -49,7 +54,8 @@ def _registry(spark: SparkSession, landing: str, schema) -> DataFrame:
                  .option("checkpointLocation", progress).trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     changes = spark.read.schema(f"digest string, first struct<id:{schema['id'].dataType.simpleString()},locator:bigint>"
                                 ", rows bigint, batch int").parquet(out)
     return (changes.groupBy("digest").agg(F.max_by(F.struct("first", "rows"), "batch").alias("s"))
