@@ -24,7 +24,7 @@ from . import spans as S
 
 BITS = 64
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
-LARGE_BUCKET = 16  # fingerprints; larger buckets are linked by their two-wildcard keys instead of pair by pair
+LARGE_BUCKET = 16  # fingerprints; larger buckets are linked by points between them instead of pair by pair
 
 
 def text_fingerprint(text: bytes, n: int = SHINGLE_WORDS) -> int:
@@ -91,9 +91,8 @@ def links(prints: DataFrame, d: int = MAX_BITS, large: int = LARGE_BUCKET) -> Da
     """(a, b) with a < b: links between the distinct fingerprints ``fp`` that connect all that differ in at most ``d`` bits.
 
     A bucket of two gives its pair, one of up to ``large`` its pairs; members of
-    larger ones are keyed again with ``d`` bits left out (all that agree
-    elsewhere are linked, so a star for each key will do). Every link is
-    verified; no two within the distance stay unconnected.
+    larger ones are linked by the points between them. Every link is verified;
+    no two within the distance stay unconnected.
     """
     keys = variants(prints, d)
     buckets = (keys.groupBy("slot", "rest").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
@@ -104,6 +103,7 @@ def links(prints: DataFrame, d: int = MAX_BITS, large: int = LARGE_BUCKET) -> Da
     wide = buckets.filter("n > 2").select(F.col("slot").alias("_s"), F.col("rest").alias("_r"), "n")
     if wide.isEmpty():
         return two.distinct()
+    wide = wide.hint("merge")  # their number grows with the corpus: no broadcast
     members = keys.join(wide, (F.col("slot") == F.col("_s")) & (F.col("rest") == F.col("_r"))).select("slot", "rest", "n", "fp")
     members = persist_table(members, "simhash-members")
     small = members.filter(F.col("n") <= large)
@@ -114,32 +114,22 @@ def links(prints: DataFrame, d: int = MAX_BITS, large: int = LARGE_BUCKET) -> Da
     return two.union(pairs).union(stars).distinct()
 
 
-def _without(masks: list[int]):
-    return F.array(*[F.lit(_signed(((1 << BITS) - 1) & ~m)).cast("long") for m in masks])
-
-
 def _stars(big: DataFrame, d: int) -> DataFrame:
-    """Links of large buckets. A pair within ``d`` bits has one segment that is equal, or differs in one bit.
+    """Links of large buckets: two fingerprints within ``d`` bits share a point on the way between them.
 
-    Equal segment: a key for every choice of ``d`` bits left out elsewhere;
-    otherwise for that bit and ``d - 1`` bits elsewhere. All that share a key
-    differ in ``d`` bits at most, so each is linked to the smallest only.
+    Every fingerprint is keyed by the points within half of ``d`` bits (rounded
+    up) around it; a point that one of them is at most ``d // 2`` away from
+    links all its fingerprints to that one. At most as many fingerprints meet
+    at a point as it has neighbours.
     """
-    out, slot = None, 0
-    for a, n in segments(d):
-        rest = [j for j in range(BITS) if not a <= j < a + n]
-        part = big.filter(F.col("slot").between(slot, slot + n - 1))
-        equal = part.select("fp").distinct().select(
-            "fp", F.explode(_without([sum(1 << j for j in c) for c in combinations(rest, d)])).alias("mask"))
-        bit = F.element_at(_without([1 << i for i in range(a, a + n)]), F.col("slot") - slot + 1)
-        one = part.select("fp", bit.alias("bit"), F.explode(_without([sum(1 << j for j in c) for c in combinations(rest, d - 1)])).alias("m"))
-        keyed = equal.union(one.select("fp", F.col("m").bitwiseAND(F.col("bit")).alias("mask")))
-        keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
-        heads = keyed.groupBy("mask", "key").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        star = keyed.join(heads, ["mask", "key"]).filter("fp <> a").select("a", F.col("fp").alias("b"))
-        out = star if out is None else out.union(star)
-        slot += n
-    return out.filter(distance("a", "b") <= d).distinct()
+    masks = [(sum(1 << j for j in c), r) for r in range((d + 1) // 2 + 1) for c in combinations(range(BITS), r)]
+    table = F.array(*[F.struct(F.lit(_signed(m)).cast("long").alias("m"), F.lit(r).alias("r")) for m, r in masks])
+    keyed = (big.select("fp").distinct().select("fp", F.explode(table).alias("x"))
+             .select("fp", F.col("fp").bitwiseXOR(F.col("x.m")).alias("point"), F.col("x.r").alias("r")))
+    heads = keyed.groupBy("point").agg(F.min(F.when(F.col("r") <= d // 2, F.col("fp"))).alias("a"), F.count(F.lit(1)).alias("n"))
+    heads = heads.filter("n > 1 and a is not null").drop("n")
+    star = keyed.join(heads, "point").filter("fp <> a").select("a", F.col("fp").alias("b"))
+    return star.filter(distance("a", "b") <= d).distinct()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
