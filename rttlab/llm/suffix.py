@@ -38,41 +38,62 @@ def smaller_than_next(x: np.ndarray) -> np.ndarray:
     return rises[np.minimum.accumulate(at[::-1])[::-1]]
 
 
-def sort_directly(keys: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+def dense(values: np.ndarray) -> np.ndarray:
+    """Rank of each value among the different values, from 1."""
+    order = np.argsort(values)
+    v = values[order]
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[True], v[1:] != v[:-1]]))
+    return rank
+
+
+class Names:
+    """Numbers that stand for the next 7 (``keys``) and 28 (``names``) characters at each place, in their order."""
+
+    STEP = 4 * _CHUNK
+
+    def __init__(self, x: np.ndarray):
+        self.n = n = len(x)
+        self.keys = chunk_keys(x)
+        names, step = dense(self.keys), _CHUNK
+        for _ in range(2):
+            after = np.zeros(n, np.int64)
+            after[:-step] = names[step:]
+            names, step = dense(names * (n + 1) + after), 2 * step
+        self.names = names
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """Names, 0 past the end."""
+        return np.where(places < self.n, self.names[np.minimum(places, self.n - 1)], 0)
+
+
+def sort_directly(names: Names, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` ordered by their suffixes' first ``depth`` characters (at least)."""
-    order = places[np.argsort(keys[places], kind="stable")]
-    value = keys[order]
-    tied = np.zeros(len(order), bool)
-    same = value[1:] == value[:-1]
-    tied[1:] |= same
-    tied[:-1] |= same
-    group = np.cumsum(np.concatenate([[True], ~same])) if len(order) else np.zeros(0, np.int64)
-    at, n = _CHUNK, len(keys)
-    where = np.flatnonzero(tied)
-    group = group[where]
-    while at < depth and len(where):
-        s = order[where] + at
-        k = np.where(s < n, keys[np.minimum(s, n - 1)], -1)
-        o = np.lexsort((k, group))
-        order[where] = order[where][o]
-        k, group = k[o], group[o]
+    value = names.names[places]
+    o = np.argsort(value)
+    order, value = places[o], value[o]
+    where, group, at = np.arange(len(order)), value, 0
+    while True:
         new = np.ones(len(where), bool)
-        new[1:] = (group[1:] != group[:-1]) | (k[1:] != k[:-1])
-        group = np.cumsum(new)
+        new[1:] = group[1:] != group[:-1]
         alone = new & np.append(new[1:], True)
-        where, group = where[~alone], group[~alone]
-        at += _CHUNK
-    return order
+        where, group = where[~alone], np.cumsum(new)[~alone]
+        at += Names.STEP
+        if at >= depth or not len(where):
+            return order
+        k = group * (names.n + 1) + names.at(order[where] + at)
+        o = np.argsort(k)
+        order[where], group = order[where][o], k[o]
 
 
-def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(x: np.ndarray, depth: int, names: Names | None = None) -> np.ndarray:
     """Places of ``x`` (characters 0..511) ordered by their suffixes, at least by the first ``depth`` characters."""
     n = len(x)
     if not n:
         return np.zeros(0, np.int64)
-    x = x.astype(np.int16)
+    x = x.astype(np.int16, copy=False)
     small = smaller_than_next(x)
-    direct = sort_directly(chunk_keys(x), np.flatnonzero(small), depth)
+    direct = sort_directly(names or Names(x), np.flatnonzero(small), depth)
     top = int(x.max()) + 1
     cuts = np.searchsorted(x[direct], np.arange(top + 1))
     induced: list[list[np.ndarray]] = [[] for _ in range(top)]
@@ -105,22 +126,29 @@ def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def adjacent_common(x: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def adjacent_common(names: Names, order: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix of each suffix with the one before it in ``order``, up to ``most``."""
-    keys, n = chunk_keys(x), len(x)
+    n = names.n
     out = np.zeros(len(order), np.int64)
     a, b, where, at = order[:-1], order[1:], np.arange(1, len(order)), 0
+    # whole names while they agree, then keys, then the characters of the differing key
     while len(where) and at < most:
-        inside = (a + at < n) & (b + at < n)
-        d = keys[np.minimum(a + at, n - 1)] ^ keys[np.minimum(b + at, n - 1)]
-        same = inside & (d == 0)
-        end = ~same
-        if end.any():
-            bits = np.frexp(d[end].astype(np.float64))[1]  # place of the highest differing bit
-            common = np.where(inside[end], (_CHUNK * _CHAR_BITS - bits) // _CHAR_BITS, 0)
-            out[where[end]] = at + np.minimum(common, _CHUNK)
+        x, y = names.at(a + at), names.at(b + at)
+        same = (x == y) & (x > 0)
+        ended = ~same
+        s, t, w = a[ended] + at, b[ended] + at, where[ended]
+        done = np.full(len(w), at)
+        for _ in range(4):
+            inside = (s < n) & (t < n)
+            d = np.where(inside, names.keys[np.minimum(s, n - 1)] ^ names.keys[np.minimum(t, n - 1)], -1)
+            equal = d == 0
+            bits = np.frexp(np.where(d > 0, d, 1).astype(np.float64))[1]  # place of the highest differing bit
+            common = np.where(d > 0, (_CHUNK * _CHAR_BITS - bits) // _CHAR_BITS, 0)
+            out[w[~equal]] = (done + common)[~equal]
+            s, t, w, done = s[equal] + _CHUNK, t[equal] + _CHUNK, w[equal], done[equal] + _CHUNK
+        out[w] = done
         a, b, where = a[same], b[same], where[same]
-        at += _CHUNK
+        at += Names.STEP
     out[where] = most
     return np.minimum(out, most)
 
@@ -131,8 +159,9 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, ask: np.ndarray, length: i
     x = np.zeros(len(items) + n, np.int16)  # a separator, 0, ends each text
     text = np.repeat(np.arange(n), np.diff(offs))
     x[np.arange(len(items)) + text] = items.astype(np.int16) + 1
-    order = suffix_array(x, length)
-    common = adjacent_common(x, order, length)
+    names = Names(x)
+    order = suffix_array(x, length, names)
+    common = adjacent_common(names, order, length)
     long = common >= length
     hit = np.zeros(len(x), bool)
     hit[order[long]] = True
