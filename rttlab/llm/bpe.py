@@ -28,7 +28,7 @@ from . import spans as S
 
 NONE = 1 << 31  # no token
 LONG_PIECE = 64  # bytes; longer pieces take the scalar table
-MAX_CACHE = 1_000_000  # distinct pieces that a Python worker remembers
+MAX_CACHE = 400_000  # distinct pieces that a Python worker remembers
 SHORT_CONTRACTIONS, LONG_CONTRACTIONS = b"stmd", (b"re", b"ve", b"ll")
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -421,7 +421,7 @@ def _encoder(path: str) -> Encoder:
 def encode_column(column, encoder: Encoder) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, id offsets) for each block of an Arrow text column."""
     data, offs = S.text_buffer(column)
-    for i, j in S.blocks(offs):
+    for i, j in S.blocks(offs, 2 * S.BLOCK_BYTES):
         yield i, j, *encoder.block(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
 
 
@@ -444,7 +444,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
                 lists = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns[:len(rest)]], lists], names=[*rest, ids])
 
-    return docs.mapInArrow(run, schema)
+    return S.map_batches(docs, run, schema)
 
 
 def list_buffer(column) -> tuple[np.ndarray, np.ndarray]:
@@ -467,7 +467,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
         v = _encoder(ranks_path).v
         for b in batches:
             flat, offs = list_buffer(b.column(at))
-            for i, j in S.blocks(offs, S.BLOCK_BYTES // 2):
+            for i, j in S.blocks(offs, S.BLOCK_BYTES):
                 part = flat[offs[i]:offs[j]]
                 sizes = v.size[part]
                 data = v.flat[_fill(v.start[part], sizes)]
@@ -475,7 +475,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
                 texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns], texts.cast(pa.binary())], names=[*rest, out])
 
-    return rows.mapInArrow(run, rows.schema.add(out, "binary"))
+    return S.map_batches(rows, run, rows.schema.add(out, "binary"))
 
 
 def decimal_digest(rows: DataFrame, ids: str = "ids", out: str = "ids_sha256") -> DataFrame:
@@ -491,7 +491,7 @@ def decimal_digest(rows: DataFrame, ids: str = "ids", out: str = "ids_sha256") -
             words = np.char.add(np.arange(top).astype(f"S{len(str(top))}"), b" ")
             width = words.dtype.itemsize
             table = words.view(np.uint8).reshape(top, width)
-            for i, j in S.blocks(offs, S.BLOCK_BYTES // 2):
+            for i, j in S.blocks(offs, S.BLOCK_BYTES):
                 rows_ = table[flat[offs[i]:offs[j]]]
                 full = rows_ != 0
                 ends = np.concatenate([[0], np.cumsum(full.sum(1))])[offs[i:j + 1] - offs[i]]
@@ -499,7 +499,7 @@ def decimal_digest(rows: DataFrame, ids: str = "ids", out: str = "ids_sha256") -
                 digests += [hashlib.sha256(text[x:max(x, y - 1)]).hexdigest() for x, y in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(digests, pa.string())], names=[*rest, out])
 
-    return rows.mapInArrow(run, rows.select(rest).schema.add(out, "string"))
+    return S.map_batches(rows, run, rows.select(rest).schema.add(out, "string"))
 
 
 def op4_bpe(spark, sf: str, ranks_path: str | None = None) -> DataFrame:

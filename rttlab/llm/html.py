@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import spans as S
 from .urls import host_of
 
 MIN_PAGES, MIN_SHARE = 10, 0.1  # a template's subtree: in so many pages of the host, and so large a share of them
@@ -246,7 +247,7 @@ def template_rows(pages: DataFrame, html: str = "html", url: str = "url", min_pa
                                              names=["_r1", "_r2", "_host", "_hash"])
 
     keyed = _keyed(pages, html, url)
-    found = keyed.select("_r1", "_r2", "_host", html).mapInArrow(run, "_r1 long, _r2 long, _host string, _hash long")
+    found = S.map_batches(keyed.select("_r1", "_r2", "_host", html), run, "_r1 long, _r2 long, _host string, _hash long")
     host_pages = keyed.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
     often = (found.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in")).filter(F.col("_in") >= min_pages)
              .join(host_pages, "_host").filter(F.col("_in") >= F.lit(min_share) * F.col("_pages")).select("_host", "_hash"))
@@ -279,7 +280,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", min_pages: i
             yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
 
-    return both.mapInArrow(run, schema)
+    return S.map_batches(both, run, schema)
 
 
 def op10_html_text(spark, sf: str) -> DataFrame:

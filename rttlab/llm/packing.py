@@ -252,7 +252,7 @@ def pack(pieces: DataFrame, order: list[str], length: str = "length", capacity:
                                              names=[*rest, "sequence_id", "offset"])
 
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return rows.mapInArrow(place, schema)
+    return S.map_batches(rows, place, schema)
 
 
 def token_pieces(docs: DataFrame, ranks_path: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -293,7 +293,7 @@ def token_pieces(docs: DataFrame, ranks_path: str, text: str = "text", capacity:
                     [*[c.take(take) for c in b.columns[:len(rest)]], pa.array(piece.astype(np.int32)), pa.array(start),
                      pa.array(length), binary.cast(pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return S.map_batches(docs, run, schema)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", ranks_path: str | None = None) -> DataFrame:

@@ -120,7 +120,7 @@ def repetition_counts(docs: DataFrame, text: str = "text", ngrams=tuple(NGRAM_LI
                     else pa.array([], pa.int64()) for n in names]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*keep, *names])
 
-    return docs.select(keep).mapInArrow(run, schema)
+    return S.map_batches(docs.select(keep), run, schema)
 
 
 def share_too_high(part: str, whole: str, limit: float):

@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint",
             values = np.array([text_fingerprint(flat[i:j], n) for i, j in zip(offs.tolist(), offs[1:].tolist(), strict=False)], np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(values.view(np.int64))], names=[*rest, out])
 
-    return docs.mapInArrow(run, docs.select(rest).schema.add(out, "long"))
+    return S.map_batches(docs, run, docs.select(rest).schema.add(out, "long"))
 
 
 def distance(a, b):

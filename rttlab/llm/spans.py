@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
+BATCH_ROWS = 1_000  # of an Arrow batch
 
 U64 = np.uint64
 _MIX1, _MIX2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -22,6 +24,12 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of BATCH_ROWS rows, so that a worker holds a few MB of texts at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from rttlab.session import shared_path
 
+from . import spans as S
+
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 1000
@@ -181,7 +183,7 @@ def read_archives(spark: SparkSession, path: str, keep_blocks: bool = True) -> D
         if rows:
             yield out()
 
-    return pieces.mapInArrow(run, RECORD_SCHEMA)
+    return S.map_batches(pieces, run, RECORD_SCHEMA)
 
 
 _TYPES = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(),
@@ -261,7 +263,7 @@ def merge_index(runs: DataFrame, parts: int) -> DataFrame:
         merged = table.take(pa.array(list(LoserTree(runs)), pa.int64())).append_column("index_row", pa.array(range(len(keys)), pa.int64()))
         yield from merged.to_batches(max_chunksize=10_000)
 
-    out = ranged.mapInArrow(merge, INDEX_SCHEMA + ", index_row long")
+    out = S.map_batches(ranged, merge, INDEX_SCHEMA + ", index_row long")
     return out.withColumn("index_part", F.spark_partition_id())
 
 

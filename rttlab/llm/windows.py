@@ -24,9 +24,9 @@ from rttlab.session import persist_table
 
 from . import spans as S
 
-SEGMENT_ITEMS = 1 << 21  # of one text at a time; segments of a longer text overlap by a window
+SEGMENT_ITEMS = 1 << 20  # of one text at a time; segments of a longer text overlap by a window
 POSITION_BITS = 24
-SHARD_ITEMS = 1 << 20
+SHARD_ITEMS = 1 << 19
 HOT_TEXTS = 2_000  # distinct texts of one anchor that a shard takes
 HOT_STEP = 16  # window starts that the texts of a hot anchor are first compared by
 
@@ -138,7 +138,7 @@ def runs(docs: DataFrame, text: str, unit: Unit) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(place), pa.array(anchor.view(np.int64)),
                                                       pa.array(body.view(np.int64))], names=["row", "place", "anchor", "body"])
 
-    return keyed(docs, text).select("_row", "_tag", text).mapInArrow(run, RUN_SCHEMA)
+    return S.map_batches(keyed(docs, text).select("_row", "_tag", text), run, RUN_SCHEMA)
 
 
 TEXT_SCHEMA = ("anchor long, body long, copies long, items binary, part int, core long, whole long, "
@@ -190,7 +190,7 @@ def fetch(docs: DataFrame, text: str, unit: Unit, wanted: DataFrame) -> DataFram
     rows = keyed(docs, text).select("_row", "_tag", text)
     want = wanted.select(F.col("row").alias("_r"), F.col("tag").alias("_t"), "todo")
     both = rows.join(want, (F.col("_row") == F.col("_r")) & (F.col("_tag") == F.col("_t")))
-    return both.select(text, "todo").mapInArrow(run, TEXT_SCHEMA)
+    return S.map_batches(both.select(text, "todo"), run, TEXT_SCHEMA)
 
 
 _TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32()]
@@ -239,7 +239,7 @@ def search(texts: DataFrame, unit: Unit) -> DataFrame:
             yield shard(rows)
 
     plain = texts.filter("part is null").select("anchor", "body", "copies", "items").dropDuplicates(["anchor", "body"])
-    return plain.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, FOUND_SCHEMA)
+    return S.map_batches(plain.repartition("anchor").sortWithinPartitions("anchor"), run, FOUND_SCHEMA)
 
 
 def search_hot(texts: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def cover(docs: DataFrame, text: str, unit: Unit, make: Callable, added: list[tu
         for b in batches:
             data, offs = S.text_buffer(b.column(len(rest)))
             spans = b.column(len(rest) + 1).to_pylist()
-            for i, j in S.blocks(offs, 8 * S.BLOCK_BYTES):
+            for i, j in S.blocks(offs, 16 * S.BLOCK_BYTES):
                 out = []
                 for k in range(i, j):
                     s = sorted((x["start"], x["start"] + x["size"]) for x in spans[k] or ())
@@ -339,4 +339,4 @@ def cover(docs: DataFrame, text: str, unit: Unit, make: Callable, added: list[tu
                 cols = [pa.array(c, out_types[t]) for c, (_, t) in zip(zip(*out, strict=True), added, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns[:len(rest)]], *cols], names=[*rest, *names])
 
-    return both.mapInArrow(run, schema)
+    return S.map_batches(both, run, schema)
