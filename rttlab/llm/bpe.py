@@ -23,6 +23,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import spans as S
 
@@ -435,7 +436,7 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     """
     rest = [c for c in docs.columns if c not in (text, ids)]
     docs = docs.select(*rest, text)
-    schema = docs.select(rest).schema.add(ids, "array<int>")
+    schema = docs.select(rest).schema.add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path)
@@ -475,7 +476,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
                 texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns], texts.cast(pa.binary())], names=[*rest, out])
 
-    return S.map_batches(rows, run, rows.schema.add(out, "binary"))
+    return S.map_batches(rows, run, rows.select("*").schema.add(out, "binary"))
 
 
 def decimal_digest(rows: DataFrame, ids: str = "ids", out: str = "ids_sha256") -> DataFrame:

@@ -251,7 +251,7 @@ def pack(pieces: DataFrame, order: list[str], length: str = "length", capacity:
             yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(sequence), pa.array(offset)],
                                              names=[*rest, "sequence_id", "offset"])
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = pieces.select("*").schema.add("sequence_id", "long").add("offset", "long")
     return S.map_batches(rows, place, schema)
 
 
