@@ -8,6 +8,7 @@ same base tables; the view text is inlined as CTEs.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -288,8 +289,8 @@ def q_autocorr_matrix(spark, sf):
 
 
 def q_matrix_coverage(spark, sf):
-    m = I.autocorr_matrix(C.successful(OPT.optimized_edges(_opt(spark, sf))), n_nodes=50)
-    return I.matrix_coverage(m, 50)
+    m = I.autocorr_matrix(C.successful(OPT.optimized_edges(_opt(spark, sf))), n_nodes=50, rounded=False)
+    return I.matrix_coverage(m)
 
 
 def q_moving_average(spark, sf):
@@ -301,7 +302,7 @@ def q_rolling_cv(spark, sf):
 
 
 def q_stability_status(spark, sf):
-    return I.stability_status(I.rolling_cv(_edges(spark, sf)))
+    return I.stability_status(I.rolling_cv(_edges(spark, sf), rounded=False))
 
 
 def q_autocorr_over_time(spark, sf):
@@ -415,6 +416,11 @@ else:
     def _with_defaults(query):
         def run(spark, sf):
             apply_defaults(spark)
+            # workers started from another folder find the package, too; a cluster gets it with --py-files
+            here = os.path.dirname(os.path.abspath(__file__))
+            path = spark.sparkContext.environment.get("PYTHONPATH", "")
+            if here not in path.split(os.pathsep):
+                spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, path]))
             return query(spark, sf)
         return run
 

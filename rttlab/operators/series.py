@@ -39,16 +39,20 @@ def autocorr_lag1(edges: DataFrame, keys: list[str] | None = None, value: str =
     """I-1: Pearson correlation of x[t] and x[t+1] in (ts, value) order per
     group; groups with fewer than ``min_n`` rows or a constant series give
     ``undefined`` (NULL by default). Output: keys, n, autocorr."""
+    a = lag1_correlation(edges, keys, value, min_n)
+    r = F.col("r") if undefined is None else F.coalesce("r", F.lit(float(undefined)))
+    return a.select(*(keys or PAIR), "n", r6(r).alias("autocorr"))
+
+
+def lag1_correlation(edges: DataFrame, keys: list[str] | None = None, value: str = "avg", min_n: int = 3) -> DataFrame:
+    """keys, n and the unrounded correlation ``r`` of :func:`autocorr_lag1`."""
     keys = keys or PAIR
     e = edges.select(*keys, "ts", value)
     idx = ordered_index(e, keys, "ts", [value])
     lagged = with_lags(idx, keys, value, 1)
     x, y = F.col("lag_1"), F.when(F.col("lag_1").isNotNull(), F.col(value))
     a = lagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _pearson(x, y).alias("r"))
-    r = F.when(F.col("n") >= min_n, F.col("r"))
-    if undefined is not None:
-        r = F.coalesce(r, F.lit(float(undefined)))
-    return a.select(*keys, "n", r6(r).alias("autocorr"))
+    return a.select(*keys, "n", F.when(F.col("n") >= min_n, F.col("r")).alias("r"))
 
 
 def autocorr_multi(edges: DataFrame, max_lag: int = 60, min_n: int = 60,
@@ -93,35 +97,35 @@ def bounded_series(edges: DataFrame, bound: int = 50, order: list[str] | None =
     return edges.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= bound).drop("_rn")
 
 
-def autocorr_matrix(succ: DataFrame, n_nodes: int = 50, bound: int = 50, min_rows: int = 10,
-                    order: list[str] | None = None) -> DataFrame:
+def autocorr_matrix(succ: DataFrame, n_nodes: int = 50, bound: int | None = None, min_rows: int = 10,
+                    order: list[str] | None = None, rounded: bool = True) -> DataFrame:
     """I-4: lag-1 autocorrelation matrix over the ``n_nodes`` most active
-    nodes, long form (src, dst, autocorr). Each off-diagonal pair uses its
-    first ``bound`` successful rows (I-3), needs ``min_rows`` of them, is
-    sorted by ts; undefined -> 0. Diagonal cells are 1.0."""
+    nodes, long form (src, dst, autocorr). Each off-diagonal pair uses all of
+    its successful rows in ts order (with ``bound`` only its first ones, I-3)
+    and needs ``min_rows`` of them; undefined -> 0. Diagonal cells are 1.0."""
     top = node_activity(succ, n_nodes)
     top_b = F.broadcast(top.select("node"))  # at most n_nodes rows
     e = (succ.join(top_b, succ.src == top_b.node, "left_semi")
              .join(top_b, succ.dst == top_b.node, "left_semi")
              .where(F.col("src") != F.col("dst")))
-    b = bounded_series(e, bound, order)
-    # the series are bounded: a plain window per pair holds <= bound rows
-    w = Window.partitionBy(*PAIR).orderBy("ts", "avg")
-    s = b.select(*PAIR, "avg", F.lag("avg", 1).over(w).alias("prev"))
-    a = s.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"),
-                             _pearson(F.col("prev"), F.when(F.col("prev").isNotNull(), F.col("avg"))).alias("r"))
-    off = a.where(F.col("n") >= min_rows).select(*PAIR, r6(F.coalesce("r", F.lit(0.0))).alias("autocorr"))
+    if bound is not None:
+        e = bounded_series(e, bound, order)
+    cell = F.coalesce("r", F.lit(0.0))
+    off = lag1_correlation(e, min_n=1).where(F.col("n") >= min_rows).select(
+        *PAIR, (r6(cell) if rounded else cell).alias("autocorr"))
     diag = top.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(1.0).alias("autocorr"))
     return off.unionByName(diag)
 
 
-def matrix_coverage(matrix: DataFrame, n_nodes: int) -> DataFrame:
-    """I-5: valid cells / N², off-diagonal count and min/max/mean."""
+def matrix_coverage(matrix: DataFrame) -> DataFrame:
+    """I-5: valid cells / N², off-diagonal count and min/max/mean. N is the
+    size of the matrix itself: its number of diagonal cells."""
     od = F.col("src") != F.col("dst")
     v = F.when(od, F.col("autocorr"))
+    n = F.count_if(~od)
     return matrix.agg(
         F.count(F.lit(1)).alias("n_valid"),
-        r6(F.count(F.lit(1)) * 100.0 / F.lit(n_nodes * n_nodes)).alias("coverage_pct"),
+        r6(F.try_divide(F.count(F.lit(1)) * 100.0, n * n)).alias("coverage_pct"),
         F.count_if(od).alias("n_offdiag"),
         r6(F.min(v)).alias("min_offdiag"), r6(F.max(v)).alias("max_offdiag"),
         r6(F.avg(v)).alias("mean_offdiag"))
@@ -153,7 +157,7 @@ def moving_average(edges: DataFrame, max_w: int = 20, keys: list[str] | None = N
 
 
 def rolling_cv(edges: DataFrame, min_chunk: int = 10, keys: list[str] | None = None,
-               value: str = "avg") -> DataFrame:
+               value: str = "avg", rounded: bool = True) -> DataFrame:
     """I-7: chunks of c = max(min_chunk, n // 20) rows with stride c // 2,
     starting at 0 while a full chunk fits; per chunk population CV
     (0 when mean <= 0) stamped at the chunk's row start + c // 2.
@@ -175,11 +179,11 @@ def rolling_cv(edges: DataFrame, min_chunk: int = 10, keys: list[str] | None = N
         F.max(F.when(p == mid, F.col("ts"))).alias("t_mid"))
     cv = F.when(F.col("mean") > 0, F.col("std") / F.col("mean")).otherwise(F.lit(0.0))
     return a.select(*keys, F.col("chunk").cast("bigint").alias("chunk"),
-                    r6((F.col("t_mid") - F.col("t0")) / 3600.0).alias("hours"), r6(cv).alias("cv"))
+                    r6((F.col("t_mid") - F.col("t0")) / 3600.0).alias("hours"), (r6(cv) if rounded else cv).alias("cv"))
 
 
 def stability_status(rcv: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """I-8: mean rolling CV per pair: < 0.3 Stable, < 0.6 Variable, else
+    """I-8: mean of the unrounded rolling CVs (``rolling_cv(rounded=False)``) per pair: < 0.3 Stable, < 0.6 Variable, else
     Highly Variable."""
     keys = keys or PAIR
     a = rcv.groupBy(*keys).agg(F.avg("cv").alias("mean_cv"))
@@ -190,11 +194,12 @@ def stability_status(rcv: DataFrame, keys: list[str] | None = None) -> DataFrame
 
 def autocorr_over_time(edges: DataFrame, min_n: int = 3) -> DataFrame:
     """I-14: lag-1 autocorrelation per pair per UTC day with the
-    t-statistic r·sqrt((n-2)/(1-r²)) (NULL when undefined)."""
+    t-statistic r·sqrt((n-2)/(1-r²)) of the unrounded r (NULL when undefined,
+    and when 1-r² is below 1e-9, where it holds no digit)."""
     e = edges.withColumn("day", F.to_date(F.timestamp_seconds("ts")))
-    a = autocorr_lag1(e, [*PAIR, "day"], min_n=min_n)
-    r = F.col("autocorr")
-    t = r * F.sqrt(F.try_divide(F.col("n") - 2.0, 1.0 - r * r))
+    a = lag1_correlation(e, [*PAIR, "day"], min_n=min_n)
+    r = F.col("r")
+    t = F.when(1.0 - r * r >= 1e-9, r * F.sqrt((F.col("n") - 2.0) / (1.0 - r * r)))
     return a.select(*PAIR, F.col("day").cast("string").alias("day"), "n",
                     r6(r).alias("autocorr"), r6(t).alias("t_stat"))
 

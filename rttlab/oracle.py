@@ -83,10 +83,12 @@ def q(body: str, extra: str = "") -> str:
     return "with " + BASE + ("," + extra if extra else "") + "\n" + body
 
 
-def lag1(src: str, keys: str, min_n: int = 3) -> str:
-    """autocorr_lag1 over relation ``src`` keyed by ``keys`` (rounded)."""
+def lag1(src: str, keys: str, min_n: int = 3, digits: int | None = 6) -> str:
+    """autocorr_lag1 over relation ``src`` keyed by ``keys``, rounded unless ``digits`` is None."""
+    r = f"case when count(*) >= {min_n} then {pearson('prev', 'avg')} end"
+    r = r if digits is None else f"round({r}, {digits})"
     return f"""(select {keys}, count(*) as n,
-        round(case when count(*) >= {min_n} then {pearson('prev', 'avg')} end, 6) as autocorr
+        {r} as autocorr
         from (select {keys}, avg, lag(avg) over (partition by {keys} order by ts, avg) as prev from {src})
         group by {keys})"""
 
@@ -121,17 +123,16 @@ rc as (select src, dst, ts, avg, p, c, st, t0, unnest(range(lo, hi + 1)) as chun
 ra as (select src, dst, chunk, t0, avg(avg) as mean, stddev_pop(avg) as std,
               max(case when p = chunk * st + c // 2 then ts end) as t_mid from rc group by src, dst, chunk, t0),
 rolling as (select src, dst, chunk::bigint as chunk, round((t_mid - t0) / 3600.0::double, 6) as hours,
-                   round(case when mean > 0 then std / mean else 0.0 end, 6) as cv from ra)
+                   case when mean > 0 then std / mean else 0.0 end as cv from ra)
 """
 
 MATRIX = f"""
 top as (select node, count(*) as activity from (select src as node from osucc union all select dst from osucc)
         where node is not null and node <> 0 group by node order by activity desc, node limit 50),
 me as (select * from osucc where src in (select node from top) and dst in (select node from top) and src <> dst),
-mb as (select * from (select *, row_number() over (partition by src, dst order by ts, avg) as rn from me) where rn <= 50),
-ms as (select src, dst, avg, lag(avg) over (partition by src, dst order by ts, avg) as prev from mb),
+ms as (select src, dst, avg, lag(avg) over (partition by src, dst order by ts, avg) as prev from me),
 mx as (select src, dst, count(*) as n, {pearson('prev', 'avg')} as r from ms group by src, dst),
-matrix as (select src, dst, round(coalesce(r, 0.0), 6) as autocorr from mx where n >= 10
+matrix as (select src, dst, coalesce(r, 0.0) as autocorr from mx where n >= 10
            union all select node, node, 1.0::double from top)
 """
 
@@ -337,8 +338,8 @@ ORACLE = {
             ag as (select src, dst, lag, count(*) as m, {pearson('x', 'y')} as r from am_p group by src, dst, lag)"""),
     "bounded_series": q("""select src, dst, ts, avg, sent, rcvd from
         (select *, row_number() over (partition by src, dst order by ts, avg) as rn from succ) where rn <= 50"""),
-    "autocorr_matrix": q("select * from matrix", MATRIX),
-    "matrix_coverage": q(f"""select count(*) as n_valid, round(count(*) * {H} / 2500, 6) as coverage_pct,
+    "autocorr_matrix": q("select src, dst, round(autocorr, 6) as autocorr from matrix", MATRIX),
+    "matrix_coverage": q(f"""select count(*) as n_valid, round(count(*) * {H} / (count_if(src = dst) * count_if(src = dst)), 6) as coverage_pct,
         count_if(src <> dst) as n_offdiag, round(min(case when src <> dst then autocorr end), 6) as min_offdiag,
         round(max(case when src <> dst then autocorr end), 6) as max_offdiag,
         round(avg(case when src <> dst then autocorr end), 6) as mean_offdiag from matrix""", MATRIX),
@@ -354,14 +355,14 @@ ORACLE = {
            ma_r as (select e.src, e.dst, e.ts, e.avg, s.t0, s.w,
                            row_number() over (partition by e.src, e.dst order by e.ts, e.avg) as rn
                     from ma_e e join ma_s s using (src, dst))"""),
-    "rolling_cv": q("select * from rolling", ROLLING),
+    "rolling_cv": q("select src, dst, chunk, hours, round(cv, 6) as cv from rolling", ROLLING),
     "stability_status": q("""select src, dst, round(avg(cv), 6) as mean_cv,
         case when avg(cv) < 0.3 then 'Stable' when avg(cv) < 0.6 then 'Variable' else 'Highly Variable' end as status
         from rolling group by src, dst""", ROLLING),
-    "autocorr_over_time": q(f"""select src, dst, day, n, autocorr,
-        round(case when 1.0 - autocorr * autocorr = 0 then null
+    "autocorr_over_time": q(f"""select src, dst, day, n, round(autocorr, 6) as autocorr,
+        round(case when 1.0 - autocorr * autocorr < 1e-9 then null
                    else autocorr * sqrt((n - 2.0) / (1.0 - autocorr * autocorr)) end, 6) as t_stat
-        from {lag1('aot', 'src, dst, day', 3)}""",
+        from {lag1('aot', 'src, dst, day', 3, None)}""",
         f"aot as (select src, dst, ts, avg, cast(cast({TS} as date) as varchar) as day from edges)"),
     "baseline_mae": q("""select src, dst, method, count(*) as n, round(avg(abs(y - pred)), 6) as mae,
         round(stddev_samp(abs(y - pred)) / sqrt(count(*)), 6) as mae_se

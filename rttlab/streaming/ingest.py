@@ -10,30 +10,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.json import extract_rtts
 from ..operators.filters import parse_measurements
 from ..schemas import RAW_DUMP
 
+CORRUPT = "_corrupt_record"
 WATERMARK = "1 hour"   # dumps arrive hourly
 
 
 def raw_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(RAW_DUMP).option("mode", "DROPMALFORMED")
+    """Every line of the dumps; one that does not parse has its text in ``_corrupt_record``."""
+    schema = T.StructType([f for f in RAW_DUMP.fields if f.name != CORRUPT] + [T.StructField(CORRUPT, T.StringType())])
+    r = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(src_dir)
 
 
 def parsed_stream(spark: SparkSession, src_dir: str) -> DataFrame:
-    """C-1 + E-1 applied to the raw file stream."""
-    p = parse_measurements(raw_stream(spark, src_dir))
+    """C-1 + E-1 applied to the lines of the raw file stream that parse."""
+    p = parse_measurements(raw_stream(spark, src_dir).where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     return p.select("prb_id", "dst_addr", "ts", "sent", "rcvd", "avg", *extract_rtts("result"))
 
 
 def stream_ingest(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str):
     """K-1: consume every file not seen before (``availableNow``) and append
-    parsed rows to Parquet; blocks until the backlog is written."""
+    parsed rows to Parquet; blocks until the backlog is written. Malformed
+    lines are appended, whole, to ``<out_dir>-rejects`` with their file."""
+    rejects = raw_stream(spark, src_dir).withColumn("file", F.col("_metadata.file_path"))
+    r = (rejects.where(F.col(CORRUPT).isNotNull()).writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint + "-rejects").option("path", out_dir + "-rejects")
+         .outputMode("append").trigger(availableNow=True).start())
+    r.awaitTermination()
     q = (parsed_stream(spark, src_dir).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out_dir)
          .outputMode("append").trigger(availableNow=True).start())
