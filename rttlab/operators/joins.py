@@ -1,8 +1,8 @@
 """Joins and set operations (D-1 … D-9).
 
-The probe map is a dimension: it is broadcast only after its row count is
-checked (``sized_broadcast``); above the bound the join falls back to a
-shuffle join that AQE can split when a probe is skewed.
+The probe map's joins carry no hint: Spark picks a broadcast by the measured
+bytes of the map, and above its threshold a shuffle join that AQE can split
+when a probe is skewed.
 """
 
 from __future__ import annotations
@@ -11,11 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ip import ipv4_to_int, ipv6_to_bytes, is_ipv6
-from ..session import broadcast_if_bounded, sized_broadcast
 from .filters import rename_edge
 
-MAP_BROADCAST_ROWS = 5_000_000
-
 
 def resolve_dst_probe(ping: DataFrame, probe_map: DataFrame) -> DataFrame:
     """D-1: LEFT join ``dst_addr = ip``, unmatched -> -1, then drop -1.
@@ -23,7 +20,7 @@ def resolve_dst_probe(ping: DataFrame, probe_map: DataFrame) -> DataFrame:
     The net effect is an inner join (Catalyst rewrites it into one). An IP
     listed for two probes fans out, as in the reference.
     """
-    m, _ = sized_broadcast(probe_map.select("ip", "dst_prb_id"), MAP_BROADCAST_ROWS)
+    m = probe_map.select("ip", "dst_prb_id")
     j = (ping.join(m, ping.dst_addr == m.ip, "left")
              .withColumn("dst_prb_id", F.coalesce(F.col("dst_prb_id"), F.lit(-1).cast("bigint")))
              .where(F.col("dst_prb_id") != -1))
@@ -32,7 +29,7 @@ def resolve_dst_probe(ping: DataFrame, probe_map: DataFrame) -> DataFrame:
 
 def resolve_dst_probe_inner(ping: DataFrame, probe_map: DataFrame) -> DataFrame:
     """D-2: INNER join ``dst_addr = ip`` -> (src, dst, ts, avg, sent, rcvd)."""
-    m, _ = sized_broadcast(probe_map.select("ip", "dst_prb_id"), MAP_BROADCAST_ROWS)
+    m = probe_map.select("ip", "dst_prb_id")
     return (ping.join(m, ping.dst_addr == m.ip, "inner")
                 .select(F.col("prb_id").alias("src"), F.col("dst_prb_id").alias("dst"),
                         "ts", "avg", "sent", "rcvd"))
@@ -62,7 +59,6 @@ def add_source_ip(df: DataFrame, probe_map: DataFrame) -> DataFrame:
     """D-3: LEFT join ``prb_id = dst_prb_id`` on the deduplicated map; never
     multiplies rows. Unmapped probes get NULL source columns."""
     src = source_ip_columns(dedup_probe_map(probe_map))
-    src = broadcast_if_bounded(src, probe_map, MAP_BROADCAST_ROWS)  # dedup <= map rows
     return df.join(src, df.prb_id == src.dst_prb_id, "left").drop("dst_prb_id")
 
 
@@ -71,7 +67,6 @@ def add_source_ip_fanout(df: DataFrame, probe_map: DataFrame) -> DataFrame:
     several IPs (kept to demonstrate the bias the dedup removes)."""
     src = probe_map.select("dst_prb_id", is_ipv6("ip").alias("src_is_ipv6"),
                            ipv4_to_int("ip").alias("src_ipv4_int"))
-    src = broadcast_if_bounded(src, probe_map, MAP_BROADCAST_ROWS)
     return df.join(src, df.prb_id == src.dst_prb_id, "left").drop("dst_prb_id")
 
 

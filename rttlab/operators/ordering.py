@@ -74,13 +74,3 @@ def with_lags(idx: DataFrame, keys: list[str], value: str, lags: int, rn: str =
     w = Window.partitionBy(*keys, "_blk").orderBy(rn)
     lag_cols = [F.lag(value, k).over(w).alias(f"{prefix}{k}") for k in range(1, lags + 1)]
     return u.select("*", *lag_cols).where(~F.col("_ctx")).drop("_blk", "_ctx")
-
-
-def with_leads_by_offset(idx: DataFrame, keys: list[str], value: str, offsets: list[int],
-                         rn: str = "rn", block: int = BLOCK_ROWS,
-                         prefix: str = "lag_") -> DataFrame:
-    """Like ``with_lags`` for an arbitrary set of positive offsets."""
-    m = max(offsets)
-    out = with_lags(idx, keys, value, m, rn, block, "_l")
-    keep = [c for c in out.columns if not c.startswith("_l")]
-    return out.select(*keep, *[F.col(f"_l{k}").alias(f"{prefix}{k}") for k in offsets])

@@ -22,18 +22,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, persist_table
 
 NBINS = 1024
 SMALL = 50_000
 
 
+def _in_ranges(d: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
+    """Rows of ``d`` with every wanted rank of their group whose value range holds them."""
+    names = ["_r", "_a", "_b", "_below"]
+    if keys:
+        j = d.join(state.select(*keys, *names), keys)
+    else:
+        # one group: at most two ranges for each probability, tested without a join
+        found = [F.struct(*[F.lit(x).alias(n) for n, x in zip(names, row, strict=True)])
+                 for row in state.select(*names).collect()]
+        ranges = F.array(*found).cast("array<struct<_r:bigint,_a:double,_b:double,_below:bigint>>")
+        j = d.select("*", F.explode(ranges).alias("_x")).select("_gk", "_v", "_x.*")
+    return j.where(F.col("_v").between(F.col("_a"), F.col("_b")))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
                     nbins: int = NBINS, small: int = SMALL, max_passes: int = 80) -> DataFrame:
     """One row per group of ``keys`` with a column per entry of ``probs``
-    (name -> probability). NULL values are ignored."""
+    (name -> probability). NULL values are ignored. The values are written
+    once to the shared folder, so that no pass computes the input again."""
     kk = list(keys) if keys else ["_gk"]
     d = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    d = persist_table(d, "quantile-values")
     if not keys:
         d = d.withColumn("_gk", F.lit(0))
     stats = d.groupBy(*kk).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_a"),
@@ -49,15 +65,14 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     def unresolved(s):
         return s.where((F.col("_cnt") > small) & (F.col("_a") < F.col("_b")))
 
-    spark = df.sparkSession
-    checkpoint_root(spark)
+    checkpoint_root(df.sparkSession)
+    state = state.checkpoint()
     for _ in range(max_passes):
         act = unresolved(state)
         if act.limit(1).count() == 0:
             break
         done = state.where(~((F.col("_cnt") > small) & (F.col("_a") < F.col("_b"))))
-        j = d.join(act.select(*kk, "_r", "_a", "_b", "_below"), kk) \
-             .where(F.col("_v").between(F.col("_a"), F.col("_b")))
+        j = _in_ranges(d, keys, act)
         bk = F.least(F.floor((F.col("_v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * nbins),
                      F.lit(nbins - 1)).cast("int")
         h = j.groupBy(*kk, "_r", "_below", bk.alias("_bk")).agg(
@@ -69,11 +84,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
             *kk, F.col("_mn").alias("_a"), F.col("_mx").alias("_b"), F.col("_c").alias("_cnt"),
             "_r", lo.alias("_below"))
         state = done.unionByName(nxt).checkpoint()
+    else:
+        raise RuntimeError(f"value ranges still hold more than {small} values after {max_passes} passes")
 
     trivial = state.where(F.col("_a") == F.col("_b")).select(*kk, "_r", F.col("_a").alias("_q"))
     rest = state.where(F.col("_a") < F.col("_b"))
-    j = d.join(rest.select(*kk, "_r", "_a", "_b", "_below"), kk) \
-         .where(F.col("_v").between(F.col("_a"), F.col("_b")))
+    j = _in_ranges(d, keys, rest)
     w = Window.partitionBy(*kk, "_r").orderBy("_v")
     picked = (j.withColumn("_i", F.row_number().over(w))
                .where(F.col("_i") == F.col("_r") - F.col("_below") + 1)

@@ -17,7 +17,7 @@ from .quantiles import exact_quantiles
 
 # Token vocabulary of the measurement language (ids are ours;
 # the structure follows the design notes). Order of structural tokens:
-# START, END, SRC, DST, V4, V6, LATENCY, TIMESTAMP, then PAD.
+# START, END, SRC, DST, V4, V6, LATENCY, TIMESTAMP, then PAD; the last id stands for an unknown address.
 START, END, SRC, DST, V4, V6, LATENCY, TIMESTAMP, PAD = 0, 1, 2, 3, 4, 5, 6, 7, 8
 SHORT_MIN = 9                      # SHORT(v) = 9 + v, v in 0..65535
 SHORT_MAX = SHORT_MIN + 65535
@@ -25,7 +25,8 @@ LATENCY_MIN = SHORT_MAX + 1        # 1024 latency buckets
 LATENCY_MAX = LATENCY_MIN + 1023
 TIMESTAMP_MIN = LATENCY_MAX + 1    # 1024 time buckets
 TIMESTAMP_MAX = TIMESTAMP_MIN + 1023
-VOCAB_SIZE = TIMESTAMP_MAX + 1
+UNKNOWN_ADDRESS = TIMESTAMP_MAX + 1
+VOCAB_SIZE = UNKNOWN_ADDRESS + 1
 LAT_SCALE = 94.0                   # log-scale: ln(1 + 51,083 ms) * 94 < 1024
 TIME_BUCKET_SECONDS = 600          # time-of-week in 10-minute buckets (1008)
 
@@ -68,24 +69,18 @@ def _v6_shorts(b: Column) -> Column:
 
 
 def _ip_block(marker: int, is_v6: Column, v4: Column, v6: Column) -> Column:
-    return F.when(is_v6, F.concat(F.array(F.lit(marker), F.lit(V6)), _v6_shorts(v6))) \
+    known = F.coalesce((is_v6 & v6.isNotNull()) | (~is_v6 & (v4 > 0)), F.lit(False))
+    return F.when(~known, F.array(F.lit(marker), F.lit(UNKNOWN_ADDRESS))) \
+            .when(is_v6, F.concat(F.array(F.lit(marker), F.lit(V6)), _v6_shorts(v6))) \
             .otherwise(F.concat(F.array(F.lit(marker), F.lit(V4)), _v4_shorts(v4)))
 
 
-def addresses_known(opt: DataFrame) -> DataFrame:
-    """Rows whose source and destination can be written as tokens."""
-    src_ok = (F.col("src_is_ipv6") & F.col("src_ipv6_bytes").isNotNull()) | \
-             (~F.col("src_is_ipv6") & (F.col("src_ipv4_int") > 0))
-    dst_ok = (F.col("dst_is_ipv6") & F.col("dst_ipv6_bytes").isNotNull()) | \
-             (~F.col("dst_is_ipv6") & (F.col("dst_ipv4_int") > 0))
-    return opt.where(F.coalesce(src_ok, F.lit(False)) & F.coalesce(dst_ok, F.lit(False)))
-
-
 # ---------------------------------------------------------------- J-1
 def tokenize(opt: DataFrame, seed: int = 42, with_timestamp: bool = True) -> DataFrame:
     """J-1: one token sequence per measurement of the optimized table:
     START, then the SRC, DST, LATENCY (and TIMESTAMP) blocks in a per-row
-    permutation seeded by md5(seed|prb_id|ts|dst|field), then END.
+    permutation seeded by md5(seed|prb_id|ts|dst|field), then END. An address
+    that is NULL or does not parse is one UNKNOWN_ADDRESS token; every row stays.
     Adds ``tokens array<int>`` and ``length int``."""
     src = _ip_block(SRC, F.col("src_is_ipv6"), F.col("src_ipv4_int"), F.col("src_ipv6_bytes"))
     dst = _ip_block(DST, F.col("dst_is_ipv6"), F.col("dst_ipv4_int"), F.col("dst_ipv6_bytes"))
@@ -100,7 +95,7 @@ def tokenize(opt: DataFrame, seed: int = 42, with_timestamp: bool = True) -> Dat
     arr = F.array(*[F.struct(key(n).alias("h"), b.alias("b")) for n, b in blocks])
     body = F.flatten(F.transform(F.array_sort(arr), lambda s: s["b"]))
     tokens = F.concat(F.array(F.lit(START)), body, F.array(F.lit(END)))
-    return addresses_known(opt).withColumn("tokens", tokens).withColumn("length", F.size("tokens"))
+    return opt.withColumn("tokens", tokens).withColumn("length", F.size("tokens"))
 
 
 # ---------------------------------------------------------------- J-3
@@ -121,7 +116,7 @@ def decode_tokens(tokens="tokens") -> Column:
         out = F.when(t == START, "START")
         for i, n in enumerate(STRUCT_NAMES[1:], 1):
             out = out.when(t == i, n)
-        return (out.when(t.between(SHORT_MIN, SHORT_MAX), F.concat(F.lit("SHORT("), (t - SHORT_MIN).cast("string"), F.lit(")")))
+        return (out.when(t == UNKNOWN_ADDRESS, "UNKNOWN_ADDRESS").when(t.between(SHORT_MIN, SHORT_MAX), F.concat(F.lit("SHORT("), (t - SHORT_MIN).cast("string"), F.lit(")")))
                    .when(t.between(LATENCY_MIN, LATENCY_MAX), F.concat(F.lit("LAT("), (t - LATENCY_MIN).cast("string"), F.lit(")")))
                    .when(t.between(TIMESTAMP_MIN, TIMESTAMP_MAX), F.concat(F.lit("TIME("), (t - TIMESTAMP_MIN).cast("string"), F.lit(")")))
                    .otherwise(F.concat(F.lit("UNKNOWN("), t.cast("string"), F.lit(")"))))
@@ -156,7 +151,7 @@ def token_stats(tok: DataFrame) -> DataFrame:
     med = exact_quantiles(tok, [], "length", {"median_length": 0.5})
     t = tok.select(F.explode("tokens").alias("t"))
     cls = t.agg(F.count_distinct("t").alias("unique_tokens"),
-                F.count_if(F.col("t") <= PAD).alias("structural"),
+                F.count_if((F.col("t") <= PAD) | (F.col("t") == UNKNOWN_ADDRESS)).alias("structural"),
                 F.count_if(F.col("t").between(SHORT_MIN, SHORT_MAX)).alias("short"),
                 F.count_if(F.col("t").between(LATENCY_MIN, LATENCY_MAX)).alias("latency"),
                 F.count_if(F.col("t").between(TIMESTAMP_MIN, TIMESTAMP_MAX)).alias("timestamp"))
@@ -183,14 +178,13 @@ def split(opt: DataFrame, train_share_hex: str = "b333") -> DataFrame:
     day index from the table's first timestamp: train probes give days 1-5
     to 'train' and day 6 to 'val'; held-out probes give day 7 to 'test';
     every other row is 'unused'."""
-    t0 = opt.agg(F.min("ts").alias("t0"))
-    k = F.lit(0).alias("_k")
-    j = opt.select("*", k).join(F.broadcast(t0.select("t0", k)), "_k").drop("_k")
-    day = (F.floor((F.col("ts") - F.col("t0")) / 86400) + 1).cast("bigint")
+    t0 = opt.agg(F.min("ts")).scalar()
+    day = (F.floor((F.col("ts") - t0) / 86400) + 1).cast("bigint")
     train_probe = F.md5(F.col("prb_id").cast("string")) < F.lit(train_share_hex)
-    lab = (F.when(train_probe & day.between(1, 5), "train").when(train_probe & (day == 6), "val")
-            .when(~train_probe & (day == 7), "test").otherwise("unused"))
-    return j.withColumn("day", day).withColumn("split", lab).drop("t0")
+    d = F.col("day")
+    lab = (F.when(train_probe & d.between(1, 5), "train").when(train_probe & (d == 6), "val")
+            .when(~train_probe & (d == 7), "test").otherwise("unused"))
+    return opt.withColumn("day", day).withColumn("split", lab)
 
 
 # ---------------------------------------------------------------- I-9

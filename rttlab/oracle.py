@@ -377,7 +377,8 @@ def _shorts6(h: str) -> str:
 
 
 def _ip_block(marker: int, v6: str, v4: str, hx: str) -> str:
-    return (f"(case when {v6} then [{marker}, 5] || {_shorts6(hx)} "
+    return (f"(case when not coalesce(({v6} and {hx} is not null) or (not {v6} and {v4} > 0), false) then [{marker}, 67593] "
+            f"when {v6} then [{marker}, 5] || {_shorts6(hx)} "
             f"else [{marker}, 4, (9 + floor({v4} / 65536))::int, (9 + {v4} % 65536)::int] end)")
 
 
@@ -386,9 +387,6 @@ def _key(name: str) -> str:
 
 
 SEQ = f"""
-known as (select * from opt where
-          coalesce((src_is_ipv6 and src_ipv6_hex is not null) or (not src_is_ipv6 and src_ipv4_int > 0), false)
-          and coalesce((dst_is_ipv6 and dst_ipv6_hex is not null) or (not dst_is_ipv6 and dst_ipv4_int > 0), false)),
 tok as (select prb_id, ts, dst_addr_display,
           [0] || flatten(list_transform(list_sort([
              {{'h': {_key('src')}, 'b': {_ip_block(2, 'src_is_ipv6', 'src_ipv4_int', 'src_ipv6_hex')}}},
@@ -396,7 +394,7 @@ tok as (select prb_id, ts, dst_addr_display,
              {{'h': {_key('lat')}, 'b': [6, (65545 + case when avg > 0 then least(1023, greatest(1, floor(ln(1.0 + avg::double) * 94.0))) else 0 end)::int]}},
              {{'h': {_key('ts')}, 'b': [7, (66569 + floor(((ts + 259200) % 604800) / 600))::int]}}
           ]), lambda s: s.b)) || [1] as t
-        from known)
+        from opt)
 """
 
 TW = """
@@ -420,7 +418,7 @@ def _decode() -> str:
             "when x between 9 and 65544 then 'SHORT(' || (x - 9)::varchar || ')' "
             "when x between 65545 and 66568 then 'LAT(' || (x - 65545)::varchar || ')' "
             "when x between 66569 and 67592 then 'TIME(' || (x - 66569)::varchar || ')' "
-            "else 'UNKNOWN(' || x::varchar || ')' end)")
+            "when x = 67593 then 'UNKNOWN_ADDRESS' else 'UNKNOWN(' || x::varchar || ')' end)")
 
 
 def _bytes_sum(x: str) -> str:
@@ -430,14 +428,14 @@ def _bytes_sum(x: str) -> str:
 ORACLE.update({
     "tokenize": q("select prb_id, ts, dst_addr_display, array_to_string(t, ' ') as tokens, len(t)::bigint as length from tok", SEQ),
     "validate_tokens": q("""select count(*) as n_sequences,
-        count_if(t[1] = 0 and t[-1] = 1 and list_bool_and(list_transform(t, lambda x: x >= 0 and x < 67593))
+        count_if(t[1] = 0 and t[-1] = 1 and list_bool_and(list_transform(t, lambda x: x >= 0 and x < 67594))
                  and list_contains(t, 2) and list_contains(t, 3) and list_contains(t, 6)) as n_valid from tok""", SEQ),
     "decode_tokens": q(f"select prb_id, ts, dst_addr_display, array_to_string({_decode()}, ' ') as names from tok", SEQ),
     "token_stats": q("""select count(*) as n_sequences, min(len(t)) as min_length, max(len(t)) as max_length,
         round(avg(len(t)), 6) as mean_length, sum(len(t))::bigint as total_tokens,
         round(quantile_cont(len(t), 0.5), 6) as median_length,
         (select count(distinct x) from (select unnest(t) as x from tok)) as unique_tokens,
-        (select count_if(x <= 8) from (select unnest(t) as x from tok)) as structural,
+        (select count_if(x <= 8 or x = 67593) from (select unnest(t) as x from tok)) as structural,
         (select count_if(x between 9 and 65544) from (select unnest(t) as x from tok)) as short,
         (select count_if(x between 65545 and 66568) from (select unnest(t) as x from tok)) as latency,
         (select count_if(x between 66569 and 67592) from (select unnest(t) as x from tok)) as "timestamp"

@@ -11,7 +11,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Session settings the library assumes (UTC timestamps, ANSI arithmetic,
 # adaptive execution with skew-join splitting and partition coalescing).
@@ -87,31 +86,3 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame, bool]:
-    """Broadcast-hint ``df`` only if it is proven to hold at most ``max_rows``.
-
-    The bound is checked with ``limit(max_rows + 1).count()`` (stops early);
-    above the bound the frame is returned unhinted so Catalyst/AQE plan a
-    shuffle join (with skew splitting) instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def broadcast_if_bounded(derived: DataFrame, source: DataFrame,
-                         max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast-hint ``derived`` when the frame it is computed from (and
-    cannot outgrow, e.g. a dedup or projection of it) holds at most
-    ``max_rows`` rows; the bound is counted on the cheaper ``source``."""
-    return F.broadcast(derived) if source.limit(max_rows + 1).count() <= max_rows else derived
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -23,3 +23,17 @@ def test_global_quantile(spark):
     df = spark.range(1, 1001).selectExpr("cast(id as double) as v")
     r = exact_quantiles(df, [], "v", {"med": 0.5}, small=10).collect()[0]
     assert r.med == pytest.approx(500.5)
+
+
+def test_global_quantile_joins_no_range_to_the_values(spark, capsys):
+    df = spark.range(2000).selectExpr("cast(id % 700 as double) as v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = exact_quantiles(df, [], "v", {"lo": 0.25, "med": 0.5}, small=50, nbins=8)
+        q.explain()
+        assert q.collect()[0].asDict() == {"lo": 166.0, "med": 333.0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan

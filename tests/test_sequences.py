@@ -36,6 +36,15 @@ def test_tokens_valid_and_padding(spark):
     assert all(r.padded == r.tokens for r in long)  # never truncated
 
 
+def test_rows_without_a_known_address_keep_their_sequence(spark):
+    opt = (_opt_rows(spark, 3).withColumn("src_is_ipv6", F.lit(None).cast("boolean"))
+           .withColumn("dst_ipv4_int", F.lit(0).cast("bigint")))
+    rows = J.validate_tokens(J.tokenize(opt)).withColumn("names", J.decode_tokens()).collect()
+    assert len(rows) == 3
+    for r in rows:
+        assert r.valid and r.tokens.count(J.UNKNOWN_ADDRESS) == 2 and r.names.count("UNKNOWN_ADDRESS") == 2
+
+
 def test_validate_flags_bad_sequences(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([0, 2, 3, 6, 99999999, 1],)], "tokens array<int>")
     v = J.validate_tokens(df).collect()
