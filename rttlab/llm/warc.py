@@ -166,10 +166,12 @@ def read_archives(spark: SparkSession, path: str, keep_blocks: bool = True) -> D
         while first is not None:
             archive = first[0]
 
-            def whole(first=first, archive=archive):  # the reader took the mark after each piece
+            # The reader took the mark after each piece. A piece of one line end is an archive's last and had none: the
+            # first match in an odd run of line ends starts one too early, and leaves the run's last.
+            def whole(first=first, archive=archive):
                 yield first[1] + RECORD_END.encode()
                 for piece in of(archive):
-                    yield piece + RECORD_END.encode()
+                    yield piece if piece == CRLF.encode() else piece + RECORD_END.encode()
 
             for n, (h, block) in enumerate(parse_archive(whole())):
                 rows.append((archive, n, _page(h.get("WARC-Record-ID")), h["WARC-Type"], h.get("WARC-Target-URI"),

@@ -257,6 +257,15 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.build_archives(empty, str(tmp_path / "e")).count() == 0
 
 
+@pytest.mark.parametrize("ends", [0, 1, 2, 3, 4])
+def test_warc_archive_ends_in_line_ends(spark, tmp_path, ends):
+    body = "A\r\nB" + "\r\n" * ends
+    pages = spark.createDataFrame([(1, "u", body, "2024-01-01T00:00:00Z")], "page_id long, url string, html string, captured string")
+    out = warc.build_archives(pages, str(tmp_path / "w")).collect()
+    assert [(r.page_id, r.payload_length, r.payload_digest) for r in out] == [(1, len(body), hashlib.sha1(body.encode()).hexdigest())]
+    assert [bytes(r.block) for r in warc.read_archives(spark, str(tmp_path / "w" / "archives")).collect()] == [body.encode()]
+
+
 def test_loser_tree():
     rng = random.Random(8)
     for k in range(9):
