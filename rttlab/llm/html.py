@@ -1,9 +1,9 @@
 """Main text of web pages by site template removal.
 
 Every element subtree outside the prose of a marked article is hashed; Spark
-counts in how many pages of a host each hash occurs; subtrees that recur
-across many pages of their host are the site's template and are deleted before
-the text is taken. What is boilerplate by its tag, role or class goes too.
+counts in how many different pages of a host each hash occurs; subtrees that
+recur across many pages of their host are the site's template and are deleted
+before the text is taken. What is boilerplate by its tag, role or class goes too.
 """
 
 from __future__ import annotations
@@ -149,8 +149,9 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
     """Elements by the hash of their subtree: name, id, class, texts and children; those a template may hold.
 
     ``roots``: the page's content roots; without ``everywhere`` only elements in them.
-    Left out: prose and inline elements inside a marked article, page-level
-    shells (html, body, the roots of the content), and subtrees without text.
+    Left out: prose, what holds prose, and inline elements inside a marked
+    article, page-level shells (html, body, the roots of the content), and
+    subtrees without text.
     """
     marked = {id(r) for r in roots if r is not root}
     shells = ("#root", "html", "body", "head")
@@ -161,7 +162,7 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
 
     def digest(e: Element, inside: bool) -> bytes:
         h = xxhash.xxh64(f"{e.tag}\0{e.attrs.get('id', '')}\0{e.attrs.get('class', '')}")
-        text = False
+        text = prose = False
         for c in e.children:
             if isinstance(c, str):
                 words = " ".join(c.split())
@@ -170,10 +171,12 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
             else:
                 d = below[id(c)]
                 h.update(b"e" + d[:8])
-                text = text or d[8:] == b"1"
-        if text and may(e, inside):
+                text = text or d[8:] != b"0"
+                prose = prose or d[8:] == b"2"
+        prose = prose or text and e.tag in PROSE
+        if text and may(e, inside) and not (inside and prose):
             out.setdefault(h.intdigest() - (1 << 63), []).append(e)
-        return h.digest() + (b"1" if text else b"0")
+        return h.digest() + (b"2" if prose else b"1" if text else b"0")
 
     todo = [(r, False) for r in ([root] if everywhere else roots)]
     while todo:  # down to the topmost elements that may be a template's, whose subtrees are hashed from the leaves up
@@ -192,10 +195,25 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
     return out
 
 
+def _letters(top: Element, dropped: bool) -> int:
+    """Characters of text that isn't boilerplate below ``top``; with ``dropped``, of that in dropped elements only."""
+    n, stack = 0, [(top, not dropped)]
+    while stack:
+        e, counts = stack.pop()
+        for c in e.children:
+            if isinstance(c, str):
+                n += len("".join(c.split())) if counts else 0
+            elif not boilerplate(c, True):
+                stack.append((c, counts or c.drop))
+    return n
+
+
 def main_text(html: str, template=()) -> str:
     """Text of the page's content without boilerplate and without subtrees whose hash is in ``template``.
 
-    Blocks are joined by one space, white space is one space.
+    Blocks are joined by one space, white space is one space. Where such
+    subtrees hold half of a marked article's text or more, they are its own
+    text and stay.
     """
     root = parse(html)
     roots = content_roots(root)
@@ -204,6 +222,7 @@ def main_text(html: str, template=()) -> str:
         for h in template:
             for e in hashes.get(h, ()):
                 e.drop = True
+    own = {id(r) for r in roots if len(template) and r is not root and 2 * _letters(r, True) >= _letters(r, False)}
     parts: list[str] = []
     for top in roots:
         stack: list = [(top, top is not root)]
@@ -213,7 +232,7 @@ def main_text(html: str, template=()) -> str:
                 parts.append(x)
                 continue
             e, inside = x
-            if e.drop or e is not top and boilerplate(e, inside):
+            if e.drop and id(top) not in own or e is not top and boilerplate(e, inside):
                 parts.append(" ")
                 continue
             if e.tag in BLOCKS:
@@ -232,24 +251,29 @@ def _keyed(pages: DataFrame, html: str, url: str) -> DataFrame:
 
 def template_rows(pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES,
                   min_share: float = MIN_SHARE) -> DataFrame:
-    """``_r1, _r2, template``: per page that has any, the hashes of its subtrees that are its host's template."""
+    """``_r1, _r2, template``: per page that has any, the hashes of its subtrees that are its host's template.
+
+    ``min_pages`` and ``min_share`` are of the host's different pages: rows of equal html count once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[], [], [], []]
-            for r1, r2, host, page in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            hashes = []
+            for page in b.column(5).to_pylist():
                 tree = parse(page or "")
-                hashes = list(subtree_hashes(tree, content_roots(tree)))
-                for c, v in zip(cols, (r1, r2, host), strict=False):
-                    c += [v] * len(hashes)
-                cols[3] += hashes
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                              pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-                                             names=["_r1", "_r2", "_host", "_hash"])
-
-    keyed = _keyed(pages, html, url)
-    found = S.map_batches(keyed.select("_r1", "_r2", "_host", html), run, "_r1 long, _r2 long, _host string, _hash long")
-    host_pages = keyed.groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
-    often = (found.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in")).filter(F.col("_in") >= min_pages)
+                hashes.append(list(subtree_hashes(tree, content_roots(tree))))
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(hashes, pa.list_(pa.int64()))], names=names)
+
+    names = ["_r1", "_r2", "_host", "_p1", "_p2", "_hashes"]
+    page = F.coalesce(F.col(html), F.lit(""))
+    keyed = _keyed(pages, html, url).withColumn("_p1", F.xxhash64(page)).withColumn("_p2", F.xxhash64(F.lit(1), page))
+    found = S.map_batches(keyed.select(*names[:5], html), run,
+                          "_r1 long, _r2 long, _host string, _p1 long, _p2 long, _hashes array<long>")
+    same = ["_host", "_p1", "_p2"]  # rows of equal pages: one page
+    different = found.groupBy(*same).agg(F.first("_hashes").alias("_hashes"))
+    host_pages = keyed.select(*same).distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+    found = found.select("_r1", "_r2", "_host", F.explode("_hashes").alias("_hash"))
+    often = (different.select("_host", F.explode("_hashes").alias("_hash"))
+             .groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in")).filter(F.col("_in") >= min_pages)
              .join(host_pages, "_host").filter(F.col("_in") >= F.lit(min_share) * F.col("_pages")).select("_host", "_hash"))
     return (found.join(often, ["_host", "_hash"], "left_semi").groupBy("_r1", "_r2")
             .agg(F.collect_set("_hash").alias("template")))

@@ -287,3 +287,21 @@ def test_html(spark):
     assert got[5] == [("text 5", 6)] and got[3] == [("text 3", 6)] * 2
     assert got[99] == [("Site © line text 99 Follow us", 29)] and got[100] == [("", 0)]
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_html_equal_pages_are_no_template(spark):
+    bodies = {"plain": "<div><p>Long text of its own.</p></div>", "div": "<article><div><p>Long text of its own.</p></div></article>",
+              "section": "<article><section><div>Long text of its own.</div></section></article>", "main": "<main><div><h1>Long text</h1>of its own.</div></main>"}
+    rows = [(i, u and f"http://{u}.org/{k}/{i}", f"<body>{b}</body>") for k, b in bodies.items() for i, u in enumerate([k] * 12)]
+    rows += [(i, None, f"<body>{bodies['plain']}</body>") for i in range(12)] + [(1, "http://rows.org/", f"<body>{bodies['plain']}</body>")] * 12
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert len(got) == len(rows) and {r.text for r in got} == {"Long text of its own."}
+
+
+def test_html_article_keeps_its_text(spark):
+    # pages that differ outside the article only, and an article's box that recurs
+    kept = [("div", "<div><p>Long text of its own.</p></div>"), ("bare", "<div>Long text</div><div>of its own.</div>"),
+            ("box", "<div><p>Long text of its own.</p></div><div>Follow us</div>")]
+    rows = [(i, f"http://{k}.org/{i}", f"<body><div>Page {i}</div><article>{b}</article></body>") for k, b in kept for i in range(12)]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert len(got) == len(rows) and {r.text for r in got} == {"Long text of its own."}
