@@ -9,6 +9,8 @@ ranks the pieces within their length and gives every rank its place.
 
 from __future__ import annotations
 
+import itertools
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,8 +27,9 @@ from .bpe import _encoder, encode_column
 
 CAPACITY = 2048
 END_ID = 0
-SEARCH_NODES = 4000  # completions tried in all; the rows packed don't depend on it
-FILLINGS = 4  # tried around one largest document
+SEARCH_NODES = 4000  # completions tried in all, after the first descent; the rows packed don't depend on it
+LOOKS = 16  # fillings looked at for each of them
+FEW = 64  # lengths left, for which the lower bound is taken
 ROWS_PER_RANK_GROUP = 500_000
 
 
@@ -43,13 +46,30 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], sizes: list[int], space: int, most: int) -> list[dict[int, int]]:
-    """Undominated fillings of ``space``, best fit first.
+def dominated(filling: dict[int, int], counts: dict[int, int], sizes: list[int], space: int) -> bool:
+    """Whether a document left over could take the place of documents of ``filling`` that are no larger together.
 
-    The reachable sums are bit sets. The fullest filling comes first; for one
-    sum, the filling with the largest documents stands for all others, which
-    could be put into its places. Besides the fullest, it gives the one
-    without its largest document, and those of the next smaller sums.
+    Those would fit into its place, so the other filling is never worse. Repeated, such steps give every
+    filling whose places hold this one.
+    """
+    slack = space - sum(n * c for n, c in filling.items())
+    inside = sorted(filling)
+    sums, at = 1, 0  # of documents of the filling that are smaller than y
+    for y in reversed(sizes):
+        while at < len(inside) and inside[at] < y:
+            for _ in range(filling[inside[at]]):
+                sums |= sums << inside[at]
+            at += 1
+        low = max(0, y - slack)
+        if counts[y] > filling.get(y, 0) and sums >> low & (1 << y - low + 1) - 1:
+            return True
+    return False
+
+
+def fillings(counts: dict[int, int], sizes: list[int], space: int) -> Iterator[dict[int, int] | None]:
+    """All undominated fillings of ``space``: falling sums, for one sum the largest documents first; None for a dominated one.
+
+    The reachable sums are bit sets, so that every step of the enumeration ends in a filling.
     """
     fit = [n for n in sizes if n <= space]  # falling
     mask = (1 << space + 1) - 1
@@ -64,36 +84,34 @@ def fillings(counts: dict[int, int], sizes: list[int], space: int, most: int) ->
         reach.append(bits)
     reach.reverse()  # reach[i]: sums of fit[i:]
 
-    def build(total: int, skip: int) -> dict[int, int] | None:
-        out, todo = {}, total
-        for i, n in enumerate(fit):
+    def build(total: int) -> Iterator[dict[int, int]]:
+        chosen: list[tuple[int, int]] = []  # (index in fit, documents)
+        i, c, todo = 0, None, total
+        while True:
+            while todo:  # go on with the largest documents
+                c = min(counts[fit[i]], todo // fit[i]) if c is None else c
+                while c >= 0 and not reach[i + 1] >> todo - c * fit[i] & 1:
+                    c -= 1
+                if c < 0:
+                    break
+                if c:
+                    chosen.append((i, c))
+                todo -= c * fit[i]
+                i, c = i + 1, None
             if not todo:
-                break
-            if i < skip:
-                continue
-            c = min(counts[n], todo // n)
-            while c >= 0 and not reach[i + 1] >> todo - c * n & 1:
-                c -= 1
-            if c < 0:
-                return None
-            if c:
-                out[n] = c
-                todo -= c * n
-        return out if not todo else None
-
-    found: list[dict[int, int]] = []
-    sums, total = reach[0], reach[0].bit_length() - 1
-    while total >= 0 and len(found) < most:
-        if sums >> total & 1:
-            first = build(total, 0)
-            if first is not None and first not in found:
-                found.append(first)
-                if first and len(found) < most:
-                    skip = fit.index(max(first)) + 1
-                    if skip < len(fit) and reach[skip] >> total & 1 and (other := build(total, skip)) not in (None, *found):
-                        found.append(other)
-        total -= 1
-    return found
+                yield {fit[j]: k for j, k in chosen}
+            if not chosen:
+                return
+            i, c = chosen.pop()  # one less of the last that was chosen
+            todo += c * fit[i]
+            c -= 1
+
+    first = True
+    for total in range(reach[0].bit_length() - 1, -1, -1):
+        if reach[0] >> total & 1:
+            for filling in build(total):
+                yield filling if first or not dominated(filling, counts, fit, space) else None
+                first = False  # the fullest, with the largest documents, never is
 
 
 @dataclass
@@ -124,13 +142,18 @@ def largest_first(counts: dict[int, int], capacity: int) -> Packing:
     return out
 
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES, width: int = FILLINGS) -> Packing:
-    """Branch and bound over completions around the largest document.
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES) -> Packing:
+    """Branch and bound over completions around the largest document, by limited discrepancy.
 
     The first incumbent takes largest documents first; the first descent, the
-    best-fit filling everywhere, may replace it. Then other fillings are tried, latest decision first; a branch
-    is pruned when its waste leaves no way to use fewer sequences than the
-    incumbent. Ends at the lower bound, or after ``nodes`` completions.
+    best-fit filling everywhere, may replace it. Pass k then tries all paths
+    whose choices stand k places behind the first ones in all, so deviations
+    near the root come as early as those near the leaves. A branch is pruned
+    when its waste, or the lower bound of few lengths left, leaves no way to use
+    fewer sequences than the incumbent, or when the same documents were left before. Ends at the lower bound, with all
+    paths tried (the fewest sequences), or after ``nodes`` completions or LOOKS times
+    as many fillings looked at: then more sequences than needed may come out, never more than
+    largest-first.
     """
     counts = {n: c for n, c in counts.items() if c}
     if any(n > capacity or n < 1 for n in counts):
@@ -138,58 +161,86 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     volume = sum(n * c for n, c in counts.items())
     bound = lower_bound(counts, capacity) if counts else 0
     best = largest_first(counts, capacity)
-    descended = False
-    # path: (pattern, sequences, other fillings of the same largest document)
-    path: list[tuple[dict[int, int], int, list[dict[int, int]]]] = []
-    left, waste, used = dict(counts), 0, 0
-
-    def put(largest: int, filling: dict[int, int], others) -> None:
-        nonlocal waste, used
-        pattern = dict(filling)
-        pattern[largest] = pattern.get(largest, 0) + 1
-        m = min(left[n] // c for n, c in pattern.items())
+    rng = random.Random(0)
+    code = {n: rng.getrandbits(128) for n in sorted(counts)}
+    looks = LOOKS * nodes
+    left, waste, used, state = dict(counts), 0, 0, 0
+    # path: (pattern, sequences, (places behind, pattern, sequences) of the choices not tried yet, places left)
+    path: list[tuple[dict[int, int], int, list, int]] = []
+
+    def shift(pattern: dict[int, int], m: int) -> None:
+        """Take ``m`` sequences of ``pattern`` from what is left; give them back if negative."""
+        nonlocal waste, used, state
         for n, c in pattern.items():
-            left[n] -= c * m
+            left[n] = left.get(n, 0) - c * m
+            state += code[n] * c * m
             if not left[n]:
                 del left[n]
         waste += m * (capacity - sum(n * c for n, c in pattern.items()))
         used += m
-        path.append((pattern, m, others))
 
-    def undo():
-        nonlocal waste, used
-        pattern, m, others = path.pop()
-        for n, c in pattern.items():
-            left[n] = left.get(n, 0) + c * m
-        waste -= m * (capacity - sum(n * c for n, c in pattern.items()))
-        used -= m
-        return max(pattern), others
-
-    while True:
-        hopeless = descended and -(-(volume + waste) // capacity) >= best.sequences
-        if not left:
-            descended = True
-            if used < best.sequences:
-                best = Packing([(p, m) for p, m, _ in path])
-        if best.sequences <= bound or nodes <= 0:
-            return best
-        if not left or hopeless:
+    def choices():
+        """Patterns around the largest document with as many sequences as the counts allow, then with half as many, and so on."""
+        largest = max(left)
+        rest = {**left, largest: left[largest] - 1}
+        found = []
+        for filling in fillings(rest, sorted((n for n, c in rest.items() if c), reverse=True), capacity - largest):
+            if filling is None:
+                yield None
+                continue
+            pattern = {**filling, largest: filling.get(largest, 0) + 1}
+            m = min(left[n] // c for n, c in pattern.items())
+            yield pattern, m
+            found.append((pattern, m // 2))
+        while found := [(p, m) for p, m in found if m]:
+            yield from found
+            found = [(p, m // 2) for p, m in found]
+
+    for places in itertools.count():
+        whole, seen, spare = True, {}, places
+        while True:
+            if not left and used < best.sequences:
+                best = Packing([(p, m) for p, m, _, _ in path])
+            if best.sequences <= bound or min(nodes, looks) <= 0:
+                return best
+            before = seen.get(state)
+            known = before is not None and before[0] <= used and before[1] >= spare
+            hopeless = places and (-(-(volume + waste) // capacity) >= best.sequences
+                                   or len(left) <= FEW and used + lower_bound(left, capacity) >= best.sequences)
+            if left and not known and not hopeless:
+                if places:
+                    seen[state] = used, spare
+                options: list = []
+                nodes -= places > 0
+                for choice in choices():
+                    looks -= places > 0
+                    if choice is not None:
+                        if len(options) > spare:
+                            whole = False
+                            break
+                        options.append((len(options), *choice))
+                    if not places and options or looks <= 0:
+                        whole = False
+                        break
+                if not options:
+                    return best
+                _, pattern, m = options.pop(0)
+                path.append((pattern, m, options, spare))
+                shift(pattern, m)
+                continue
             while path:
-                largest, others = undo()
-                if others:
-                    put(largest, others[0], others[1:])
-                    nodes -= 1
+                pattern, m, options, spare = path.pop()
+                shift(pattern, -m)
+                if options:
+                    cost, pattern, m = options.pop(0)
+                    path.append((pattern, m, options, spare))
+                    shift(pattern, m)
+                    spare -= cost
                     break
             else:
-                return best
-            continue
-        largest = max(left)
-        left[largest] -= 1
-        sizes = sorted((n for n, c in left.items() if c), reverse=True)
-        options = fillings(left, sizes, capacity - largest, width)
-        left[largest] += 1
-        nodes -= descended
-        put(largest, options[0], options[1:])
+                break
+        if whole:
+            return best
 
 
 def slots(packing: Packing) -> dict[int, np.ndarray]:

@@ -206,6 +206,49 @@ def test_bin_completion():
         assert packing.lower_bound(dict(counts), 100) <= p.sequences <= packing.largest_first(counts, 100).sequences if sizes else not p.patterns
 
 
+def fewest(sizes, capacity):
+    best = len(sizes)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) < best and i == len(sizes):
+            best = len(bins)
+        if len(bins) >= best:
+            return
+        for k in range(len(bins)):
+            if bins[k] + sizes[i] <= capacity and bins[k] not in bins[:k]:
+                place(i + 1, [*bins[:k], bins[k] + sizes[i], *bins[k + 1:]])
+        place(i + 1, [*bins, sizes[i]])
+
+    sizes = sorted(sizes, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_bin_completion_finds_the_fewest():
+    rng = random.Random(9)
+    cases = [([39, 43, 45, 49, 51, 54, 55, 56, 56, 59, 60], 150), ([9, 11, 13, 13, 15, 17, 19, 20, 20, 20, 21, 22, 25, 25], 50),
+             ([273, 284, 313, 314, 337, 359, 361, 365, 370, 376, 379, 382, 395], 1000)]
+    cases += [([rng.randint(c // rng.choice([4, 5, 20]), c // 2) for _ in range(rng.randint(1, 11))], c) for c in [20, 30, 60, 100] * 30]
+    for sizes, capacity in cases:
+        assert packing.bin_completion(dict(collections.Counter(sizes)), capacity).sequences == fewest(sizes, capacity)
+
+
+def test_fillings_are_all_that_are_undominated():
+    rng = random.Random(10)
+
+    def held(b, a):  # whether groups of b fit into the places of a
+        return not b or any(x >= b[0] and held(b[1:], [*a[:k], x - b[0], *a[k + 1:]]) for k, x in enumerate(a))
+
+    for docs, space in [([6, 4, 4, 2], 8), ([7, 6, 5, 3, 2, 1], 8)] + [([rng.randint(1, 12) for _ in range(8)], rng.randint(1, 25)) for _ in range(40)]:
+        counts = collections.Counter(docs)
+        every = {tuple(sorted(d for k, d in enumerate(docs) if m >> k & 1)) for m in range(256)}
+        every = [list(x[::-1]) for x in every if sum(x) <= space]
+        want = [b for b in every if not any(a != b and held(b, a) for a in every)]
+        got = [sorted((n for n, c in f.items() for _ in range(c)), reverse=True) for f in packing.fillings(counts, sorted(counts, reverse=True), space) if f is not None]
+        assert sorted(got) == sorted(want)
+
+
 def test_packing_is_gapless(docs):
     rows = packing.pack_documents(docs).collect()
     assert sum(r.length for r in rows if r.doc_id == 0) == 1
