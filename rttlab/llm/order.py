@@ -22,6 +22,7 @@ def positions(rows: DataFrame, group: list[str], order: list[Column], name: str
     ``order`` should tell all different rows apart; equal rows take consecutive
     places in any order. A null group is a group. An empty table stays empty.
     """
+    rows = persist_table(rows, "rows-to-order")  # read twice: for the ranges' sample, and to be dealt
     dealt = rows.repartitionByRange(*[F.col(g) for g in group], *order).withColumn("_range", F.spark_partition_id())
     dealt = persist_table(dealt, "ordered-rows")
     counts = dealt.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_rows"))
