@@ -25,8 +25,10 @@ from rttlab.operators import series as I
 from rttlab.operators import sequences as J
 from rttlab.plans import optimize as OPT
 from rttlab.session import apply_defaults
+from rttlab.sinks import layout as B
 from rttlab.sources import fixtures as FX
 from rttlab.sources import raw as RAW
+from rttlab.streaming import ingest as K
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -67,9 +69,12 @@ def q_top_pairs(spark, sf):
 def q_parse_measurements(spark, sf):
     """A-1 + C-1 + C-2 + E-1: ping rows written as raw JSON lines (bz2),
     read back with the raw reader, filtered/projected and parsed."""
-    raw = RAW.raw_dump_roundtrip(_ping(spark, sf))
-    parsed = C.parse_measurements(raw)
-    return parsed.select("prb_id", "dst_addr", "ts", "sent", "rcvd", "avg", *extract_rtts("result"))
+    return _parsed(RAW.raw_dump_roundtrip(_ping(spark, sf)))
+
+
+def _parsed(raw):
+    good, _ = RAW.quarantine(raw)
+    return C.parse_measurements(good).select("prb_id", "dst_addr", "ts", "sent", "rcvd", "avg", *extract_rtts("result"))
 
 
 def q_resolve_dst_probe(spark, sf):
@@ -107,10 +112,7 @@ def q_unpack_ts(spark, sf):
 
 
 def q_hours_from_start(spark, sf):
-    e = _edges(spark, sf).select("src", "dst", "ts")
-    t0 = e.groupBy("src", "dst").agg(F.min("ts").alias("t0"))
-    return I.attach(e, t0, ["src", "dst"]).select(
-        "src", "dst", "ts", r6((F.col("ts") - F.col("t0")) / 3600.0).alias("hours"))
+    return I.hours_from_start(_edges(spark, sf))
 
 
 def q_packet_loss(spark, sf):
@@ -265,11 +267,15 @@ def q_trend(spark, sf):
 
 
 def q_modelability(spark, sf):
-    return H.modelability_ranking(H.trend(_edges(spark, sf)), k=15)
+    return H.modelability_ranking(H.trend_scores(_edges(spark, sf)), k=15)
+
+
+def q_modelability_share(spark, sf):
+    return H.modelability_share(H.trend_scores(_edges(spark, sf)))
 
 
 def q_class_counts(spark, sf):
-    return H.class_counts(H.trend(_edges(spark, sf)))
+    return H.class_counts(H.trend_scores(_edges(spark, sf)))
 
 
 def q_autocorr_lag1(spark, sf):
@@ -313,32 +319,205 @@ def q_baseline_mae(spark, sf):
     return I.baseline_mae(_edges(spark, sf), 7)
 
 
+def _stream_folders(spark):
+    from rttlab.session import shared_path
+    return [shared_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck")]
+
+
 def q_stream_ingest(spark, sf):
     """K-1: ping rows written as raw dump files, consumed by the file stream
     (availableNow, checkpointed) into Parquet, read back."""
-    from rttlab.session import shared_path
-    from rttlab.streaming.ingest import stream_ingest
-    src, out, ck = (shared_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck"))
+    src, out, ck = _stream_folders(spark)
     RAW.write_raw_dump(_ping(spark, sf), src)
-    stream_ingest(spark, src, out, ck)
-    return spark.read.parquet(out)
+    K.stream_ingest(spark, src, out, ck)
+    return K.ingested(spark, out)
+
+
+def _ingest_lines(spark, sf):
+    """K-1 over dumps with lines that do not parse; where the results are."""
+    apply_defaults(spark)
+    src, out, ck = _stream_folders(spark)
+    RAW.write_raw_lines(FX.raw_lines(spark, sf), src)
+    K.stream_ingest(spark, src, out, ck, max_files_per_trigger=2)
+    return out
+
+
+def _dump():
+    return F.regexp_extract("file", r"dump=(\d+)", 1).cast("bigint").alias("dump")
+
+
+def q_stream_rows(spark, sf):
+    return K.ingested(spark, _ingest_lines(spark, sf))
+
+
+def q_stream_rejects(spark, sf):
+    return K.rejects(spark, _ingest_lines(spark, sf)).select(_dump(), "line")
+
+
+def q_ingest_report(spark, sf):
+    return K.ingest_ledger(spark, _ingest_lines(spark, sf)).select(_dump(), "rows", "ok_rows", "corrupt_rows", "ok")
+
+
+def q_ingest_summary(spark, sf):
+    return B.ingest_summary(K.ingest_ledger(spark, _ingest_lines(spark, sf)))
+
+
+def q_stream_windows(spark, sf):
+    """K-2: windows of 5 minutes every 30 seconds from the stream's panes of 30 seconds."""
+    apply_defaults(spark)
+    src, out, ck = _stream_folders(spark)
+    RAW.write_raw_lines(FX.raw_lines(spark, sf), src)
+    K.stream_panes(spark, src, out, ck, 30, max_files_per_trigger=2)
+    return K.stream_windows(spark, out, 300, 30)
 
 
 def q_optimize_write_readback(spark, sf):
-    """F-6 + B-1/B-4/B-5: optimized table written with a row-count check
+    """F-6 + B-1/B-4/B-5: optimized table published after a row-count check
     against its input, then read back."""
     from rttlab.session import shared_path
-    from rttlab.sinks.layout import write_checked
     p = _ping(spark, sf)
     path = shared_path(spark, "optimized")
-    write_checked(OPT.optimize_from_ping(p, _map(spark)), path, expected_rows=p.count())
-    return _hexed(spark.read.parquet(path))
+    B.write_checked(OPT.optimize_from_ping(p, _map(spark)), path, expected_rows=p.count())
+    return _hexed(B.read_published(spark, path))
 
 
 def q_multi_resolution_windows(spark, sf):
     return I.multi_resolution_windows(_ping(spark, sf))
 
 
+# ---- inputs with awkward rows, and jobs over written files
+def _ping_edge(spark, sf):
+    apply_defaults(spark)
+    return FX.ping_edge(spark, sf)
+
+
+def q_parse_measurements_edge(spark, sf):
+    """C-1 where other packet counts and missing results occur."""
+    return _parsed(RAW.raw_dump_roundtrip(_ping_edge(spark, sf)))
+
+
+def q_resolve_dst_probe_edge(spark, sf):
+    return D.resolve_dst_probe(_ping_edge(spark, sf), _map(spark))
+
+
+def q_mapped_probe_coverage_edge(spark, sf):
+    return D.mapped_probe_coverage(_ping_edge(spark, sf), _map(spark))
+
+
+def q_optimize_dataset_edge(spark, sf):
+    return _hexed(OPT.optimize_from_ping(_ping_edge(spark, sf), _map(spark)))
+
+
+def q_ip_pair_distribution_edge(spark, sf):
+    return G.ip_pair_distribution(OPT.optimize_from_ping(_ping_edge(spark, sf), _map(spark)))
+
+
+def q_tokenize_edge(spark, sf):
+    t = J.tokenize(OPT.optimize_from_ping(_ping_edge(spark, sf), _map(spark)))
+    return t.select("prb_id", "ts", "dst_addr_display", F.array_join("tokens", " ").alias("tokens"),
+                    F.col("length").cast("bigint").alias("length"))
+
+
+def _ping_files(spark, sf):
+    """``ping`` in files by day; its folder."""
+    from rttlab.session import shared_path
+    path = shared_path(spark, "ping-files")
+    B.write_ping(_ping(spark, sf).withColumn("day", F.to_date(F.timestamp_seconds("ts")).cast("string")), path,
+                 partition_by=["day"], max_records_per_file=500)
+    return path
+
+
+def q_write_read_ping(spark, sf):
+    """B-1 + A-2: nested folders, bounded files, three columns read."""
+    return RAW.read_ping(spark, _ping_files(spark, sf), ["prb_id", "ts", "avg"])
+
+
+def q_sample_head(spark, sf):
+    """A-8 over the rows in time order (the first rows of an unordered table are any rows)."""
+    return RAW.sample_head(_ping(spark, sf).orderBy("ts", "prb_id", "dst_addr", "avg"), 100, ["prb_id", "ts", "dst_addr", "avg"])
+
+
+def q_sample_sorted(spark, sf):
+    """A-8: what of a seeded sample SQL can tell: its share is near the asked one, it is sorted and from the table."""
+    p = _ping(spark, sf).select("prb_id", "ts", "dst_addr")
+    s = RAW.sample_sorted(p, 0.25)
+    n, drawn = p.count(), s.count()
+    foreign = s.join(p.distinct(), ["prb_id", "ts", "dst_addr"], "left_anti").count()
+    return spark.createDataFrame([(n, abs(drawn / n - 0.25) < 0.02, foreign)], "n_rows bigint, near_share boolean, foreign_rows bigint")
+
+
+def q_batch_transform_write(spark, sf):
+    """B-3: partial loss of all files, written in files of at most 100 rows, read back."""
+    from rttlab.session import shared_path
+    out = shared_path(spark, "partial-loss")
+    B.batch_transform_write(spark, _ping_files(spark, sf), out, lambda df: C.partial_loss(df.drop("day")), rows_per_file=100)
+    return spark.read.parquet(out)
+
+
+def q_compact(spark, sf):
+    """B-2: the small files as three, all rows kept."""
+    from rttlab.session import shared_path
+    out = shared_path(spark, "compact")
+    B.compact(spark, _ping_files(spark, sf), out, target_files=3, order="ts")
+    return spark.read.parquet(out).drop("day")
+
+
+def q_concat_files(spark, sf):
+    """D-9: the files' rows put together by one multi-path read."""
+    path = _ping_files(spark, sf)
+    days = [r.day for r in spark.read.parquet(path).select("day").distinct().orderBy("day").collect()]
+    return D.concat_files(*[spark.read.parquet(f"{path}/day={d}") for d in days])
+
+
+def q_project_rtt(spark, sf):
+    """C-2 of a raw dump (whose writer has no source address)."""
+    good, _ = RAW.quarantine(RAW.raw_dump_roundtrip(_ping_edge(spark, sf)))
+    return C.project_rtt(good)
+
+
+def q_success_label(spark, sf):
+    return C.success_label(_ping_edge(spark, sf)).select("prb_id", "ts", "sent", "rcvd", "success")
+
+
+def q_add_source_ip_fanout(spark, sf):
+    """D-4: rows per probe before and after the join that multiplies them."""
+    p = _ping(spark, sf)
+    n = p.groupBy("prb_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.join(D.add_source_ip_fanout(p, _map(spark)).groupBy("prb_id").agg(F.count(F.lit(1)).alias("n_joined")), "prb_id")
+
+
+def q_multi_ip_probes(spark, sf):
+    """G-17 over the addresses that measurements were sent to."""
+    seen = _ping(spark, sf).select(F.col("dst_addr").alias("ip"), (F.col("prb_id") % 3).alias("dst_prb_id")).distinct()
+    return G.multi_ip_probes(seen)
+
+
+def q_bounded_series_files(spark, sf):
+    """I-3 in file-then-row order: successful measurements in files, the first 50 rows of each pair."""
+    from rttlab.session import shared_path
+    path = shared_path(spark, "edge-files")
+    e = table_of_events(spark, sf)
+    e.repartition("part").sortWithinPartitions("part", "event_id").write.partitionBy("part").parquet(path)
+    return I.bounded_series_of_files(spark.read.parquet(path), 50).select("src", "dst", "event_id", "avg")
+
+
+def table_of_events(spark, sf):
+    """Edges with their event's number, in parts whose order is not that of time."""
+    apply_defaults(spark)
+    e = FX.table(spark, sf, "events")
+    return e.select((e.user_id % 10).alias("src"), ((e.event_id * 7 + e.user_id) % 10).alias("dst"), "event_id",
+                    e.value.cast("double").alias("avg"), ((e.event_id * 13) % 4).alias("part")).where("avg > 0")
+
+
+def q_range_profile_sketch(spark, sf):
+    """G-2 from daily sketches beside the exact counts: the estimate is within 5 % (three standard errors)."""
+    cols = ["src", "dst", "ts", "avg", "sent", "rcvd"]
+    e = _edges(spark, sf).withColumn("day", F.to_date(F.timestamp_seconds("ts")))
+    est = G.merge_sketches(G.range_sketches(e, cols, ["day"])).withColumnRenamed("n_unique", "estimate")
+    j = G.range_profile(e, cols).join(est.select("column", "estimate"), "column")
+    return j.select("column", "min", "max", "n_unique", (F.abs(F.col("estimate") - F.col("n_unique")) <= 0.05 * F.col("n_unique")).alias("within_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_pairs": q_top_pairs,
     "parse_measurements": q_parse_measurements,
@@ -388,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_cv": q_pair_cv,
     "trend": q_trend,
     "modelability": q_modelability,
+    "modelability_share": q_modelability_share,
     "class_counts": q_class_counts,
     "autocorr_lag1": q_autocorr_lag1,
     "autocorr_multi": q_autocorr_multi,
@@ -402,8 +582,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multi_resolution_windows": q_multi_resolution_windows,
     "stream_ingest": q_stream_ingest,
     "optimize_write_readback": q_optimize_write_readback,
+    "stream_rows": q_stream_rows,
+    "stream_rejects": q_stream_rejects,
+    "ingest_report": q_ingest_report,
+    "ingest_summary": q_ingest_summary,
+    "stream_windows": q_stream_windows,
+    "parse_measurements_edge": q_parse_measurements_edge,
+    "resolve_dst_probe_edge": q_resolve_dst_probe_edge,
+    "mapped_probe_coverage_edge": q_mapped_probe_coverage_edge,
+    "optimize_dataset_edge": q_optimize_dataset_edge,
+    "ip_pair_distribution_edge": q_ip_pair_distribution_edge,
+    "tokenize_edge": q_tokenize_edge,
+    "write_read_ping": q_write_read_ping,
+    "sample_head": q_sample_head,
+    "sample_sorted": q_sample_sorted,
+    "batch_transform_write": q_batch_transform_write,
+    "compact": q_compact,
+    "concat_files": q_concat_files,
+    "project_rtt": q_project_rtt,
+    "success_label": q_success_label,
+    "add_source_ip_fanout": q_add_source_ip_fanout,
+    "multi_ip_probes": q_multi_ip_probes,
+    "bounded_series_files": q_bounded_series_files,
+    "range_profile_sketch": q_range_profile_sketch,
 }
-QUERIES.update(J.entry_queries(_ping, _map, _opt))
+QUERIES.update(J.entry_queries(_opt, _edges))
 
 
 try:

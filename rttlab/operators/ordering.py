@@ -2,16 +2,16 @@
 
 A window ``partitionBy(pair).orderBy(ts)`` sends every row of a pair to a
 single task; with one pair holding a third of the data that task never
-finishes. Instead:
+finishes. Instead the time of each group is cut into *cells* (days):
 
-1. count rows per (key, ts) — a partial aggregate, small;
-2. prefix-sum those counts in two levels: per (key, hour) over hours, and
-   per (key, ts) inside its hour — each window partition holds at most the
-   number of hours of a key, or 3600 distinct seconds;
-3. join the offsets back on (key, ts) — hash-distributed on a
-   high-cardinality key, so a hot pair spreads over all tasks;
-4. number duplicates of one (key, ts) locally (same partitioning, no new
-   exchange).
+1. rows per (key, cell) are counted — a partial aggregate, one row per pair
+   and day — and written; a cell above a bound is cut into hours, such an
+   hour into minutes, then seconds. The bound is never less than a
+   ``SHARE``-th of all rows, so at most ``SHARE`` cells are cut at each
+   level, and telling the rows where they belong is a broadcast of that size;
+2. the counts are prefix-summed per key (one row per cell);
+3. rows are exchanged once, by (key, cell), numbered inside their cell and
+   moved up by the rows of the cells before.
 
 The result is an exact dense 1-based ``rn`` in (ts, tie-break) order.
 Lag/lead style operators then work on blocks of ``rn`` (``with_lags``),
@@ -20,33 +20,62 @@ again bounded in size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SECONDS = 3600
+from ..session import persist_table
+
+CELL_SECONDS = (86_400, 3_600, 60, 1)  # widths of cells, each a multiple of the next
+CELL_ROWS = 1 << 16
+SHARE = 1_000
 BLOCK_ROWS = 4096
 
 
+def _cell(time: Column, width: int) -> Column:
+    return (F.floor(time / width) * width).cast("bigint")
+
+
+def _cells(df: DataFrame, keys: list[str], time: Column, cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with the start of each row's cell as ``_cell``, (keys, _cell, _c) rows per cell)."""
+    rows = df.dropna(subset=keys).where(time.isNotNull()).withColumn("_cell", _cell(time, CELL_SECONDS[0]))
+    per_cell = [*keys, "_cell"]
+    counts = persist_table(rows.groupBy(*per_cell).agg(F.count(F.lit(1)).alias("_c")), "cell-rows")
+    total, largest = counts.agg(F.sum("_c"), F.max("_c")).head()
+    bound = max(cell_rows, (total or 0) // SHARE)
+    for finer in CELL_SECONDS[1:]:
+        if (largest or 0) <= bound:
+            break
+        large = counts.where(F.col("_c") > bound)  # at most SHARE rows
+        over = F.broadcast(large.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(per_cell)]))
+        same = F.lit(True)
+        for i, k in enumerate(per_cell):
+            same = same & (F.col(k) == F.col(f"_o{i}"))
+        cut = rows.join(over, same, "left")
+        inside = F.col(f"_o{len(keys)}").isNotNull()
+        finer_rows = cut.where(inside).withColumn("_cell", _cell(time, finer))
+        parts = persist_table(finer_rows.groupBy(*per_cell).agg(F.count(F.lit(1)).alias("_c")), "cell-rows")
+        counts = counts.where(F.col("_c") <= bound).unionByName(parts)
+        largest = parts.agg(F.max("_c")).head()[0]
+        rows = cut.withColumn("_cell", F.when(inside, _cell(time, finer)).otherwise(F.col("_cell"))).drop(
+            *[f"_o{i}" for i in range(len(per_cell))])
+    return rows, counts
+
+
 def ordered_index(df: DataFrame, keys: list[str], time_col: str = "ts",
-                  tiebreak: list[str] | None = None, rn: str = "rn",
-                  bucket: int = BUCKET_SECONDS) -> DataFrame:
+                  tiebreak: list[str] | None = None, rn: str = "rn", cell_rows: int = CELL_ROWS) -> DataFrame:
     """Add ``rn`` = position of the row in its ``keys`` group ordered by
-    (``time_col``, *``tiebreak``). ``time_col`` must be numeric."""
-    tiebreak = tiebreak or []
-    t = F.col(time_col)
-    c = (df.groupBy(*keys, time_col).agg(F.count(F.lit(1)).alias("_c"))
-           .withColumn("_b", F.floor(t / bucket)))
-    per_b = c.groupBy(*keys, "_b").agg(F.sum("_c").alias("_cb"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.select(*keys, "_b", F.coalesce(F.sum("_cb").over(wb), F.lit(0)).alias("_ob"))
-    wt = Window.partitionBy(*keys, "_b").orderBy(time_col).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.select(*keys, time_col, "_b", F.coalesce(F.sum("_c").over(wt), F.lit(0)).alias("_ot"))
-    off = c.join(per_b, [*keys, "_b"]).select(
-        *keys, time_col, (F.col("_ob") + F.col("_ot")).alias("_off"))
-    j = df.join(off, [*keys, time_col])
-    wl = Window.partitionBy(*keys, time_col).orderBy(*(tiebreak or [time_col]))
-    return (j.withColumn(rn, (F.col("_off") + F.row_number().over(wl)).cast("bigint"))
-             .drop("_off"))
+    (``time_col``, *``tiebreak``). ``time_col`` must be numeric (seconds); rows
+    with a null key or time have no position and are left out. Rows of one
+    second of one group are numbered together."""
+    order = [time_col, *(tiebreak or [])]
+    rows, counts = _cells(df, keys, F.col(time_col), cell_rows)
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_cell", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*keys, "_cell").orderBy(*order)
+    numbered = rows.withColumn("_at", F.row_number().over(inside))
+    return (numbered.join(offsets, [*keys, "_cell"])
+            .withColumn(rn, (F.col("_off") + F.col("_at")).cast("bigint"))
+            .select(*df.columns, rn))
 
 
 def group_sizes(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:

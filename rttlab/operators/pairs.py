@@ -9,10 +9,11 @@ statistics (slope on row index) go through ``operators.ordering``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import hour_of, pair_label, r6, weekday_of
+from ..session import persist_table
 from .ordering import ordered_index
 from .quantiles import exact_quantiles
 
@@ -45,24 +46,45 @@ def _restrict(edges: DataFrame, pairs: DataFrame | None) -> DataFrame:
     return edges.join(F.broadcast(pairs.select(*PAIR)), PAIR, "left_semi")
 
 
+def _rolled_up(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """n, mean and squared deviations (``m2``) per ``keys`` from cells with n, mean and m2; a group's cells are few."""
+    w = Window.partitionBy(*keys)
+    mu = F.sum(F.col("n") * F.col("mean")).over(w) / F.sum("n").over(w)
+    d = cells.withColumn("_mu", mu)
+    return d.groupBy(*keys, "_mu").agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"),
+        F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("_mu"), 2)).alias("m2")) \
+        .withColumnRenamed("_mu", "mean")
+
+
+def _std_samp():
+    return F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1)))
+
+
 def pair_variation(edges: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """H-3: per pair count, mean over hours of the per-hour sample std, the same
     over weekdays, CV = std/mean (0 when mean is 0), lag-1 autocorrelation,
-    mean and sample std. No ``avg > 0`` filter, as in the reference."""
+    mean and sample std. No ``avg > 0`` filter, as in the reference.
+
+    The rows are aggregated once, by (pair, hour, weekday): at most 168 cells a
+    pair, from which all spreads are rolled up."""
     from .series import autocorr_lag1
     e = _restrict(edges, pairs).select(*PAIR, "ts", "avg")
-    by_hour = (e.groupBy(*PAIR, hour_of("ts").alias("h"))
-                .agg(F.stddev_samp("avg").alias("s"))
-                .groupBy(*PAIR).agg(F.avg("s").alias("hourly_variation")))
-    by_day = (e.groupBy(*PAIR, weekday_of("ts").alias("d"))
-               .agg(F.stddev_samp("avg").alias("s"))
-               .groupBy(*PAIR).agg(F.avg("s").alias("daily_variation")))
-    base = e.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("count"),
-                                F.avg("avg").alias("mean_latency"),
-                                F.stddev_samp("avg").alias("std_latency"))
-    ac = autocorr_lag1(e, min_n=3)
-    out = (base.join(by_hour, PAIR, "left").join(by_day, PAIR, "left")
-               .join(ac.select(*PAIR, F.col("autocorr").alias("autocorrelation")), PAIR, "left"))
+    cells = persist_table(
+        e.groupBy(*PAIR, hour_of("ts").alias("h"), weekday_of("ts").alias("d"))
+         .agg(F.count(F.lit(1)).alias("rows"), F.count("avg").alias("n"), F.avg("avg").alias("mean"),
+              (F.var_pop("avg") * F.count("avg")).alias("m2")), "pair-cells")
+    filled = cells.where(F.col("n") > 0)
+
+    def spread(part: str, name: str) -> DataFrame:
+        return (_rolled_up(filled, [*PAIR, part]).groupBy(*PAIR).agg(F.avg(_std_samp()).alias(name)))
+
+    counts = cells.groupBy(*PAIR).agg(F.sum("rows").alias("count"))
+    base = _rolled_up(filled, PAIR).select(*PAIR, F.col("mean").alias("mean_latency"), _std_samp().alias("std_latency"))
+    ac = autocorr_lag1(e, min_n=3).select(*PAIR, F.col("autocorr").alias("autocorrelation"))
+    out = counts
+    for part in (base, spread("h", "hourly_variation"), spread("d", "daily_variation"), ac):
+        out = out.join(part, PAIR, "left")
     cv = F.when(F.col("mean_latency") != 0,
                 F.try_divide(F.col("std_latency"), F.col("mean_latency"))).otherwise(F.lit(0.0))
     return out.select(*PAIR, "count", r6("hourly_variation").alias("hourly_variation"),
@@ -149,10 +171,10 @@ def pair_cv(edges: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
                     r6("std").alias("std"), r6(cv).alias("cv"), "count")
 
 
-def trend(edges: DataFrame, pairs: DataFrame | None = None, min_n: int = 20) -> DataFrame:
+def trend_scores(edges: DataFrame, pairs: DataFrame | None = None, min_n: int = 20) -> DataFrame:
     """H-9 … H-12: per pair (``avg > 0``, ts order, ``n >= min_n``) mean,
     population std, CV, least-squares slope of latency on row index,
-    stability class, trend class and modelability score."""
+    stability class, trend class and modelability score, none of them rounded."""
     e = _restrict(edges, pairs).where(F.col("avg") > 0).select(*PAIR, "ts", "avg")
     idx = ordered_index(e, PAIR, "ts", ["avg"])
     a = idx.groupBy(*PAIR).agg(
@@ -169,24 +191,39 @@ def trend(edges: DataFrame, pairs: DataFrame | None = None, min_n: int = 20) ->
            .when(F.col("slope") > 0, "Increasing").otherwise("Decreasing"))
     a = a.withColumn("stability_class", stab).withColumn("trend_class", tr)
     model = ((1 - F.col("cv")) + F.when(F.col("trend_class") == "No Trend", 1.0).otherwise(0.5)) / 2
-    return a.select(*PAIR, pair_label().alias("pair"), "count", r6("mean").alias("mean"),
-                    r6("cv").alias("cv"), r6("slope").alias("slope"), "stability_class",
-                    "trend_class", r6(model).alias("modelability"))
-
-
-def modelability_ranking(trend_df: DataFrame, k: int = 15, threshold: float = 0.7) -> DataFrame:
-    """H-12: pairs ranked by modelability (desc, ties by pair) with a flag for
-    score > threshold; the top-``k`` list is the report."""
-    return (trend_df.withColumn("high_modelability", F.col("modelability") > threshold)
-                    .orderBy(F.desc("modelability"), F.asc("src"), F.asc("dst"))
-                    .limit(k))
-
-
-def class_counts(trend_df: DataFrame) -> DataFrame:
-    """H-13: pairs per (kind, class) for the stability and trend classes,
-    plus the high-modelability share."""
-    st = trend_df.groupBy(F.col("stability_class").alias("class")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("stability"))
-    tr = trend_df.groupBy(F.col("trend_class").alias("class")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("trend"))
-    return st.unionByName(tr).select("kind", "class", "n")
+    return a.select(*PAIR, pair_label().alias("pair"), "count", "mean", "cv", "slope", "stability_class",
+                    "trend_class", model.alias("modelability"))
+
+
+def _rounded(scores: DataFrame, *more: str) -> DataFrame:
+    return scores.select(*PAIR, "pair", "count", *[r6(c).alias(c) for c in ("mean", "cv", "slope")], "stability_class",
+                         "trend_class", r6("modelability").alias("modelability"), *more)
+
+
+def trend(edges: DataFrame, pairs: DataFrame | None = None, min_n: int = 20) -> DataFrame:
+    """:func:`trend_scores` rounded for a report."""
+    return _rounded(trend_scores(edges, pairs, min_n))
+
+
+def modelability_ranking(scores: DataFrame, k: int = 15, threshold: float = 0.7) -> DataFrame:
+    """H-12: pairs ranked by their unrounded modelability (desc, ties by pair)
+    with a flag for score > threshold; the top-``k`` list is the report."""
+    top = (scores.withColumn("high_modelability", F.col("modelability") > threshold)
+                 .orderBy(F.desc("modelability"), F.asc("src"), F.asc("dst")).limit(k))
+    return _rounded(top, "high_modelability")
+
+
+def modelability_share(scores: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """H-12: one row: pairs, pairs whose unrounded modelability exceeds ``threshold``, and their share in %."""
+    high = F.count_if(F.col("modelability") > threshold)
+    return scores.agg(F.count(F.lit(1)).alias("n_pairs"), high.alias("n_high"),
+                      r6(F.try_divide(high * 100.0, F.count(F.lit(1)))).alias("high_pct"))
+
+
+def class_counts(scores: DataFrame) -> DataFrame:
+    """H-13: pairs per (kind, class) for the stability and trend classes, with their share of all pairs in %."""
+    kinds = F.array(F.struct(F.lit("stability").alias("kind"), F.col("stability_class").alias("class")),
+                    F.struct(F.lit("trend").alias("kind"), F.col("trend_class").alias("class")))
+    n = (scores.groupBy("stability_class", "trend_class").agg(F.count(F.lit(1)).alias("m"))
+               .select("m", F.explode(kinds).alias("c")).groupBy("c.kind", "c.class").agg(F.sum("m").alias("n")))
+    return n.select("kind", "class", "n", r6(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("kind"))).alias("pct"))

@@ -8,11 +8,13 @@ task. Window token lists are bounded by the window size (<= 128 rows).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import r6
-from .ordering import ordered_index
+from ..functions.time import hour_of, r6
+from .ordering import ordered_index, with_lags
 from .quantiles import exact_quantiles
 
 # Token vocabulary of the measurement language (ids are ours;
@@ -104,11 +106,21 @@ def byte_sequence(opt_v4: DataFrame) -> DataFrame:
     (10 discrete tokens per measurement incl. the separator)."""
     def bytes_of(x):
         return [(F.floor(x / (1 << s)) % 256).cast("int") for s in (24, 16, 8, 0)]
-    ok = F.when((F.col("sent") == F.col("rcvd")) & (F.col("avg") > 0), F.lit(BYTE_SUCCESS)).otherwise(F.lit(BYTE_FAIL))
+    ok = F.when(succeeded(), F.lit(BYTE_SUCCESS)).otherwise(F.lit(BYTE_FAIL))
     toks = F.array(*bytes_of(F.col("src_ipv4_int")), *bytes_of(F.col("dst_ipv4_int")), ok, F.lit(BYTE_SEP))
     return opt_v4.withColumn("byte_tokens", toks)
 
 
+def succeeded() -> Column:
+    """All packets came back with a latency."""
+    return F.coalesce((F.col("sent") == F.col("rcvd")) & (F.col("avg") > 0), F.lit(False))
+
+
+def time_of_week(ts="ts") -> Column:
+    """The 10-minute bucket of the week (0 = Monday midnight UTC), 0..1007."""
+    return F.floor(((_c(ts) + 3 * 86400) % 604800) / TIME_BUCKET_SECONDS).cast("int")
+
+
 # ---------------------------------------------------------------- J-4
 def decode_tokens(tokens="tokens") -> Column:
     """J-4: token ids -> names by range."""
@@ -188,6 +200,15 @@ def split(opt: DataFrame, train_share_hex: str = "b333") -> DataFrame:
 
 
 # ---------------------------------------------------------------- I-9
+def _windows_of(sizes: list[int]) -> Column:
+    """The windows (size, wid) of all sizes that hold the row at ``rn`` of ``_n``: at most two of each size."""
+    p = F.col("rn") - 1
+    every = [F.struct(F.lit(s).alias("size"), (F.floor(p / (s // 2)) - back).cast("int").alias("wid"))
+             for s in sizes for back in (0, 1)]
+    return F.explode(F.filter(F.array(*every), lambda w: (w["wid"] >= 0) & (w["wid"] * F.floor(w["size"] / 2) < F.col("_n") - w["size"]))
+                     ).alias("w")
+
+
 def training_windows(df: DataFrame, key: str = "prb_id", sizes: list[int] | None = None,
                      tiebreak: list[str] | None = None) -> DataFrame:
     """I-9: per probe in ts order, windows of each size with stride size/2,
@@ -199,16 +220,7 @@ def training_windows(df: DataFrame, key: str = "prb_id", sizes: list[int] | None
     idx = ordered_index(df, [key], "ts", tiebreak)
     n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     idx = idx.join(n, key)
-    p = F.col("rn") - 1
-    parts = []
-    for s in sizes:
-        st = s // 2
-        w = F.explode(F.array(F.floor(p / st), F.floor(p / st) - 1)).alias("wid")
-        parts.append(idx.select(key, "ts", "avg", "sent", "rcvd", "_n", F.lit(s).alias("size"), w)
-                        .where((F.col("wid") >= 0) & (F.col("wid") * st < F.col("_n") - s)))
-    u = parts[0]
-    for x in parts[1:]:
-        u = u.unionByName(x)
+    u = idx.select(key, "ts", "avg", "sent", "rcvd", _windows_of(sizes)).select("*", "w.size", "w.wid")
     ok = (F.col("sent") == F.col("rcvd")) & (F.col("avg") > 0)
     a = u.groupBy(key, "size", "wid").agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
@@ -220,29 +232,39 @@ def training_windows(df: DataFrame, key: str = "prb_id", sizes: list[int] | None
 
 
 def window_sequences(opt_v4: DataFrame, key: str = "prb_id", sizes: list[int] | None = None) -> DataFrame:
-    """I-9 + J-3: the byte-token sequence of every window: condition token,
-    then each measurement's 10 tokens in ts order (<= 128 rows per window)."""
+    """I-9 + J-3: the training sequence of every window in both conditions, as long as the window's size asks.
+
+    ``tokens``: the condition, then for each measurement in ts order its bytes,
+    outcome and separator; of the last measurement, the one to predict, the
+    bytes alone. ``latency``: one value per known measurement, NULL where it
+    failed — in both conditions. ``week_time`` and ``gap`` (10-minute bucket of the
+    week; seconds since the measurement before, 0 for the first): one value per
+    measurement, the last included, under TEMPORAL only; NULL otherwise.
+    ``target_success`` and ``target_latency`` (NULL when it failed) are the
+    outcome of the last measurement. A window holds at most ``max(sizes)`` rows.
+    """
     sizes = sizes or WINDOW_SIZES
-    b = byte_sequence(opt_v4)
+    b = byte_sequence(opt_v4).withColumn("_ok", succeeded())
     idx = ordered_index(b, [key], "ts", ["dst_addr_display", "avg"])
     n = b.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    idx = idx.join(n, key)
-    p = F.col("rn") - 1
-    parts = []
-    for s in sizes:
-        st = s // 2
-        w = F.explode(F.array(F.floor(p / st), F.floor(p / st) - 1)).alias("wid")
-        parts.append(idx.select(key, "rn", "byte_tokens", "_n", F.lit(s).alias("size"), w)
-                        .where((F.col("wid") >= 0) & (F.col("wid") * st < F.col("_n") - s)))
-    u = parts[0]
-    for x in parts[1:]:
-        u = u.unionByName(x)
-    seq = u.groupBy(key, "size", "wid").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("rn", "byte_tokens"))),
-                              lambda s: s["byte_tokens"])).alias("body"))
-    cond = F.explode(F.array(F.lit(BYTE_TEMPORAL), F.lit(BYTE_NO_TEMPORAL))).alias("cond")
-    return seq.select(key, "size", "wid", cond, "body") \
-              .select(key, "size", "wid", F.concat(F.array("cond"), F.col("body")).alias("tokens"))
+    latency = F.when(F.col("_ok"), F.col("avg").cast("double"))
+    u = idx.join(n, key).select(key, F.struct("rn", "byte_tokens", "ts", latency.alias("latency"), F.col("_ok").alias("ok")).alias("m"),
+                                _windows_of(sizes)).select(key, "m", "w.size", "w.wid")
+    seq = u.groupBy(key, "size", "wid").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    known = F.slice("ms", 1, F.size("ms") - 1)
+    last = F.element_at("ms", -1)
+    body = F.concat(F.flatten(F.transform(known, lambda m: m["byte_tokens"])), F.slice(last["byte_tokens"], 1, 8))
+    gap = F.transform("ms", lambda m, i: m["ts"] - F.get("ms", F.greatest(i - 1, F.lit(0)))["ts"])
+    conds = F.explode(F.array(*[F.struct(F.lit(c).alias("condition"), F.lit(t).alias("token"))
+                                for c, t in zip(CONDITIONS, (BYTE_TEMPORAL, BYTE_NO_TEMPORAL), strict=True)])).alias("c")
+    timed = F.col("c.condition") == CONDITIONS[0]
+    made = seq.select(key, "size", "wid", body.alias("body"), F.transform(known, lambda m: m["latency"]).alias("latency"),
+                      F.transform("ms", lambda m: time_of_week(m["ts"])).alias("week_time"), gap.alias("gap"),
+                      last["ok"].alias("target_success"), last["latency"].alias("target_latency"))
+    return made.select("*", conds).select(
+        key, "size", "wid", "c.condition", F.concat(F.array("c.token"), "body").alias("tokens"), "latency",
+        F.when(timed, F.col("week_time")).alias("week_time"), F.when(timed, F.col("gap")).alias("gap"),
+        "target_success", "target_latency")
 
 
 # ---------------------------------------------------------------- J-9
@@ -259,20 +281,59 @@ def evaluate(pred: DataFrame, y: str = "y", p: str = "pred", by: list[str] | Non
                     r6(F.col("mae") + z * se).alias("ci_hi"))
 
 
-def delta_mae(evaluated: DataFrame, cond_col: str, a: str, b: str, by: list[str] | None = None) -> DataFrame:
-    """J-9: ΔMAE = MAE(a) - MAE(b) between two conditions (or methods)."""
+def window_errors(forecasts: DataFrame, methods: list[str], keys: list[str], lengths: list[int] | None = None) -> DataFrame:
+    """Mean absolute error of every method in every full window of ``length`` consecutive rows (tumbling by ``rn``),
+    over the rows for which all methods have a forecast. Output: keys, length, wid, hour (of the window's first row),
+    n, one column per method. ``forecasts`` has keys, rn, ts, y and the methods' columns.
+
+    Rows are summed once, in runs of the lengths' greatest common divisor; the
+    lengths' windows are put together from those."""
+    lengths = lengths or WINDOW_SIZES
+    step = math.gcd(*lengths)
+    whole = F.col("y").isNotNull()
+    for m in methods:
+        whole = whole & F.col(m).isNotNull()
+    runs = forecasts.groupBy(*keys, F.floor((F.col("rn") - 1) / step).alias("_run")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("ts").alias("_ts"), F.count_if(whole).alias("n"),
+        *[F.sum(F.when(whole, F.abs(F.col("y") - F.col(m)))).alias(m) for m in methods])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("length"), F.floor(F.col("_run") * step / k).alias("wid")) for k in lengths]))
+    w = (runs.select("*", each.alias("_w")).groupBy(*keys, "_w.length", "_w.wid")
+         .agg(F.sum("_rows").alias("_rows"), F.min("_ts").alias("_ts"), F.sum("n").alias("n"), *[F.sum(m).alias(m) for m in methods]))
+    return (w.where((F.col("_rows") == F.col("length")) & (F.col("n") > 0))
+             .select(*keys, F.col("length").cast("bigint").alias("length"), F.col("wid").cast("bigint").alias("wid"),
+                     hour_of(F.col("_ts")).alias("hour"), "n", *[(F.col(m) / F.col("n")).alias(m) for m in methods]))
+
+
+def delta_mae(windows: DataFrame, a: str, others: list[str], by: list[str] | None = None, z: float = 1.96) -> DataFrame:
+    """J-9: how much smaller the error of each of ``others`` is than that of ``a``, paired by window.
+
+    ``windows`` has one row per window with the methods' errors as columns
+    (:func:`window_errors`). Output: by, method, n_windows, mae_a, mae, delta_mae
+    (mean of the windows' differences, unrounded until the end; above 0: better than
+    ``a``), its normal confidence interval, t_stat (NULL when all differences
+    agree or there is one window) and whether the interval leaves out 0."""
     by = by or []
-    piv = evaluated.groupBy(*by).agg(F.max(F.when(F.col(cond_col) == a, F.col("mae"))).alias("mae_a"),
-                                     F.max(F.when(F.col(cond_col) == b, F.col("mae"))).alias("mae_b"))
-    return piv.withColumn("delta_mae", r6(F.col("mae_a") - F.col("mae_b")))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("e")) for m in others])).alias("o")
+    d = F.col(a) - F.col("o.e")
+    g = windows.select(*by, a, each).groupBy(*by, "o.method").agg(
+        F.count(d).alias("n_windows"), F.avg(F.when(d.isNotNull(), F.col(a))).alias("mae_a"), F.avg(F.when(d.isNotNull(), F.col("o.e"))).alias("mae"),
+        F.avg(d).alias("delta"), F.when((F.count(d) > 1) & (F.max(d) > F.min(d)), F.stddev_samp(d)).alias("sd"))
+    se = F.col("sd") / F.sqrt(F.col("n_windows"))
+    t = F.col("delta") / se
+    return g.select(*by, "method", "n_windows", r6("mae_a").alias("mae_a"), r6("mae").alias("mae"), r6("delta").alias("delta_mae"),
+                    r6(F.col("delta") - z * se).alias("ci_lo"), r6(F.col("delta") + z * se).alias("ci_hi"), r6(t).alias("t_stat"),
+                    F.coalesce(F.abs(t) > z, F.lit(False)).alias("significant"))
 
 
 def success_accuracy(pred: DataFrame, label: str = "success", p: str = "pred_success",
-                     by: list[str] | None = None) -> DataFrame:
-    """J-9: accuracy of a success/failure prediction."""
+                     by: list[str] | None = None, z: float = 1.96) -> DataFrame:
+    """J-9: accuracy of a success/failure prediction with a normal confidence interval; rows without label or
+    prediction don't count."""
     by = by or []
-    return pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                 r6(F.avg((F.col(label) == F.col(p)).cast("double"))).alias("accuracy"))
+    hit = F.col(label) == F.col(p)
+    a = pred.where(hit.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(hit.cast("double")).alias("acc"))
+    se = F.sqrt(F.col("acc") * (1 - F.col("acc")) / F.col("n"))
+    return a.select(*by, "n", r6("acc").alias("accuracy"), r6(F.col("acc") - z * se).alias("ci_lo"), r6(F.col("acc") + z * se).alias("ci_hi"))
 
 
 # ---------------------------------------------------------------- J-10
@@ -308,9 +369,13 @@ def sample_sequences(windows: DataFrame, good_probes: DataFrame, n: int, seed: i
 
 
 # ------------------------------------------------------------- registry
-def entry_queries(ping_fn, map_fn, opt_fn) -> dict:
-    from ..operators.filters import ipv4_only
+METHODS = ["persistence", "moving_avg", "linear"]  # columns of series.baselines
+
+
+def entry_queries(opt_fn, edges_fn) -> dict:
+    from ..operators.filters import ipv4_only, success_label
     from ..operators.profile import probe_quality
+    from ..operators.series import baselines
 
     def q_tokenize(spark, sf):
         t = tokenize(opt_fn(spark, sf))
@@ -355,12 +420,29 @@ def entry_queries(ping_fn, map_fn, opt_fn) -> dict:
 
     def q_window_sequences(spark, sf):
         s = window_sequences(ipv4_only(opt_fn(spark, sf)))
-        return s.select("prb_id", F.col("size").cast("bigint").alias("size"), F.col("wid").cast("bigint").alias("wid"),
-                        F.size("tokens").cast("bigint").alias("n_tokens"),
-                        F.element_at("tokens", 1).cast("bigint").alias("first_token"),
-                        F.aggregate("tokens", F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("token_sum"))
+        us = F.transform("latency", lambda x: F.coalesce(F.round(x * 1000).cast("bigint").cast("string"), F.lit("-")))
+        return s.select("prb_id", F.col("size").cast("bigint").alias("size"), F.col("wid").cast("bigint").alias("wid"), "condition",
+                        F.array_join("tokens", " ").alias("tokens"), F.array_join(us, " ").alias("latency_us"),
+                        F.array_join("week_time", " ").alias("week_time"), F.array_join("gap", " ").alias("gap"),
+                        "target_success", r6("target_latency").alias("target_latency"))
+
+    def q_evaluate(spark, sf):
+        errors = window_errors(baselines(edges_fn(spark, sf)), METHODS, ["src", "dst"])
+        overall = delta_mae(errors, METHODS[0], METHODS[1:], ["length"])
+        hourly = delta_mae(errors, METHODS[0], METHODS[1:], ["length", "hour"])
+        return overall.withColumn("hour", F.lit(None).cast(hourly.schema["hour"].dataType)).unionByName(hourly)
+
+    def q_evaluate_mae(spark, sf):
+        return evaluate(baselines(edges_fn(spark, sf)).withColumn("hour", hour_of("ts")), p=METHODS[0], by=["hour"])
+
+    def q_success_accuracy(spark, sf):
+        e = success_label(edges_fn(spark, sf)).select("src", "dst", "ts", "avg", "success")
+        idx = ordered_index(e, ["src", "dst"], "ts", ["avg", "success"])
+        pred = with_lags(idx, ["src", "dst"], "success", 1).withColumn("hour", hour_of("ts"))
+        return success_accuracy(pred, p="lag_1", by=["hour"])
 
     return {"tokenize": q_tokenize, "validate_tokens": q_validate_tokens, "decode_tokens": q_decode_tokens,
             "token_stats": q_token_stats, "pad_and_mask": q_pad_and_mask, "byte_sequence": q_byte_sequence,
             "split": q_split, "training_windows": q_training_windows, "dataset_traits": q_dataset_traits,
-            "sample_sequences": q_sample_sequences, "window_sequences": q_window_sequences}
+            "sample_sequences": q_sample_sequences, "window_sequences": q_window_sequences, "evaluate": q_evaluate,
+            "evaluate_mae": q_evaluate_mae, "success_accuracy": q_success_accuracy}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import r6
+from ..session import persist_table
 from .ordering import group_sizes, ordered_index, with_lags
 
 PAIR = ["src", "dst"]
@@ -34,6 +35,14 @@ def attach(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner")
     return df.join(small, keys, how)
 
 
+def hours_from_start(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """E-4: hours of every row since the first row of its group. Output: keys, ts, hours."""
+    keys = keys or PAIR
+    e = edges.select(*keys, "ts")
+    first = e.groupBy(*keys).agg(F.min("ts").alias("t0"))
+    return attach(e, first, keys).select(*keys, "ts", r6((F.col("ts") - F.col("t0")) / 3600.0).alias("hours"))
+
+
 def autocorr_lag1(edges: DataFrame, keys: list[str] | None = None, value: str = "avg",
                   min_n: int = 3, undefined: float | None = None) -> DataFrame:
     """I-1: Pearson correlation of x[t] and x[t+1] in (ts, value) order per
@@ -59,30 +68,58 @@ def autocorr_multi(edges: DataFrame, max_lag: int = 60, min_n: int = 60,
                    keys: list[str] | None = None, value: str = "avg") -> DataFrame:
     """I-2: autocorrelation at lags 1..max_lag for groups with at least
     ``min_n`` rows (``avg > 0`` rows, ts order). Undefined values and lags
-    with fewer than two points give 0. Output: keys, lag, autocorr."""
+    with fewer than two points give 0. Output: keys, lag, autocorr.
+
+    One aggregate per group holds the sums of the (centred) values, their
+    squares and the product with each lagged value; it becomes one row per lag
+    only afterwards. What a lag leaves out of the plain sums are the group's
+    first and last ``lag`` rows, whose running sums come from at most
+    ``max_lag + 1`` rows at either end."""
     keys = keys or PAIR
     e = edges.where(F.col(value) > 0).select(*keys, "ts", value)
-    sizes = group_sizes(e, keys).where(F.col("n") >= min_n)
-    e = e.join(sizes.select(*keys), keys, "left_semi")
-    idx = ordered_index(e, keys, "ts", [value])
-    lagged = with_lags(idx, keys, value, max_lag)
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"lag_{k}").alias("x"))
-                                for k in range(1, max_lag + 1)])).alias("p")
-    long = lagged.select(*keys, F.col(value).alias("y"), pairs) \
-                 .select(*keys, "y", "p.lag", "p.x").where(F.col("x").isNotNull())
-    a = long.groupBy(*keys, "lag").agg(F.count(F.lit(1)).alias("m"), _pearson(F.col("x"), F.col("y")).alias("r"))
-    grid = sizes.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(max_lag))).alias("lag"))
-    out = grid.join(a, [*keys, "lag"], "left")
-    r = F.when(F.col("m") >= 2, F.coalesce(F.col("r"), F.lit(0.0))).otherwise(F.lit(0.0))
-    return out.select(*keys, F.col("lag").cast("bigint").alias("lag"), r6(r).alias("autocorr"))
+    sizes = (e.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mean"))
+              .where(F.col("_n") >= min_n))
+    centred = attach(e, sizes, keys).select(*keys, "ts", (F.col(value) - F.col("_mean")).alias("_x"), "_n")
+    idx = ordered_index(centred, keys, "ts", ["_x"])
+    lagged = with_lags(idx, keys, "_x", max_lag)
+    x = F.col("_x")
+    lags = range(1, max_lag + 1)
+    sums = lagged.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"),
+        F.count_if(x != F.col("lag_1")).alias("changes"),
+        *[F.sum(x * F.col(f"lag_{k}")).alias(f"p_{k}") for k in lags])
+    per_lag = sums.select(*keys, "n", "s", "q", "changes", F.posexplode(F.array(*[f"p_{k}" for k in lags])).alias("_k", "p")) \
+                  .select("*", (F.col("_k") + 1).alias("lag")).drop("_k")
+
+    def edge(rows: DataFrame, place, name: str) -> DataFrame:
+        """Running sums over the rows at one end, ``lag`` = 1 at the outermost; changes of value between them."""
+        w = Window.partitionBy(*keys).orderBy("lag")
+        # _c: whether the value changes towards the next row inwards, a transition that the lag leaves out
+        d = rows.select(*keys, place.alias("lag"), x).withColumn("_c", (x != F.lead(x).over(w)).cast("int"))
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        return d.select(*keys, "lag", F.sum(x).over(run).alias(f"s_{name}"), F.sum(x * x).over(run).alias(f"q_{name}"),
+                        F.coalesce(F.sum("_c").over(run), F.lit(0)).alias(f"c_{name}")).where(F.col("lag") <= max_lag)
+
+    head = edge(idx.where(F.col("rn") <= max_lag + 1), F.col("rn"), "head")
+    tail = edge(idx.where(F.col("rn") >= F.col("_n") - max_lag), F.col("_n") - F.col("rn") + 1, "tail")
+    j = per_lag.join(head, [*keys, "lag"], "left").join(tail, [*keys, "lag"], "left")
+    m = F.when(F.col("n") - F.col("lag") >= 2, (F.col("n") - F.col("lag")).cast("double"))
+    sx, sy = F.col("s") - F.col("s_tail"), F.col("s") - F.col("s_head")  # x: without the last rows, y: without the first
+    vx = F.col("q") - F.col("q_tail") - sx * sx / m
+    vy = F.col("q") - F.col("q_head") - sy * sy / m
+    constant = (F.col("changes") == F.col("c_tail")) | (F.col("changes") == F.col("c_head"))
+    r = F.try_divide(F.col("p") - sx * sy / m, F.sqrt(vx) * F.sqrt(vy))
+    r = F.when(~constant & (vx > 0) & (vy > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return j.select(*keys, F.col("lag").cast("bigint").alias("lag"), r6(F.coalesce(r, F.lit(0.0))).alias("autocorr"))
 
 
 def node_activity(succ: DataFrame, n_nodes: int = 50, src: str = "src", dst: str = "dst") -> DataFrame:
     """G-15: rows as source plus rows as destination per node (0/NULL
     excluded); the ``n_nodes`` most active (ties by smaller id)."""
-    nodes = succ.select(F.explode(F.array(F.col(src), F.col(dst))).alias("node"))
+    pairs = succ.groupBy(F.col(src).alias("_s"), F.col(dst).alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
+    nodes = pairs.select("_c", F.explode(F.array("_s", "_d")).alias("node"))  # once per pair, not per row
     c = nodes.where(F.col("node").isNotNull() & (F.col("node") != 0)) \
-             .groupBy("node").agg(F.count(F.lit(1)).alias("activity"))
+             .groupBy("node").agg(F.sum("_c").alias("activity"))
     return c.orderBy(F.desc("activity"), F.asc("node")).limit(n_nodes)
 
 
@@ -97,16 +134,25 @@ def bounded_series(edges: DataFrame, bound: int = 50, order: list[str] | None =
     return edges.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= bound).drop("_rn")
 
 
+def bounded_series_of_files(files: DataFrame, bound: int = 50, keys: list[str] | None = None) -> DataFrame:
+    """I-3 as the files stand: the first ``bound`` rows of each pair by file path, then by row in the file. ``files``
+    is read straight from Parquet files, whose metadata column tells both."""
+    place = files.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return bounded_series(place, bound, ["_file", "_row"], keys).drop("_file", "_row")
+
+
 def autocorr_matrix(succ: DataFrame, n_nodes: int = 50, bound: int | None = None, min_rows: int = 10,
                     order: list[str] | None = None, rounded: bool = True) -> DataFrame:
     """I-4: lag-1 autocorrelation matrix over the ``n_nodes`` most active
     nodes, long form (src, dst, autocorr). Each off-diagonal pair uses all of
     its successful rows in ts order (with ``bound`` only its first ones, I-3)
     and needs ``min_rows`` of them; undefined -> 0. Diagonal cells are 1.0."""
-    top = node_activity(succ, n_nodes)
+    columns = list(dict.fromkeys([*PAIR, "ts", "avg", *(order or [])]))
+    rows = persist_table(succ.select(*columns), "matrix-rows")  # the chain before is computed once, five columns wide
+    top = persist_table(node_activity(rows, n_nodes), "matrix-nodes")
     top_b = F.broadcast(top.select("node"))  # at most n_nodes rows
-    e = (succ.join(top_b, succ.src == top_b.node, "left_semi")
-             .join(top_b, succ.dst == top_b.node, "left_semi")
+    e = (rows.join(top_b, rows.src == top_b.node, "left_semi")
+             .join(top_b, rows.dst == top_b.node, "left_semi")
              .where(F.col("src") != F.col("dst")))
     if bound is not None:
         e = bounded_series(e, bound, order)
@@ -209,7 +255,7 @@ def baselines(edges: DataFrame, window: int = 7, keys: list[str] | None = None,
     """I-11 … I-13: per-row forecasts from earlier rows of the same pair
     (ts order): persistence (last value), moving average of the previous
     ``window`` values, linear trend fitted to the previous ``window``
-    values and extrapolated one step. Output: keys, rn, y, persistence,
+    values and extrapolated one step. Output: keys, rn, ts, y, persistence,
     moving_avg, linear."""
     keys = keys or PAIR
     e = edges.select(*keys, "ts", value)
@@ -225,7 +271,7 @@ def baselines(edges: DataFrame, window: int = 7, keys: list[str] | None = None,
     den = m * sxx - sx * sx
     slope = F.try_divide(m * sxy - sx * sy, den)
     intercept = (sy - slope * sx) / m
-    return lagged.select(*keys, "rn", F.col(value).alias("y"),
+    return lagged.select(*keys, "rn", "ts", F.col(value).alias("y"),
                          F.col("lag_1").alias("persistence"),
                          F.when(m > 0, sy / m).alias("moving_avg"),
                          F.when(m >= 2, intercept).alias("linear"))
@@ -246,28 +292,68 @@ def baseline_mae(edges: DataFrame, window: int = 7) -> DataFrame:
                     r6(F.col("sd") / F.sqrt(F.col("n"))).alias("mae_se"))
 
 
+MILLION = 1_000_000.0
+
+
+def panes(df: DataFrame, keys: list[str], width: int, time: str = "ts", value: str = "avg") -> DataFrame:
+    """Tumbling panes of ``width`` seconds: keys, pane (its start), n, n_ok, total of positive values in millionths. Rows
+    without a time belong to no pane. A total of whole numbers does not depend on the order in which parts are merged."""
+    t = F.col(time)
+    ok = F.col(value) > 0
+    return (df.where(t.isNotNull()).groupBy(*keys, (F.floor(t / width) * width).cast("bigint").alias("pane"))
+              .agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_ok"),
+                   F.sum(F.when(ok, F.round(F.col(value) * MILLION).cast("bigint"))).alias("total")))
+
+
+def merge_panes(parts: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Panes of ``width`` seconds from narrower ones, or from several parts of the same panes."""
+    return (parts.groupBy(*keys, (F.floor(F.col("pane") / width) * width).cast("bigint").alias("pane"))
+                 .agg(F.sum("n").alias("n"), F.sum("n_ok").alias("n_ok"), F.sum("total").alias("total")))
+
+
+def windows_of_panes(pane_rows: DataFrame, keys: list[str], size: int, slide: int) -> DataFrame:
+    """Sliding windows of ``size`` seconds every ``slide`` seconds from panes of ``slide`` seconds: each pane, not each
+    row, is copied to the windows that hold it. Output: keys, window_start, n, n_ok, mean (to the millionth, a half
+    rounded up)."""
+    back = F.transform(F.sequence(F.lit(0), F.lit(size // slide - 1)), lambda i: F.col("pane") - i * slide)
+    w = pane_rows.select(*keys, "n", "n_ok", "total", F.explode(back).alias("window_start"))
+    a = w.groupBy(*keys, "window_start").agg(F.sum("n").alias("n"), F.sum("n_ok").alias("n_ok"), F.sum("total").alias("total"))
+    return a.select(*keys, F.col("window_start").cast("bigint").alias("window_start"), "n", "n_ok",
+                    (F.expr("(2 * total + n_ok) div (2 * nullif(n_ok, 0))") / MILLION).alias("mean"))
+
+
 def multi_resolution_windows(df: DataFrame, key: str = "prb_id", value: str = "avg",
-                             resolutions: list[tuple[str, str]] | None = None) -> DataFrame:
+                             resolutions: list[tuple[int, int]] | None = None) -> DataFrame:
     """I-10: sliding time windows per probe at several (size, slide)
-    resolutions: rows, successful rows and mean latency of successful rows
-    per window. Windows are aligned to the epoch."""
-    resolutions = resolutions or RESOLUTIONS
-    t = F.timestamp_seconds("ts")
-    parts = []
+    resolutions in seconds: rows, successful rows and mean latency of
+    successful rows per window. Windows are aligned to the epoch.
+
+    The rows are read and aggregated once, into panes of the finest slide;
+    every coarser slide is merged from the panes before it."""
+    resolutions = sorted(resolutions or RESOLUTIONS, key=lambda r: r[1])
+    out, base, step = None, None, 1
     for size, slide in resolutions:
-        w = F.window(t, size, slide)
-        parts.append(
-            df.groupBy(F.lit(f"{size}/{slide}").alias("resolution"), key, w.alias("w"))
-              .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) > 0).alias("n_ok"),
-                   F.avg(F.when(F.col(value) > 0, F.col(value))).alias("mean"))
-              .select("resolution", key, F.unix_seconds(F.col("w.start")).alias("window_start"),
-                      "n", "n_ok", r6("mean").alias("mean")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        if size % slide:
+            raise ValueError(f"a window of {size} s is not a whole number of slides of {slide} s")
+        if base is None or slide % step:
+            base = panes(df, [key], slide, value=value)
+        elif slide != step:
+            base = merge_panes(base, [key], slide)
+        step = slide
+        part = windows_of_panes(base, [key], size, slide).select(
+            F.lit(_resolution_name(size, slide)).alias("resolution"), key, "window_start", "n", "n_ok", "mean")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-# The (size, slide) resolutions named in the design notes.
-RESOLUTIONS = [("10 seconds", "1 second"), ("5 minutes", "30 seconds"),
-               ("2 hours", "15 minutes"), ("1 day", "4 hours")]
+def _resolution_name(size: int, slide: int) -> str:
+    def text(seconds: int) -> str:
+        for unit, width in (("day", 86_400), ("hour", 3_600), ("minute", 60), ("second", 1)):
+            if seconds % width == 0:
+                n = seconds // width
+                return f"{n} {unit}{'s' if n > 1 else ''}"
+    return f"{text(size)}/{text(slide)}"
+
+
+# The (size, slide) resolutions named in the design notes, in seconds.
+RESOLUTIONS = [(10, 1), (5 * 60, 30), (2 * 3600, 15 * 60), (86_400, 4 * 3600)]

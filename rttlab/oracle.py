@@ -6,7 +6,7 @@ and aggregates over the same fixture views (inlined as CTEs).
 
 from __future__ import annotations
 
-from .sources.fixtures import DUCK_PING, DUCK_PROBE_IP_MAP
+from .sources.fixtures import DUCK_PING, DUCK_PING_EDGE, DUCK_PROBE_IP_MAP
 
 H = "100.0::double"
 
@@ -104,10 +104,10 @@ tc as (select *, case when cv < 0.2 then 'Highly Stable' when cv < 0.4 then 'Mod
                  as stability_class,
               case when abs(slope) * count < 1 then 'No Trend' when slope > 0 then 'Increasing' else 'Decreasing' end
                  as trend_class from tb),
-trend as (select src, dst, concat_ws('→', src::varchar, dst::varchar) as pair, count, round(mean, 6) as mean,
-                 round(cv, 6) as cv, round(slope, 6) as slope, stability_class, trend_class,
-                 round(((1 - cv) + case when trend_class = 'No Trend' then 1.0 else 0.5 end) / 2, 6) as modelability
-          from tc)
+trend0 as (select src, dst, concat_ws('→', src::varchar, dst::varchar) as pair, count, mean, cv, slope, stability_class, trend_class,
+                  ((1 - cv) + case when trend_class = 'No Trend' then 1.0 else 0.5 end) / 2 as modelability from tc),
+trend as (select src, dst, pair, count, round(mean, 6) as mean, round(cv, 6) as cv, round(slope, 6) as slope, stability_class,
+                 trend_class, round(modelability, 6) as modelability from trend0)
 """
 
 ROLLING = """
@@ -154,12 +154,17 @@ RES = [("10 seconds", "1 second", 10, 1), ("5 minutes", "30 seconds", 300, 30),
        ("2 hours", "15 minutes", 7200, 900), ("1 day", "4 hours", 86400, 14400)]
 
 
+# in whole millionths: a sum of doubles depends on the order of its rows, which decides ties of the rounding
+PANE_MEAN = ("((2 * coalesce(sum(round(avg * 1000000.0::double)::bigint) filter (avg > 0), 0) + count(*) filter (avg > 0))"
+             " // (2 * nullif(count(*) filter (avg > 0), 0)))::double / 1000000.0::double")
+
+
 def _mrw() -> str:
     parts = []
     for size, slide, s, sl in RES:
         parts.append(f"""select '{size}/{slide}' as resolution, prb_id,
             (ts - ts % {sl}) - k * {sl} as window_start, count(*) as n, count_if(avg > 0) as n_ok,
-            round(avg(case when avg > 0 then avg end), 6) as mean
+            {PANE_MEAN} as mean
             from ping cross join range(0, {s // sl}) t(k) group by all""")
     return "\nunion all\n".join(parts)
 
@@ -320,10 +325,15 @@ ORACLE = {
         round(case when avg(avg) > 0 then stddev_pop(avg) / avg(avg) else 0.0 end, 6) as cv, count(*) as count
         from edges where avg > 0 group by src, dst having count(*) > 1"""),
     "trend": q("select * from trend", TREND),
-    "modelability": q("""select *, modelability > 0.7 as high_modelability from trend
-        order by modelability desc, src, dst limit 15""", TREND),
-    "class_counts": q("""select 'stability' as kind, stability_class as "class", count(*) as n from trend group by 2
-        union all select 'trend', trend_class, count(*) from trend group by 2""", TREND),
+    "modelability": q("""select src, dst, pair, count, round(mean, 6) as mean, round(cv, 6) as cv, round(slope, 6) as slope,
+        stability_class, trend_class, round(modelability, 6) as modelability, modelability > 0.7 as high_modelability from trend0
+        order by trend0.modelability desc, src, dst limit 15""", TREND),
+    "modelability_share": q("""select count(*) as n_pairs, count_if(modelability > 0.7) as n_high,
+        round(count_if(modelability > 0.7) * 100.0::double / nullif(count(*), 0), 6) as high_pct from trend0""", TREND),
+    "class_counts": q("""select 'stability' as kind, stability_class as "class", count(*) as n,
+            round(count(*) * 100.0::double / (select count(*) from trend), 6) as pct from trend group by 2
+        union all select 'trend', trend_class, count(*), round(count(*) * 100.0::double / (select count(*) from trend), 6)
+        from trend group by 2""", TREND),
     "autocorr_lag1": q(f"select * from {lag1('edges', 'src, dst', 3)}"),
     "autocorr_multi": q(f"""select s.src, s.dst, l.lag::bigint as lag,
         round(case when ag.m >= 2 then coalesce(ag.r, 0.0) else 0.0 end, 6) as autocorr
@@ -421,8 +431,19 @@ def _decode() -> str:
             "when x = 67593 then 'UNKNOWN_ADDRESS' else 'UNKNOWN(' || x::varchar || ')' end)")
 
 
-def _bytes_sum(x: str) -> str:
-    return " + ".join(f"(floor({x} / {1 << s})::bigint % 256)" for s in (24, 16, 8, 0))
+def _octets(x: str) -> str:
+    return " || ' ' || ".join(f"(floor({x} / {1 << s})::bigint % 256)::varchar" for s in (24, 16, 8, 0))
+
+
+def _delta(hour: str) -> str:
+    se = "stddev_samp(a - e) / sqrt(count(*))"
+    some = "count(*) > 1 and max(a - e) > min(a - e)"
+    return f"""select length, {hour} as hour, method, count(*) as n_windows, round(avg(a), 6) as mae_a, round(avg(e), 6) as mae,
+        round(avg(a - e), 6) as delta_mae, round(case when {some} then avg(a - e) - 1.96 * {se} end, 6) as ci_lo,
+        round(case when {some} then avg(a - e) + 1.96 * {se} end, 6) as ci_hi,
+        round(case when {some} then avg(a - e) / ({se}) end, 6) as t_stat,
+        coalesce(case when {some} then abs(avg(a - e) / ({se})) > 1.96 end, false) as significant
+        from ev group by length, {'method' if hour.startswith('null') else 'hour, method'}"""
 
 
 ORACLE.update({
@@ -469,18 +490,93 @@ ORACLE.update({
                                            having count(*) >= 20 and count(distinct dst_addr_display) >= 5)
          order by md5(concat_ws('|', '42', prb_id::varchar, size::varchar, wid::varchar)) limit 20)
         cross join (values ('TEMPORAL'), ('NO_TEMPORAL')) c(condition)""", TW),
-    "window_sequences": q(f"""select prb_id, size, wid, (1 + 10 * count(*))::bigint as n_tokens, c.cond::bigint as first_token,
-        (c.cond + sum({_bytes_sum('src_ipv4_int')} + {_bytes_sum('dst_ipv4_int')}
-                      + case when sent = rcvd and avg > 0 then 256 else 257 end + 258))::bigint as token_sum
-        from ws_x cross join (values (259), (260)) c(cond)
-        where wid >= 0 and wid * (size // 2) < n - size group by prb_id, size, wid, c.cond""",
-        """ws_r as (select *, row_number() over (partition by prb_id order by ts, dst_addr_display, avg) - 1 as p,
+    "window_sequences": q(f"""select prb_id, size, wid, c.condition, (c.token::varchar || ' ' ||
+            string_agg(case when k < size then {_octets('src_ipv4_int')} || ' ' || {_octets('dst_ipv4_int')} || ' ' || (case when ok then 256 else 257 end)::varchar || ' 258'
+                            else {_octets('src_ipv4_int')} || ' ' || {_octets('dst_ipv4_int')} end, ' ' order by k)) as tokens,
+        string_agg(coalesce(case when ok then round(avg::double * 1000)::bigint::varchar end, '-'), ' ' order by k) filter (k < size) as latency_us,
+        case when c.condition = 'TEMPORAL' then string_agg(floor(((ts + 259200) % 604800) / 600)::bigint::varchar, ' ' order by k) end as week_time,
+        case when c.condition = 'TEMPORAL' then string_agg((ts - prev)::varchar, ' ' order by k) end as gap,
+        bool_or(ok) filter (k = size) as target_success, round(max(case when ok and k = size then avg::double end), 6) as target_latency
+        from (select *, row_number() over (partition by prb_id, size, wid order by p) as k,
+                     coalesce(lag(ts) over (partition by prb_id, size, wid order by p), ts) as prev
+              from ws_x where wid >= 0 and wid * (size // 2) < n - size)
+        cross join (values (259, 'TEMPORAL'), (260, 'NO_TEMPORAL')) c(token, condition)
+        group by prb_id, size, wid, c.condition, c.token""",
+        """ws_r as (select *, coalesce(sent = rcvd and avg > 0, false) as ok,
+                          row_number() over (partition by prb_id order by ts, dst_addr_display, avg) - 1 as p,
                           count(*) over (partition by prb_id) as n
                    from opt where src_ipv4_int is not null and src_ipv4_int > 0
                               and dst_ipv4_int is not null and dst_ipv4_int > 0),
            ws_x as (select r.*, s.size::bigint as size, unnest([p // (s.size // 2), p // (s.size // 2) - 1])::bigint as wid
                     from ws_r r cross join (values (20), (40), (80), (128)) s(size))"""),
+    "evaluate": q(f"""{_delta('null::bigint')} union all {_delta('hour')}""", BASELINE + f""",
+ev_b as (select b.*, e.ts from bb b join be e using (src, dst, rn)),
+ev_w as (select src, dst, k.length::bigint as length, (rn - 1) // k.length as wid, min(ts) as t0, count(*) as c,
+                avg(abs(y - persistence)) filter (ok) as e_persistence, avg(abs(y - moving_avg)) filter (ok) as e_moving_avg,
+                avg(abs(y - case when m >= 2 then ic + sl * rn end)) filter (ok) as e_linear
+         from (select *, y is not null and persistence is not null and moving_avg is not null and m >= 2
+                         and ic + sl * rn is not null as ok from ev_b) cross join (values (20), (40), (80), (128)) k(length)
+         group by src, dst, k.length, (rn - 1) // k.length having count(*) = k.length and count_if(ok) > 0),
+ev as (select w.length, hour(make_timestamp(t0 * 1000000))::bigint as hour, o.method, e_persistence as a,
+              case o.method when 'linear' then e_linear else e_moving_avg end as e
+       from ev_w w cross join (values ('moving_avg'), ('linear')) o(method))"""),
+    "evaluate_mae": q(f"""select hour, count(*) as n, round(avg(abs(y - persistence)), 6) as mae,
+        round(avg(abs(y - persistence)) - 1.96 * stddev_samp(abs(y - persistence)) / sqrt(count(*)), 6) as ci_lo,
+        round(avg(abs(y - persistence)) + 1.96 * stddev_samp(abs(y - persistence)) / sqrt(count(*)), 6) as ci_hi
+        from (select cast(hour({TS}) as bigint) as hour, b.y, b.persistence from bb b join be using (src, dst, rn))
+        where persistence is not null group by hour""", BASELINE),
+    "success_accuracy": q(f"""select hour, count(*) as n, round(avg(hit), 6) as accuracy,
+        round(avg(hit) - 1.96 * sqrt(avg(hit) * (1 - avg(hit)) / count(*)), 6) as ci_lo,
+        round(avg(hit) + 1.96 * sqrt(avg(hit) * (1 - avg(hit)) / count(*)), 6) as ci_hi from
+        (select cast(hour({TS}) as bigint) as hour, (success = prev)::int::double as hit from
+         (select ts, success, lag(success) over (partition by src, dst order by ts, avg, success) as prev
+          from (select *, sent = rcvd as success from edges))) where hit is not null group by hour"""),
 })
 
 ORACLE["stream_ingest"] = ORACLE["parse_measurements"]
 ORACLE["optimize_write_readback"] = ORACLE["optimize_dataset"]
+
+
+# ---------------------------------------------------------------- awkward rows, files, streams
+def edge(sql: str) -> str:
+    """The same query over the view with awkward rows."""
+    return sql.replace(DUCK_PING, DUCK_PING_EDGE)
+
+
+for _name in ("parse_measurements", "resolve_dst_probe", "mapped_probe_coverage", "optimize_dataset", "ip_pair_distribution", "tokenize"):
+    ORACLE[_name + "_edge"] = edge(ORACLE[_name])
+
+LINES = """lines as (select *, ts % 5 as dump, ts % 7 = 3 and ts % 5 < 4 as bad from ping)"""
+
+ORACLE.update({
+    "stream_rows": edge(q("""select prb_id, dst_addr, ts, sent, rcvd, avg, rtt_1, rtt_2, rtt_3 from parsed
+        where sent = 3 and not (ts % 7 = 3 and ts % 5 < 4)""")),
+    "stream_rejects": edge(q("""select dump, '{"prb_id": ' || prb_id::varchar || ', "timestamp": ' || ts::varchar
+        || ', "dst_addr": "10.' as line from lines where bad""", LINES)),
+    "ingest_report": edge(q("""select dump, count(*) as "rows", count_if(not bad) as ok_rows, count_if(bad) as corrupt_rows,
+        count_if(bad) = 0 as ok from lines group by dump""", LINES)),
+    "ingest_summary": edge(q("""select count(*) as files, count_if(c = 0) as ok_files, count_if(c > 0) as failed_files,
+        sum(n)::bigint as "rows", sum(n - c)::bigint as ok_rows, sum(c)::bigint as corrupt_rows
+        from (select dump, count(*) as n, count_if(bad) as c from lines group by dump)""", LINES)),
+    "stream_windows": edge(q("""select prb_id, (ts - ts % 30) - k * 30 as window_start, count(*) as n, count(*) filter (avg > 0) as n_ok,
+        """ + PANE_MEAN + """ as mean
+        from lines cross join range(0, 10) t(k) where not bad and sent = 3 group by all""", LINES)),
+    "write_read_ping": q("select prb_id, ts, avg from ping"),
+    "sample_head": q("select prb_id, ts, dst_addr, avg from ping order by ts, prb_id, dst_addr, avg limit 100"),
+    "sample_sorted": q("select count(*) as n_rows, true as near_share, 0::bigint as foreign_rows from ping"),
+    "batch_transform_write": q("select * from ping where rcvd < 3 and rcvd > 0"),
+    "compact": q("select * from ping"),
+    "concat_files": q("select * from ping"),
+    "project_rtt": edge(q("""select null::varchar as src_addr, dst_addr, ts as "timestamp", avg as rtt from ping""")),
+    "success_label": edge(q("select prb_id, ts, sent, rcvd, sent = rcvd as success from ping")),
+    "add_source_ip_fanout": q("""select a.prb_id, a.n_rows, a.n_rows * b.n_ips as n_joined
+        from (select prb_id, count(*) as n_rows from ping group by prb_id) a
+        join (select dst_prb_id, count(*) as n_ips from probe_ip_map group by dst_prb_id) b on a.prb_id = b.dst_prb_id"""),
+    "multi_ip_probes": q("""select prb_id % 3 as dst_prb_id, count(distinct dst_addr) as n_ips from ping group by 1
+        having count(distinct dst_addr) > 1"""),
+    "bounded_series_files": """with e as (select user_id % 10 as src, (event_id * 7 + user_id) % 10 as dst, event_id,
+            cast(value as double) as avg, (event_id * 13) % 4 as part from events)
+        select src, dst, event_id, avg from (select *, row_number() over (partition by src, dst order by part, event_id) as rn
+                                             from e where avg > 0) where rn <= 50""",
+    "range_profile_sketch": q(f"""select *, true as within_error from ({_range_profile()})"""),
+})

@@ -1,16 +1,19 @@
 """Sinks and file layout jobs (B-1 … B-7).
 
-Each job is one Spark job over the whole input; file counts come from
-partitioning (``repartition``/``maxRecordsPerFile``), not from a driver
-loop over files.
+Each job is one Spark job over the whole input. Only names and sizes of files
+come to the driver, as they do when Spark lists a table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
+SOURCE_FILE = "source_file"  # partition column that remembers the input file
+
 
 def write_ping(df: DataFrame, path: str, partition_by: list[str] | None = None,
                mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
@@ -24,23 +27,71 @@ def write_ping(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
-def compact(spark: SparkSession, src: str, dst: str, target_files: int) -> int:
-    """B-2: rewrite many small Parquet parts as ``target_files`` files.
-    Reading packs small files into splits by itself; ``repartition`` sets
-    the output file count. Raises if the source holds no rows/files."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(src)
-    if not df.inputFiles():
+# ---------------------------------------------------------------- file ledger
+def file_ledger(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """path, file (its name) and bytes of every file under ``path``. The
+    binary-file source lists them; contents are never read. A folder without
+    such files gives an empty table."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(path)
+            .select("path", F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes")))
+
+
+def compact(spark: SparkSession, src: str, dst: str, target_files: int | None = None,
+            target_bytes: int = 512 << 20, order: str | None = None) -> int:
+    """B-2: rewrite many small Parquet parts as few files without a shuffle.
+
+    Files in name order (hourly names: time order) are put together until they
+    hold ``target_bytes`` (or the ``target_files``-th part of all bytes); each
+    such run of files is read by one task, which writes one file. With
+    ``order`` the task also sorts its rows by that column. Raises if the source
+    holds no files. Returns the number of files written.
+    """
+    files = sorted((r.path, r.bytes) for r in file_ledger(spark, src).collect())
+    if not files:
         raise FileNotFoundError(f"no parquet files under {src}")
-    df.repartition(target_files).write.mode("overwrite").option("compression", "snappy").parquet(dst)
-    return len(spark.read.parquet(dst).inputFiles())
-
-
-def batch_transform_write(spark: SparkSession, src: str, dst: str, fn, rows_per_file: int) -> None:
+    if target_files:
+        target_bytes = -(-sum(size for _, size in files) // target_files)
+    groups: list[list[str]] = []
+    so_far = 0  # bytes of the files before
+    for path, size in files:
+        # a file belongs to the output in which its middle byte lies
+        group = (so_far + size // 2) // max(1, target_bytes)
+        if not groups or group != last:
+            groups.append([])
+        groups[-1].append(path)
+        last, so_far = group, so_far + size
+    schema = spark.read.option("recursiveFileLookup", "true").parquet(src).schema
+    for at in range(0, len(groups), 500):  # outputs of one job
+        out = None
+        for paths in groups[at:at + 500]:
+            part = spark.read.schema(schema).parquet(*paths).coalesce(1)
+            out = part if out is None else out.union(part)
+        if order:
+            out = out.sortWithinPartitions(order)
+        out.write.mode("append" if at else "overwrite").option("compression", "snappy").parquet(dst)
+    return len(groups)
+
+
+def batch_transform_write(spark: SparkSession, src: str, dst: str, fn, rows_per_file: int | None = None,
+                          keep_source: bool = False) -> None:
     """B-3: read all inputs, apply ``fn`` (DataFrame -> DataFrame) and write
-    in one job; ``maxRecordsPerFile`` bounds output files. Any task error
-    fails the job and the committer leaves no partial output."""
-    df = fn(spark.read.option("recursiveFileLookup", "true").parquet(src))
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(dst)
+    in one job; ``rows_per_file`` bounds output files. Any task error
+    fails the job and the committer leaves no partial output.
+
+    With ``keep_source`` every row carries the name of its input file through
+    ``fn`` (which must keep the column ``source_file``), and the output has one
+    folder per input file: the lineage that :func:`size_report` reads.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").parquet(src)
+    if keep_source:
+        df = df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    w = fn(df).write.mode("overwrite")
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    if keep_source:
+        w = w.partitionBy(SOURCE_FILE)
+    w.parquet(dst)
 
 
 def verify_readback(spark: SparkSession, path: str) -> int:
@@ -48,15 +99,50 @@ def verify_readback(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def write_checked(df: DataFrame, path: str, expected_rows: int | None = None) -> int:
-    """B-5: write ``df`` while counting rows with ``observe``; raise when the
-    count differs from ``expected_rows`` (e.g. rows of the input)."""
+# ---------------------------------------------------------------- checked publishing
+def write_checked(df: DataFrame, table: str, expected_rows: int | None = None) -> int:
+    """B-5: publish ``df`` as the next version of ``table``, or leave the table as it is.
+
+    The rows go to a folder of their own (``<table>/data/<id>``) and are
+    counted on the way and again from the written files. Only when both counts
+    equal ``expected_rows`` is the folder named in ``<table>/versions`` — an
+    append of one row, which either happens or does not. A rejected write
+    raises ValueError, a job that dies leaves an unnamed folder; readers
+    (:func:`read_published`) see the version before in both cases. One writer
+    at a time. Returns the number of rows.
+    """
+    spark = df.sparkSession
+    folder = f"data/{uuid.uuid4().hex}"
     obs = Observation("rows_written")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    n = obs.get["n"]
-    if expected_rows is not None and n != expected_rows:
-        raise ValueError(f"row count changed: {expected_rows} in, {n} out")
-    return n
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(f"{table}/{folder}")
+    counted, written = obs.get["n"], verify_readback(spark, f"{table}/{folder}")
+    wanted = counted if expected_rows is None else expected_rows
+    if not counted == written == wanted:
+        raise ValueError(f"row count changed: {wanted} wanted, {counted} computed, {written} written")
+    last = _versions(spark, table)
+    number = (last.agg(F.max("version")).head()[0] or 0) + 1 if last is not None else 1
+    (spark.createDataFrame([(number, folder, written)], "version bigint, folder string, rows bigint")
+     .coalesce(1).write.mode("append").json(f"{table}/versions"))
+    return written
+
+
+def _versions(spark: SparkSession, table: str) -> DataFrame | None:
+    """The table's published versions; None before the first."""
+    if spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json") \
+            .load(table).select("path").isEmpty():
+        return None
+    return spark.read.schema("version bigint, folder string, rows bigint").json(f"{table}/versions")
+
+
+def read_published(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """The rows of the latest (or the given) version of a table written by :func:`write_checked`."""
+    versions = _versions(spark, table)
+    if versions is not None:
+        wanted = versions if version is None else versions.where(F.col("version") == version)
+        found = wanted.orderBy(F.desc("version")).limit(1).collect()
+        if found:
+            return spark.read.parquet(f"{table}/{found[0].folder}")
+    raise FileNotFoundError(f"no published version{'' if version is None else f' {version}'} of {table}")
 
 
 def assert_row_count_preserved(before: DataFrame, after: DataFrame) -> int:
@@ -67,30 +153,39 @@ def assert_row_count_preserved(before: DataFrame, after: DataFrame) -> int:
     return b
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Bytes per Parquet file under ``path`` (from the file metadata column)."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    return df.select(F.col("_metadata.file_name").alias("file"),
-                     F.col("_metadata.file_size").alias("bytes")).distinct()
-
-
+# ---------------------------------------------------------------- reports
 def size_report(spark: SparkSession, in_path: str, out_path: str) -> DataFrame:
-    """B-6: per-file input and output bytes joined on file name, and a
-    totals row (file = '*') with the % reduction."""
-    a = file_sizes(spark, in_path).withColumnRenamed("bytes", "in_bytes")
-    b = file_sizes(spark, out_path).withColumnRenamed("bytes", "out_bytes")
-    per = a.join(b, "file", "full")
-    tot = per.agg(F.lit("*").alias("file"), F.sum("in_bytes").alias("in_bytes"),
-                  F.sum("out_bytes").alias("out_bytes"))
-    out = per.unionByName(tot)
-    return out.withColumn("reduction_pct",
-                          F.round((1 - F.col("out_bytes") / F.col("in_bytes")) * 100.0, 2))
+    """B-6: one row per input file — its bytes, the output files its rows went
+    to and their bytes, and the reduction in % — and a totals row (file = '*').
+
+    Output files belong to the input file named in their folder
+    (``source_file=…``, written by :func:`batch_transform_write` with
+    ``keep_source``); other output files count in the totals only, on a row
+    without a file name. An input file without output has 0 output files."""
+    a = file_ledger(spark, in_path).groupBy("file").agg(F.sum("bytes").alias("in_bytes"))
+    source = F.url_decode(F.nullif(F.regexp_extract("path", f"{SOURCE_FILE}=([^/]+)/", 1), F.lit("")))
+    b = (file_ledger(spark, out_path).select(source.alias("of"), "bytes")
+         .groupBy("of").agg(F.count(F.lit(1)).alias("out_files"), F.sum("bytes").alias("out_bytes")))
+    per = a.join(b, a.file == b.of, "full").select(
+        F.coalesce("file", "of").alias("file"), "in_bytes", F.coalesce("out_files", F.lit(0)).alias("out_files"), "out_bytes")
+    total = per.agg(F.lit("*").alias("file"), F.sum("in_bytes").alias("in_bytes"),
+                    F.sum("out_files").alias("out_files"), F.sum("out_bytes").alias("out_bytes"))
+    share = F.try_divide(F.col("out_bytes"), F.col("in_bytes"))
+    return per.unionByName(total).withColumn("reduction_pct", F.round((1 - share) * 100.0, 2))
 
 
 def ingest_report(raw: DataFrame) -> DataFrame:
-    """B-7: rows and corrupt rows per source file of a raw read (needs the
-    ``_corrupt_record`` column)."""
+    """B-7: per source file of a raw read (with ``_corrupt_record``): lines, lines that parsed, lines that failed, rows
+    with a probe, and whether the file is ok (it has lines and none failed)."""
+    bad = F.col("_corrupt_record").isNotNull()
     return raw.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt_rows"),
-        F.count("prb_id").alias("rows_with_probe"))
+        F.count(F.lit(1)).alias("rows"), F.count_if(~bad).alias("ok_rows"), F.count_if(bad).alias("corrupt_rows"),
+        F.count("prb_id").alias("rows_with_probe"), (F.count_if(bad) == 0).alias("ok"))
+
+
+def ingest_summary(report: DataFrame) -> DataFrame:
+    """B-7: one row over a report with ``rows``, ``ok_rows``, ``corrupt_rows`` and ``ok`` per file: files, ok and failed
+    ones, lines, good and bad ones."""
+    return report.agg(F.count(F.lit(1)).alias("files"), F.count_if("ok").alias("ok_files"), F.count_if(~F.col("ok")).alias("failed_files"),
+                      F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("ok_rows"), F.lit(0)).alias("ok_rows"),
+                      F.coalesce(F.sum("corrupt_rows"), F.lit(0)).alias("corrupt_rows"))

@@ -75,11 +75,17 @@ def write_raw_dump(ping: DataFrame, path: str) -> None:
          .write.mode("overwrite").option("compression", "bzip2").json(path))
 
 
+def write_raw_lines(lines: DataFrame, path: str) -> None:
+    """Write (dump, line) rows as bz2 text files, a folder and a file per dump."""
+    (lines.select("dump", F.col("line").alias("value")).repartition("dump")
+          .write.mode("overwrite").partitionBy("dump").option("compression", "bzip2").text(path))
+
+
 def raw_dump_roundtrip(ping: DataFrame) -> DataFrame:
     """Write ``ping`` as a raw dump into the shared checkpoint folder and
-    read it back with ``read_raw_dump`` (good rows only)."""
+    read it back with ``read_raw_dump``: good rows and, with their text in
+    ``_corrupt_record``, bad ones (:func:`quarantine` tells them apart)."""
     spark = ping.sparkSession
     path = shared_path(spark, "raw-dump")
     write_raw_dump(ping, path)
-    good, _ = quarantine(read_raw_dump(spark, path))
-    return good
+    return read_raw_dump(spark, path)

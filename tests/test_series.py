@@ -43,7 +43,7 @@ def test_ordered_index_hot_pair_small_blocks(spark):
     for i in range(6000):
         rows.append((rng.randint(3, 9), rng.randint(3, 9), 1000 + rng.randint(0, 8000), rng.random()))
     df = spark.createDataFrame(rows, "src long, dst long, ts long, avg double")
-    idx = O.ordered_index(df, ["src", "dst"], "ts", ["avg"], bucket=60)
+    idx = O.ordered_index(df, ["src", "dst"], "ts", ["avg"], cell_rows=40)
     got = sorted((r.src, r.dst, r.rn, r.ts, r.avg) for r in idx.collect())
     exp = []
     for key in sorted({(r[0], r[1]) for r in rows}):
@@ -105,3 +105,53 @@ def test_autocorr_matrix_diagonal_and_bound(spark):
     assert (2, 1) not in m  # fewer than 10 rows
     xs = series[(1, 2)][:50]
     assert m[(1, 2)] == pytest.approx(_pearson(xs[:-1], xs[1:]), abs=1e-6)
+
+
+def test_ordered_index_exchanges_rows_once_and_not_by_time(spark):
+    import re
+    rows = [(1, 2, 1000 + i % 7, float(i)) for i in range(300)] + [(3, i % 5, 1000 * i, 1.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "src long, dst long, ts long, avg double")
+    plan = O.ordered_index(df, ["src", "dst"], "ts", ["avg"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan
+    physical = O.ordered_index(df, ["src", "dst"], "ts", ["avg"])._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", physical)
+    assert keys and not any(re.search(r"\bts#", k) for k in keys)
+    assert sum("_cell#" in k for k in keys) <= 2              # the rows, and the few offsets
+
+
+def test_ordered_index_cuts_cells_down_to_seconds(spark):
+    # a third of the rows in one pair, most of them in one minute
+    rng = random.Random(5)
+    rows = [(1, 2, 86_400 * 3 + rng.randint(0, 50), float(rng.randint(0, 5))) for _ in range(1000)]
+    rows += [(1, 2, rng.randint(0, 86_400 * 9), 0.5) for _ in range(300)]
+    rows += [(rng.randint(1, 4), rng.randint(3, 9), rng.randint(0, 86_400 * 9), rng.random()) for _ in range(2000)]
+    rows += [(1, 2, None, 1.0), (None, 2, 5, 1.0)]            # no position
+    df = spark.createDataFrame(rows, "src long, dst long, ts long, avg double")
+    for bound in (5, 60, 10_000):
+        got = sorted((r.src, r.dst, r.rn, r.ts, r.avg) for r in O.ordered_index(df, ["src", "dst"], "ts", ["avg"], cell_rows=bound).collect())
+        want = []
+        for key in sorted({r[:2] for r in rows if None not in r[:3]}):
+            xs = sorted(r[2:] for r in rows if r[:2] == key and r[2] is not None)
+            want += [(*key, i + 1, t, a) for i, (t, a) in enumerate(xs)]
+        assert got == sorted(want)
+    assert O.ordered_index(df.limit(0), ["src", "dst"]).count() == 0
+
+
+def test_autocorr_multi_against_numpy(spark):
+    rng = random.Random(11)
+    series = {(0, 1): [rng.random() * 100 + 5000 for _ in range(200)], (0, 2): [3.0] * 80, (0, 3): [2.0] * 70 + [9.0],
+              (0, 4): [1.0] + [2.0] * 64, (0, 5): list(range(1, 61)), (0, 6): [rng.choice([1.0, 4.0]) for _ in range(61)],
+              (0, 7): [1.0] * 59, (0, 8): [1.0] * 30 + [5.0] * 60}
+    got = {(r.src, r.dst, r.lag): r.autocorr for r in I.autocorr_multi(_edges(spark, series)).collect()}
+    want = {}
+    for key, xs in series.items():
+        if len(xs) >= 60:
+            for k in range(1, 61):
+                r = _pearson(xs[:-k], xs[k:]) if len(xs) - k >= 2 else None
+                want[(*key, k)] = 0.0 if r is None else r
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=2e-6), k
+    plan = I.autocorr_multi(_edges(spark, series))._jdf.queryExecution().optimizedPlan().toString()
+    # what is generated per lag lies above the aggregate by pair: no Generate of the lags below a Window
+    assert plan.index("posexplode") < plan.index("Window")

@@ -71,31 +71,104 @@ def test_source_ip_join_does_not_fan_out(spark, tmp_dir):
     assert sorted(r.dst_prb_id for r in multi_ip_probes(m).collect()) == [0, 3, 6]
 
 
-def test_write_checked_compact_size_report(spark, tmp_dir):
+def test_rejected_write_leaves_the_table(spark, tmp_dir):
+    import pytest
     p = ping(spark, SF)
     n = p.count()
-    src = os.path.join(tmp_dir, "parts")
-    B.write_ping(p.repartition(12), src)
-    assert B.write_checked(spark.read.parquet(src), os.path.join(tmp_dir, "copy"), expected_rows=n) == n
-    out = os.path.join(tmp_dir, "compact")
-    assert B.compact(spark, src, out, 2) <= 2
-    assert B.verify_readback(spark, out) == n
-    rep = B.size_report(spark, src, out)
-    assert rep.where(F.col("file") == "*").count() == 1
+    table = os.path.join(tmp_dir, "table")
+    with pytest.raises(ValueError):
+        B.write_checked(p.limit(3), table, expected_rows=n)
+    with pytest.raises(FileNotFoundError):
+        B.read_published(spark, table)
+    assert B.write_checked(p, table, expected_rows=n) == n
+    with pytest.raises(ValueError):
+        B.write_checked(p.limit(10), table, expected_rows=n)
+    assert B.read_published(spark, table).count() == n          # the good version is whole
+    assert B.write_checked(p.limit(7), table) == 7
+    assert B.read_published(spark, table).count() == 7 and B.read_published(spark, table, 1).count() == n
+    with pytest.raises(FileNotFoundError):
+        B.read_published(spark, table, 9)
+
+
+def test_compact_without_shuffle_in_time_order(spark, tmp_dir):
+    import pytest
+    p = ping(spark, SF)
+    src, out = os.path.join(tmp_dir, "parts"), os.path.join(tmp_dir, "compact")
+    hour = F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd-HH")
+    p.withColumn("h", hour).repartition("h").write.partitionBy("h").parquet(src)
+    many = B.file_ledger(spark, src).count()
+    assert many > 20 and B.compact(spark, src, out, target_files=4, order="ts") <= 5
+    files = sorted(B.file_ledger(spark, out).collect(), key=lambda r: r.file)
+    assert len(files) <= 5 and B.verify_readback(spark, out) == p.count()
+    last = None
+    for f in files:  # each file is sorted and begins where the one before ends
+        ts = [r.ts for r in spark.read.parquet(f.path).select("ts").collect()]
+        assert ts == sorted(ts) and (last is None or last // 3600 <= ts[0] // 3600)
+        last = ts[-1]
+    assert sorted(spark.read.parquet(out).collect(), key=str) == sorted(p.select(spark.read.parquet(out).columns).collect(), key=str)
+    os.makedirs(os.path.join(tmp_dir, "none"))
+    with pytest.raises(FileNotFoundError):
+        B.compact(spark, os.path.join(tmp_dir, "none"), out)
+    plan = []
+    real = spark.read.parquet(*[f.path for f in files[:2]]).coalesce(1).union(spark.read.parquet(files[-1].path).coalesce(1)).sortWithinPartitions("ts")
+    plan = real._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_size_report_by_value(spark, tmp_dir):
+    p = ping(spark, SF)
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    p.repartition(3).write.parquet(src)
+    B.batch_transform_write(spark, src, out, lambda df: df.drop("result"), rows_per_file=50, keep_source=True)
+    rep = {r.file: r for r in B.size_report(spark, src, out).collect()}
+    sizes = {f: os.path.getsize(os.path.join(src, f)) for f in os.listdir(src) if f.endswith(".parquet")}
+    assert set(rep) == {*sizes, "*"} and len(sizes) == 3
+    for name, size in sizes.items():
+        folder = os.path.join(out, f"source_file={name}")
+        parts = [os.path.getsize(os.path.join(folder, f)) for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert (rep[name].in_bytes, rep[name].out_files, rep[name].out_bytes) == (size, len(parts), sum(parts))
+        assert rep[name].reduction_pct == round((1 - sum(parts) / size) * 100, 2)
+    assert rep["*"].in_bytes == sum(sizes.values()) and rep["*"].out_bytes == sum(r.out_bytes for f, r in rep.items() if f != "*")
+    plain = os.path.join(tmp_dir, "plain")
+    B.write_ping(p, plain)                                       # no lineage: a row of its own, and the totals
+    rep = B.size_report(spark, src, plain).collect()
+    assert sorted((r.file or "", r.in_bytes, bool(r.out_bytes)) for r in rep) == sorted(
+        [("", None, True), ("*", sum(sizes.values()), True), *[(f, n, False) for f, n in sizes.items()]], key=lambda x: (x[0], x[1] or 0))
 
 
 def test_stream_ingest_once_and_incremental(spark, tmp_dir):
     p = ping(spark, SF)
     src, out, ck = (os.path.join(tmp_dir, d) for d in ("src", "out", "ck"))
     RAW.write_raw_dump(p.where("prb_id < 5"), os.path.join(src, "a"))
-    K.stream_ingest(spark, src + "/*", out, ck)
-    n1 = spark.read.parquet(out).count()
+    K.stream_ingest(spark, src, out, ck)
+    n1 = K.ingested(spark, out).count()
     assert n1 == p.where("prb_id < 5").count()
-    K.stream_ingest(spark, src + "/*", out, ck)             # rerun adds nothing
-    assert spark.read.parquet(out).count() == n1
+    K.stream_ingest(spark, src, out, ck)             # rerun adds nothing
+    assert K.ingested(spark, out).count() == n1
     RAW.write_raw_dump(p.where("prb_id >= 5"), os.path.join(src, "b"))
-    K.stream_ingest(spark, src + "/*", out, ck)             # only the new files
-    assert spark.read.parquet(out).count() == p.count()
+    K.stream_ingest(spark, src, out, ck)             # only the new files
+    assert K.ingested(spark, out).count() == p.count()
+
+
+def test_stream_ledger_and_rejects(spark, tmp_dir):
+    src, out, ck = (os.path.join(tmp_dir, d) for d in ("src", "out", "ck"))
+    os.makedirs(src)
+    good = json.dumps({"prb_id": 1, "dst_addr": "10.0.0.2", "timestamp": 100, "sent": 3, "rcvd": 3, "avg": 5.5, "result": [{"rtt": 5.0}]})
+    other = json.dumps({"prb_id": 2, "dst_addr": "10.0.0.2", "timestamp": 100, "sent": 2, "rcvd": 2, "avg": 5.5, "result": []})
+    _write_bz2(os.path.join(src, "a.bz2"), [good, "not json", good, '{"prb_id": '])
+    _write_bz2(os.path.join(src, "b.bz2"), [good, other])
+    K.stream_ingest(spark, src, out, ck, max_files_per_trigger=1)
+    led = {os.path.basename(r.file): (r["rows"], r.ok_rows, r.corrupt_rows, r.ok) for r in K.ingest_ledger(spark, out).collect()}
+    assert led == {"a.bz2": (4, 2, 2, False), "b.bz2": (2, 2, 0, True)}
+    assert sorted((os.path.basename(r.file), r.line) for r in K.rejects(spark, out).collect()) == [("a.bz2", "not json"), ("a.bz2", '{"prb_id": ')]
+    assert K.ingested(spark, out).count() == 3
+    s = B.ingest_summary(K.ingest_ledger(spark, out)).head()
+    assert (s.files, s.ok_files, s.failed_files, s["rows"], s.ok_rows, s.corrupt_rows) == (2, 1, 1, 6, 4, 2)
+    # a batch that is run again overwrites its folders
+    batch = K.raw_stream(spark, src)  # noqa: F841  (the stream itself is not started)
+    K._write(K.ingested(spark, out).limit(1), os.path.join(tmp_dir, "again"), 0)
+    K._write(K.ingested(spark, out), os.path.join(tmp_dir, "again"), 0)
+    assert spark.read.parquet(os.path.join(tmp_dir, "again")).count() == 3
 
 
 def test_probe_map_readers(spark, tmp_dir):
@@ -119,20 +192,27 @@ def test_downcast_overflow_raises(spark):
         C.downcast(bad).collect()
 
 
-def test_stream_windows_match_batch_for_closed_windows(spark, tmp_dir):
-    from rttlab.operators.series import multi_resolution_windows
-    p = ping(spark, SF)
+def test_stream_windows_merge_panes_of_batches_and_count_late_rows(spark, tmp_dir):
     src, out, ck = (os.path.join(tmp_dir, d) for d in ("src", "out", "ck"))
-    RAW.write_raw_dump(p, src)
-    K.stream_windows(spark, src, out, ck, "5 minutes", "30 seconds")
-    got = {(r.prb_id, r.window_start): (r.n, r.n_ok) for r in spark.read.parquet(out).collect()}
-    batch = multi_resolution_windows(C.parse_measurements(RAW.read_raw_dump(spark, src)).select(
-        "prb_id", "ts", "avg"), resolutions=[("5 minutes", "30 seconds")])
-    exp = {(r.prb_id, r.window_start): (r.n, r.n_ok) for r in batch.collect()}
-    assert got and all(exp[k] == v for k, v in got.items())   # every emitted window is final
-    last = max(r.ts for r in p.select("ts").collect())
-    closed = {k for k in exp if k[1] + 300 <= last - 3600}     # behind the watermark
-    assert closed <= set(got)
+    os.makedirs(src)
+    line = lambda ts, avg=5.0, prb=1: json.dumps({"prb_id": prb, "dst_addr": "10.0.0.2", "timestamp": ts, "sent": 3, "rcvd": 3, "avg": avg, "result": []})
+    runs = [[line(10_000), line(10_040, -1.0), "broken"], [line(10_010, 7.0), line(6_440), line(6_441), line(20_000)],
+            [line(16_400), line(16_401, 1.25), line(30_000, prb=2)]]
+    times = []
+    for i, lines in enumerate(runs):
+        _write_bz2(os.path.join(src, f"{i}.bz2"), lines)
+        times += [(json.loads(x)["prb_id"], json.loads(x)["timestamp"], json.loads(x)["avg"]) for x in lines if x != "broken"]
+        K.stream_panes(spark, src, out, ck, 30)
+    log = {r.batch: (r["lines"], r.rejects, r["rows"], r.late_rows, r.max_ts) for r in K.stream_log(spark, out).collect()}
+    assert log == {0: (3, 1, 2, 0, 10_040), 1: (4, 0, 4, 1, 20_000), 2: (3, 0, 3, 1, 30_000)}
+    got = {(r.prb_id, r.window_start): (r.n, r.n_ok, r["mean"]) for r in K.stream_windows(spark, out, 300, 30).collect()}
+    want = {}
+    for prb, ts, avg in times:
+        for k in range(10):
+            n, ok = want.setdefault((prb, ts // 30 * 30 - 30 * k), ([], []))
+            n.append(ts)
+            ok += [avg] * (avg > 0)
+    assert got == {k: (len(n), len(ok), sum(ok) / len(ok) if ok else None) for k, (n, ok) in want.items()}
 
 
 def test_dense_latency_matrix_and_batch_write(spark, tmp_dir):
