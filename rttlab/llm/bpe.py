@@ -30,6 +30,7 @@ from . import spans as S
 NONE = 1 << 31  # no token
 LONG_PIECE = 64  # bytes; longer pieces take the scalar table
 MAX_CACHE = 400_000  # distinct pieces that a Python worker remembers
+MAX_CACHE_BYTES = 32 << 20  # and the most that their bytes and ids come to, before a block
 SHORT_CONTRACTIONS, LONG_CONTRACTIONS = b"stmd", (b"re", b"ve", b"ll")
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -299,13 +300,6 @@ def piece_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def _fill(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of many ranges, one after the other."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
-
-
 class Encoder:
     """Ids of whole blocks of texts; remembers the pieces it has seen, up to MAX_CACHE."""
 
@@ -388,28 +382,75 @@ class Encoder:
             out[ends[order[rows]] - 1 - k] = t
         return out, counts
 
+    def _encode_exactly(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`_encode`, with every piece compared to the bytes of its ids.
+
+        Tokens are looked up by hash. A wrong hit cannot hide: if all ids of a
+        piece spell its bytes they are its encoding; other pieces are encoded
+        by their bytes alone.
+        """
+        v = self.v
+        try:
+            ids, counts = self._encode(data, size)
+        except ValueError:  # a wrong hit may also leave a prefix without a token
+            ids, counts = np.zeros(0, np.int32), np.zeros(len(size), np.int64)
+        spelt = np.add.reduceat(np.append(v.size[ids], 0), np.cumsum(counts) - counts)
+        right = (counts > 0) & (spelt == size)
+        ends = np.cumsum(size)
+        if right.all():
+            wrong = v.flat[S.fill(v.start[ids], v.size[ids])] != data
+            right = np.add.reduceat(np.append(wrong, False), ends - size, dtype=np.int64) == 0
+            if right.all():
+                return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1]) if len(ids) else [ids] * len(size)
+        for k in range(len(size)):
+            piece = data[ends[k] - size[k]:ends[k]].tobytes()
+            if b"".join(v.tokens[t] for t in parts[k].tolist()) != piece:
+                parts[k] = np.array(PrefixTable(v, piece).ids(), np.int32)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
     def block(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, offsets of the rows' ids)."""
+        """(ids of all rows, offsets of the rows' ids).
+
+        Pieces are remembered by hash. Every occurrence is compared with the
+        remembered bytes; pieces that share a hash with an unlike one are
+        encoded by themselves and not remembered.
+        """
         start = piece_starts(data, offs)
         size = np.diff(start, append=len(data))
         key = self.v.roll.span(self.v.roll.of_bytes(data), start, start + size)
         keys, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        if self.n + len(keys) > MAX_CACHE:
+        if self.n + len(keys) > MAX_CACHE or self.n_bytes + self.n_ids > MAX_CACHE_BYTES:
             self._forget()
         get = self.known.get
         entry = np.array([get(k, -1) for k in keys.tolist()], np.int64)
         new = entry < 0
         if new.any():
             at = first[new]
-            text = data[_fill(start[at], size[at])]
-            entry[new] = self._remember(keys[new], text, size[at], *self._encode(text, size[at]))
-        # a hash stands for the piece's bytes: they are compared with the remembered ones
-        same = (self.text_size[entry[inverse]] == size).all()
-        if not same or (self.text[_fill(self.text_start[entry], self.text_size[entry])] != data[_fill(start[first], size[first])]).any():
-            raise ValueError("two pieces share a 64-bit hash")
+            text = data[S.fill(start[at], size[at])]
+            entry[new] = self._remember(keys[new], text, size[at], *self._encode_exactly(text, size[at]))
         entry = entry[inverse]
+        same = self.text_size[entry] == size
+        if same.all():  # the pieces are the whole of the data, one after the other
+            differ = self.text[S.fill(self.text_start[entry], size)] != data
+            if differ.any():
+                same = np.add.reduceat(differ, start, dtype=np.int64) == 0
+        else:
+            at = np.flatnonzero(same)
+            both = np.concatenate([self.text[:self.n_bytes], data])
+            same[at] = S.same_spans(both, self.text_start[entry[at]], self.n_bytes + start[at], size[at])
         sizes = self.id_size[entry]
-        ids = self.ids[_fill(self.id_start[entry], sizes)]
+        if same.all():
+            ids = self.ids[S.fill(self.id_start[entry], sizes)]
+        else:
+            odd = np.flatnonzero(~same)
+            odd_ids, odd_counts = self._encode_exactly(data[S.fill(start[odd], size[odd])], size[odd])
+            sizes[odd] = odd_counts
+            ids = np.zeros(int(sizes.sum()), np.int32)
+            place = np.cumsum(sizes) - sizes
+            fine = np.flatnonzero(same)
+            ids[S.fill(place[fine], sizes[fine])] = self.ids[S.fill(self.id_start[entry[fine]], sizes[fine])]
+            ids[S.fill(place[odd], odd_counts)] = odd_ids
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return ids, ends[np.searchsorted(start, offs)]
 
@@ -471,7 +512,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
             for i, j in S.blocks(offs, S.BLOCK_BYTES):
                 part = flat[offs[i]:offs[j]]
                 sizes = v.size[part]
-                data = v.flat[_fill(v.start[part], sizes)]
+                data = v.flat[S.fill(v.start[part], sizes)]
                 ends = np.concatenate([[0], np.cumsum(sizes)])[offs[i:j + 1] - offs[i]]
                 texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns], texts.cast(pa.binary())], names=[*rest, out])

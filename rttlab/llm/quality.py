@@ -2,7 +2,8 @@
 
 Rolling hashes of several n-gram lengths (numpy, over whole Arrow batches)
 find the n-grams that occur twice or more in a text; the verdict looks at the
-share of characters that lie inside them, and inside repeated lines.
+share of characters that lie inside them, and inside repeated lines. Spans with
+equal hashes are compared, so that a made-up collision counts as no repetition.
 """
 
 from __future__ import annotations
@@ -76,19 +77,21 @@ def measure_block(data: np.ndarray, offs: np.ndarray, ngrams=tuple(NGRAM_LIMITS)
            "n_symbols": S.row_sums(_IS_SYMBOL[data], offs)}
 
     ls, le, lrow = _line_spans(data, offs)
-    prefix = _WORDS.of_bytes(data)
-    _, later = S.repeated(_LINES.span(_LINES.of_bytes(data), ls, le) ^ S.mix(lrow.astype(np.uint64) + np.uint64(7)))
+    line_keys = _LINES.span(_LINES.of_bytes(data), ls, le) ^ S.mix(lrow.astype(np.uint64) + np.uint64(7))
+    _, later = S.repeated(S.exact_groups(line_keys, data, ls, le - ls, lrow))
     line_len = chars[le] - chars[ls]
     out["n_dup_lines"] = np.bincount(lrow[later], minlength=rows)
     out["line_dup_chars"] = np.bincount(lrow[later], line_len[later], rows).astype(np.int64)
     out["line_chars"] = np.bincount(lrow, line_len, rows).astype(np.int64)
 
-    grams = _LINES.of_items(_WORDS.span(prefix, ws, we))
+    words = S.exact_groups(_WORDS.span(_WORDS.of_bytes(data), ws, we), data, ws, we - ws)  # equal words, equal numbers
+    grams = _LINES.of_items(S.mix(words.astype(np.uint64)))
     row_end = np.repeat(wofs[1:], n_words)
     at = np.arange(len(ws))
     for n in (BASE_NGRAM, *ngrams):
         whole = np.flatnonzero(at + n <= row_end)
-        twice, later = S.repeated(_LINES.span(grams, whole, whole + n) ^ salt[whole])
+        keys = _LINES.span(grams, whole, whole + n) ^ salt[whole]
+        twice, later = S.repeated(S.exact_groups(keys, words, whole, n, row_of[whole]))
         if n == BASE_NGRAM:
             out["n_repeat_words"] = S.row_sums(S.covered(len(ws), whole[twice], n), wofs)
         if n in ngrams:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 512 << 10
@@ -144,6 +145,65 @@ def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return twice, later
 
 
+def fill(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of many ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
+
+
+def same_spans(items: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` items from ``a`` equal those from ``b``, for each pair of places."""
+    out = np.ones(len(a), bool)
+    some = np.flatnonzero(size > 0)
+    if len(some):
+        differ = items[fill(a[some], size[some])] != items[fill(b[some], size[some])]
+        first = np.cumsum(size[some]) - size[some]
+        out[some] = np.add.reduceat(differ, first, dtype=np.int64) == 0
+    return out
+
+
+def exact_groups(keys: np.ndarray, items: np.ndarray, start: np.ndarray, size, owner: np.ndarray | None = None) -> np.ndarray:
+    """Numbers that are equal just where the spans of ``items`` (and their owners) are.
+
+    ``keys`` are hashes of the spans: equal spans of one owner have equal keys.
+    Every span is compared with the first of its key; those that differ from it
+    in spite of the key are told apart by their items.
+    """
+    n = len(keys)
+    size = np.broadcast_to(np.asarray(size, np.int64), n)
+    out = np.zeros(n, np.int64)
+    if not n:
+        return out
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    group = np.cumsum(new) - 1
+    out[order] = group
+    later, first = order[~new], order[np.flatnonzero(new)][group[~new]]
+    same = size[later] == size[first]
+    if owner is not None:
+        same &= owner[later] == owner[first]
+    at = np.flatnonzero(same)
+    same[at] = same_spans(items, start[later[at]], start[first[at]], size[later[at]])
+    apart: dict[tuple, int] = {}
+    for k in later[~same].tolist():
+        span = items[start[k]:start[k] + size[k]].tobytes()
+        out[k] = apart.setdefault((None if owner is None else int(owner[k]), span), n + len(apart))
+    return out
+
+
+LONG_WORD = 48  # bytes; the polynomial hash of longer words has constructible collisions
+
+
+def word_hashes(roll: Rolling, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: polynomial for short ones, XXH3 for those over ``LONG_WORD`` bytes."""
+    out = roll.span(roll.of_bytes(data), start, end)
+    for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]:end[k]])
+    return out
+
+
 def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     """Which of n items lie in a window of ``width`` items from one of ``starts`` (distinct)."""
     step = np.zeros(n + 1, np.int32)

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ class Unit:
         if self.name == "byte":
             return data, offs
         start, end, rows = S.word_spans(data, offs)
-        return _BYTE.span(_BYTE.of_bytes(data), start, end), rows
+        return S.word_hashes(_BYTE, data, start, end), rows
 
     def prefix(self, items: np.ndarray) -> np.ndarray:
         return _ROLL.of_bytes(items) if self.name == "byte" else _ROLL.of_items(items)
@@ -88,9 +89,11 @@ def anchors(prefix: np.ndarray, offs: np.ndarray, unit: Unit):
     return np.searchsorted(offs, lo, "right") - 1, lo, count, p[first], h[p[first]]
 
 
-def body_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of whole texts; ``prefix`` comes from :meth:`Unit.prefix`."""
-    return S.mixed_span(_ROLL, prefix, start, end)
+def body_hash(items: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """XXH3 of whole texts, whose equality settles what repeats (the polynomial hash only picks anchors)."""
+    flat, width = np.ascontiguousarray(items).view(np.uint8).data, items.dtype.itemsize
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(flat[a:b]) for a, b in zip((start * width).tolist(), (end * width).tolist(), strict=True)], np.uint64)
 
 
 def segments(offs: np.ndarray, unit: Unit) -> Iterator[tuple[int, int, int, int]]:
@@ -132,7 +135,7 @@ def runs(docs: DataFrame, text: str, unit: Unit) -> DataFrame:
                     prefix = unit.prefix(items[a:e])
                     cut = np.clip(rows[x:y + 1], a, e) - a
                     r, lo, n, p, anchor = anchors(prefix, cut, unit)
-                    body = body_hash(prefix, lo, lo + n - 1 + unit.length)
+                    body = body_hash(items[a:e], lo, lo + n - 1 + unit.length)
                     row = i + x + r
                     place = pack_place(lo + a - rows[x + r], n, p - lo, tags[row])
                     yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(place), pa.array(anchor.view(np.int64)),
@@ -161,7 +164,6 @@ def fetch(docs: DataFrame, text: str, unit: Unit, wanted: DataFrame) -> DataFram
             for i, todo in enumerate(b.column(1).to_pylist()):
                 mine = data[offs[i]:offs[i + 1]]
                 items, _ = unit.items(mine, np.array([0, len(mine)]))
-                prefix = unit.prefix(items) if any(t["hot"] for t in todo) else None
                 for t in todo:
                     lo, n, off = t["place"] >> 32, t["place"] >> 23 & 511, t["place"] >> 14 & 511
                     base = [t["anchor"], t["body"], t["copies"]]
@@ -174,10 +176,10 @@ def fetch(docs: DataFrame, text: str, unit: Unit, wanted: DataFrame) -> DataFram
                         w1, w2 = off - o2, off - o1
                         anchor = lo + off
                         c0, c1 = anchor - q * step, anchor - (q * step + step - 1) + L
-                        core = body_hash(prefix, np.array([c0]), np.array([max(c0, min(c1, len(items)))]))[0]
+                        core = body_hash(items, np.array([c0]), np.array([max(c0, min(c1, len(items)))]))[0]
                         at = np.arange(lo + w1, lo + w2 + 1)
-                        each = body_hash(prefix, at, at + L)
-                        body = body_hash(prefix, at[:1], at[-1:] + L)[0] ^ np.uint64((w2 - w1) * 64 + o1 % step)
+                        each = body_hash(items, at, at + L)
+                        body = body_hash(items, at[:1], at[-1:] + L)[0] ^ np.uint64((w2 - w1) * 64 + o1 % step)
                         for c, v in zip(out, [*base, None, q, int(core.view(np.int64)), int(body.view(np.int64)),
                                               each.view(np.int64)[::-1].tolist(), o1, w2 - w1 + 1], strict=True):
                             c.append(v)
@@ -239,7 +241,9 @@ def search(texts: DataFrame, unit: Unit) -> DataFrame:
             yield shard(rows)
 
     plain = texts.filter("part is null").select("anchor", "body", "copies", "items").dropDuplicates(["anchor", "body"])
-    return S.map_batches(plain.repartition("anchor").sortWithinPartitions("anchor"), run, FOUND_SCHEMA)
+    # a number of its own: Spark then leaves the partitions as small as asked for, a task is CPU-bound
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return S.map_batches(plain.repartition(tasks, "anchor").sortWithinPartitions("anchor"), run, FOUND_SCHEMA)
 
 
 def search_hot(texts: DataFrame) -> DataFrame:
