@@ -12,7 +12,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 512 << 10
 BATCH_ROWS = 1_000  # of an Arrow batch
@@ -31,6 +32,19 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def hide(docs: DataFrame, **used: str) -> DataFrame:
+    """``docs`` as the columns named by the keys of ``used`` (from its columns of the values) and one struct ``rest`` of all
+    others, whose names then cannot clash with any that an operator makes up."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in used.values()]
+    return docs.select(*[F.col(f"`{c}`").alias(n) for n, c in used.items()], (F.struct(*rest) if rest else F.lit(True)).alias("rest"))
+
+
+def unhide(rows: DataFrame, columns: list[str], **used: str) -> list[Column]:
+    """The columns of :func:`hide`'s input, by their names and in their order."""
+    back = {c: n for n, c in used.items()}
+    return [F.col(back[c]).alias(c) if c in back else F.col("rest").getField(c).alias(c) for c in columns]
+
+
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, row offsets) of a string or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
