@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import spans as S
 from . import windows as W
 
 WINDOW, GRAM = 35, 10
@@ -72,8 +73,9 @@ def suffix_order(x: np.ndarray, depth: int) -> np.ndarray:
 class FMIndex:
     """Backward search over a sequence of symbols 0..n_symbols-1, correct for patterns of up to ``depth`` symbols."""
 
-    def __init__(self, x: np.ndarray, n_symbols: int, depth: int):
+    def __init__(self, x: np.ndarray, n_symbols: int, depth: int, weight: np.ndarray):
         order = suffix_order(x, depth + 1)
+        self.weight = np.concatenate([[0], np.cumsum(weight[order])])  # of the places before each row
         self.tree = WaveletTree(x[order - 1], n_symbols)  # the symbol before each suffix; the first wraps around
         self.before = np.concatenate([[0], np.cumsum(np.bincount(x, minlength=n_symbols))]).astype(np.int64)
         start = np.zeros(n_symbols, np.int64)
@@ -86,8 +88,9 @@ class FMIndex:
         return base + self.tree.descend(symbol, lo), base + self.tree.descend(symbol, hi)
 
 
-def find_repeats(items: np.ndarray, offs: np.ndarray, ask: np.ndarray, length: int) -> np.ndarray:
-    """Whether the window of ``length`` words at each place of the asked texts also starts anywhere else.
+def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
+    """Whether the window of ``length`` words at each place of the texts also starts anywhere else, a text standing for
+    as many places as it has copies.
 
     From the end of a window the match is extended to the left while it occurs
     twice. If it ends after d words, the word before it is the first that no
@@ -100,16 +103,16 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, ask: np.ndarray, length: i
     n_words = int(ids.max()) + 1 if len(ids) else 0
     x = np.zeros(len(items) + n, np.int64)  # a separator, 0, ends each text
     x[np.arange(len(items)) + text] = ids + 1
-    index = FMIndex(x, n_words + 1, length)
+    index = FMIndex(x, n_words + 1, length, np.repeat(copies, np.diff(offs) + 1))
     hit = np.zeros(len(items), bool)
-    rows = np.flatnonzero(ask & (np.diff(offs) >= length))
+    rows = np.flatnonzero(np.diff(offs) >= length)
     window, stop = offs[rows], offs[rows + 1] - length  # next window start, last window start
     depth = np.zeros(len(rows), np.int64)
     lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), index.n, np.int64)
     while len(rows):
         at = window + length - 1 - depth
         lo, hi = index.extend(ids[at] + 1, lo, hi)
-        ends = hi - lo < 2  # found nowhere but here
+        ends = index.weight[hi] - index.weight[lo] < 2  # found nowhere but here
         depth = depth + ~ends
         whole = depth == length
         hit[window[whole]] = True
@@ -150,16 +153,15 @@ def substring_dedup(docs: DataFrame, text: str = "text", length: int = WINDOW, g
         kept, n = _kept_words(data, spans)
         return b" ".join(kept).decode("utf-8", "replace"), n, n - len(kept)
 
-    spans = W.repeated_spans(docs, text, unit, hot_texts)
-    return W.cover(docs, text, unit, make, [("kept", "string"), ("n_words", "long"), ("n_removed", "long")], spans)
+    return W.remove(docs, text, unit, make, [("kept", "string"), ("n_words", "long"), ("n_removed", "long")], hot_texts)
 
 
 def remove_substrings(docs: DataFrame, text: str = "text", length: int = WINDOW, gram: int = GRAM, hot_texts: int = W.HOT_TEXTS) -> DataFrame:
     """``docs`` with repeated windows taken out of ``text``; a text that loses nothing stays as it is (null as well)."""
-    rows = docs.withColumn("_whole", F.col(text))
-    out = substring_dedup(rows, text, length, gram, hot_texts)
-    out = out.withColumn(text, F.when(F.col("n_removed") == 0, F.col("_whole")).otherwise(F.col("kept")))
-    return out.select(*docs.columns)
+    packed = S.hide(docs, text=text).withColumn("whole", F.col("text"))
+    out = substring_dedup(packed, "text", length, gram, hot_texts)
+    out = out.withColumn("text", F.when(F.col("n_removed") == 0, F.col("whole")).otherwise(F.col("kept")))
+    return out.select(*S.unhide(out, docs.columns, text=text))
 
 
 def op7_substring_dedup(spark, sf: str) -> DataFrame:

@@ -153,8 +153,9 @@ def adjacent_common(names: Names, order: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(out, most)
 
 
-def find_repeats(items: np.ndarray, offs: np.ndarray, ask: np.ndarray, length: int) -> np.ndarray:
-    """Whether the window of ``length`` bytes at each place of the joined texts also starts anywhere else in them."""
+def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
+    """Whether the window of ``length`` bytes at each place of the joined texts also starts anywhere else in them, a text
+    standing for as many places as it has copies."""
     n = len(offs) - 1
     x = np.zeros(len(items) + n, np.int16)  # a separator, 0, ends each text
     text = np.repeat(np.arange(n), np.diff(offs))
@@ -162,10 +163,11 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, ask: np.ndarray, length: i
     names = Names(x)
     order = suffix_array(x, length, names)
     common = adjacent_common(names, order, length)
-    long = common >= length
+    weight = np.repeat(copies, np.diff(offs) + 1)  # of each place, separators included
+    first = np.flatnonzero(common < length)  # suffixes that begin alike, for a window's length, are neighbours
+    sums = np.add.reduceat(weight[order], first) if len(order) else np.zeros(0, np.int64)
     hit = np.zeros(len(x), bool)
-    hit[order[long]] = True
-    hit[order[np.flatnonzero(long) - 1]] = True
+    hit[order] = np.repeat(sums > 1, np.diff(np.append(first, len(order))))
     inside = np.arange(len(items)) + length <= np.repeat(offs[1:], np.diff(offs))
     return hit[np.arange(len(items)) + text] & inside
 
@@ -193,11 +195,12 @@ def suffix_dedup(docs: DataFrame, text: str = "text", length: int = WINDOW, gram
         kept = b"".join([*kept, data[at:]])
         return kept, len(data), len(data) - len(kept), len(spans)
 
-    spans = W.repeated_spans(docs, text, unit, hot_texts)
-    return W.cover(docs, text, unit, make, [("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], spans)
+    return W.remove(docs, text, unit, make, [("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], hot_texts)
 
 
 def op6_suffix_array_dedup(spark, sf: str) -> DataFrame:
-    """Bytes of ``documents`` inside 400-byte strings that occur elsewhere, removed."""
+    """Bytes of ``documents`` inside 400-byte strings that occur elsewhere, removed. ``text`` is what remains; parts of
+    a character that a removed run cuts through are U+FFFD there (the digest is that of the bytes)."""
     out = suffix_dedup(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))

@@ -3,11 +3,12 @@
 Every window has an anchor: the k-gram of it with the smallest hash (leftmost
 of equal ones). Equal windows have equal anchors, so consecutive windows with
 one anchor are a *run*, and only runs that share an anchor can repeat each
-other. Runs with identical text are counted before anything is exchanged; the
-distinct texts of an anchor with several of them go to a shard, whose index
-(suffix array, FM-index) tells which windows repeat. An anchor with very many
-distinct texts is not brought together: its windows are compared by hashes of
-ever shorter ranges of window starts.
+other. Runs with identical text are brought down to one text and its number of
+copies before anything is exchanged; all texts of an anchor go to a shard, whose
+index (suffix array, FM-index) tells which windows repeat, a text weighing as
+much as it has copies. An anchor with very many different texts is not brought
+together: its windows are compared by hashes of ever shorter ranges of window
+starts.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ Find = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 @dataclass(frozen=True)
 class Unit:
-    """What a window is made of. ``find`` gets the concatenated items, the texts' offsets and which of them to
-    report on, and the window length; it tells for each window start whether the window occurs elsewhere."""
+    """What a window is made of. ``find`` gets the concatenated items, the texts' offsets and copies, and the window
+    length; it tells for each window start whether the window occurs elsewhere, in another copy of the text as well."""
     name: str
     length: int  # items in a window
     gram: int  # items in an anchor
@@ -207,7 +208,7 @@ FOUND_SCHEMA = "anchor long, body long, starts array<int>, sizes array<int>"
 
 
 def search(texts: DataFrame, unit: Unit) -> DataFrame:
-    """Repeated windows of the texts with one copy, as ranges (starts, sizes) of window starts, found in shards.
+    """Repeated windows of the texts, as ranges (starts, sizes) of window starts, found in shards.
 
     All texts of an anchor are in one shard; a shard takes anchors until it
     holds SHARD_ITEMS items.
@@ -215,10 +216,9 @@ def search(texts: DataFrame, unit: Unit) -> DataFrame:
     def shard(rows: list[tuple]) -> pa.RecordBatch:
         parts = [np.frombuffer(r[3], unit.dtype) for r in rows]
         offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        ask = np.array([r[2] == 1 for r in rows])
-        hit = unit.find(np.concatenate(parts), offs, ask, unit.length)
+        hit = unit.find(np.concatenate(parts), offs, np.array([r[2] for r in rows], np.int64), unit.length)
         out: list[list] = [[], [], [], []]
-        for i in np.flatnonzero(ask):
+        for i in range(len(rows)):
             mine = hit[offs[i]:offs[i + 1]]
             if mine.any():
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], mine.astype(np.int8), [0]])))
@@ -283,8 +283,7 @@ def repeated_spans(docs: DataFrame, text: str, unit: Unit, hot_texts: int = HOT_
     bodies = cand.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"),
                                                 F.min_by("place", "row").alias("place"))
     bodies = persist_table(bodies, "window-bodies")
-    open_ = (bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"), F.min("copies").alias("least"))
-             .filter("texts > 1 and least = 1").select("anchor", (F.col("texts") > hot_texts).alias("hot")))
+    open_ = bodies.groupBy("anchor").agg((F.count(F.lit(1)) > hot_texts).alias("hot"))
     todo = bodies.join(persist_table(open_, "window-open"), "anchor")
     wanted = todo.groupBy("row", F.col("place").bitwiseAND(F.lit((1 << 14) - 1)).alias("tag")).agg(
         F.collect_list(F.struct("place", "anchor", "body", "copies", "hot")).alias("todo"))
@@ -293,42 +292,46 @@ def repeated_spans(docs: DataFrame, text: str, unit: Unit, hot_texts: int = HOT_
     found = persist_table(search(texts, unit), "window-found")
     L = unit.length
     lo = F.shiftright("place", 32)
-    n = F.shiftright("place", 23).bitwiseAND(F.lit(511))
     off = F.shiftright("place", 14).bitwiseAND(F.lit(511))
     row = [F.col("row"), F.col("place").bitwiseAND(F.lit((1 << 14) - 1)).alias("tag")]
     span = lambda start, windows: F.struct(start.cast("long").alias("start"), (windows + L - 1).cast("long").alias("size"))
-    copied = bodies.filter("copies > 1").select("anchor", "body")
-    settled = cand.join(copied, ["anchor", "body"], "left_semi").select(*row, span(lo, n).alias("span"))
-    once = bodies.filter("copies = 1").select("anchor", "body", "row", "place")
-    by_index = (once.join(found, ["anchor", "body"]).select(*row, "place", F.explode(F.arrays_zip("starts", "sizes")).alias("f"))
-                .select("row", "tag", span(lo + F.col("f.starts"), F.col("f.sizes")).alias("span")))
-    spans = settled.union(by_index)
+    spans = (cand.join(found, ["anchor", "body"]).select(*row, lo.alias("lo"), F.explode(F.arrays_zip("starts", "sizes")).alias("f"))
+             .select("row", "tag", span(F.col("lo") + F.col("f.starts"), F.col("f.sizes")).alias("span")))
     if not texts.filter("part is not null").isEmpty():
-        hot = once.join(search_hot(texts), ["anchor", "body"])
+        hot = cand.join(search_hot(texts), ["anchor", "body"])
         spans = spans.union(hot.select(*row, span(lo + off - F.col("o") - F.col("wins") + 1, F.col("wins")).alias("span")))
     return spans.groupBy("row", "tag").agg(F.collect_set("span").alias("spans"))
 
 
-def cover(docs: DataFrame, text: str, unit: Unit, make: Callable, added: list[tuple[str, str]], spans: DataFrame) -> DataFrame:
-    """``docs`` without ``text``, with the columns ``added`` that ``make`` derives.
+def remove(docs: DataFrame, text: str, unit: Unit, make: Callable, added: list[tuple[str, str]], hot_texts: int = HOT_TEXTS) -> DataFrame:
+    """``docs`` without ``text``, with the columns ``added`` that ``make`` derives from a text and its repeated spans.
+
+    Input columns named like an added one are replaced; all others come back as they are, whatever their names.
+    """
+    rest = [c for c in docs.columns if c != text and c not in dict(added)]
+    packed = S.hide(docs.select(*[F.col(f"`{c}`") for c in [*rest, text]]), text=text)
+    out = cover(packed, unit, make, added, repeated_spans(packed, "text", unit, hot_texts))
+    return out.select(*S.unhide(out, rest), *dict(added))
+
+
+def cover(packed: DataFrame, unit: Unit, make: Callable, added: list[tuple[str, str]], spans: DataFrame) -> DataFrame:
+    """``rest`` of ``packed`` (rest, text), with the columns ``added`` that ``make`` derives.
 
     ``make(data, spans)`` gets a whole text and its covered [start, end) spans
     in items, merged and in order.
     """
-    names = dict(added)
-    rest = [c for c in docs.columns if c != text and c not in names]
-    rows = keyed(docs, text).select(*rest, text, "_row", "_tag")
     spans = spans.select(F.col("row").alias("_r"), F.col("tag").alias("_t"), "spans").hint("shuffle_hash")
-    both = rows.join(spans, (F.col("_row") == F.col("_r")) & (F.col("_tag") == F.col("_t")), "left").select(*rest, text, "spans")
-    schema = both.select(rest).schema
+    both = (keyed(packed, "text").join(spans, (F.col("_row") == F.col("_r")) & (F.col("_tag") == F.col("_t")), "left")
+            .select("rest", "text", "spans"))
+    schema = both.select("rest").schema
     for name, kind in added:
         schema = schema.add(name, kind)
     out_types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offs = S.text_buffer(b.column(len(rest)))
-            spans = b.column(len(rest) + 1).to_pylist()
+            data, offs = S.text_buffer(b.column(1))
+            spans = b.column(2).to_pylist()
             for i, j in S.blocks(offs, 16 * S.BLOCK_BYTES):
                 out = []
                 for k in range(i, j):
@@ -341,6 +344,6 @@ def cover(docs: DataFrame, text: str, unit: Unit, make: Callable, added: list[tu
                             merged.append([a, e])
                     out.append(make(data[offs[k]:offs[k + 1]].tobytes(), merged))
                 cols = [pa.array(c, out_types[t]) for c, (_, t) in zip(zip(*out, strict=True), added, strict=True)]
-                yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns[:len(rest)]], *cols], names=[*rest, *names])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *cols], names=["rest", *dict(added)])
 
     return S.map_batches(both, run, schema)
