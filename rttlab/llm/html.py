@@ -3,7 +3,8 @@
 Every element subtree outside the prose of a marked article is hashed; Spark
 counts in how many different pages of a host each hash occurs; subtrees that
 recur across many pages of their host are the site's template and are deleted
-before the text is taken. What is boilerplate by its tag, role or class goes too.
+first, wherever they stand in the page. Of what is left, boilerplate by tag,
+role or class goes, then what is outside the articles of a page that marks some.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rttlab.session import persist_table
+
 from . import spans as S
 from .urls import host_of
 
 MIN_PAGES, MIN_SHARE = 10, 0.1  # a template's subtree: in so many pages of the host, and so large a share of them
+BODY_WORDS = 50  # recurring text outside links of so many words that is half of its page is the page's own
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,11 +54,12 @@ P_LIMITS = set("button table td th caption object template".split())
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent", "drop")
+    """``place`` numbers a page's elements in the order of their start tags, the root is 0."""
+    __slots__ = ("tag", "attrs", "children", "parent", "drop", "depth", "place")
 
-    def __init__(self, tag, attrs, parent):
+    def __init__(self, tag, attrs, parent, place):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-        self.drop = False
+        self.drop, self.depth, self.place = False, parent.depth + 1 if parent else 0, place
 
 
 # A comment, declaration or processing instruction; or a tag: slash, name, attributes.
@@ -70,25 +75,43 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[0].lower(): unescape(m[1] or m[2] or m[3]) for m in reversed(_ATTR.findall(text))}  # the first of a name counts
 
 
-def _close(at: Element, names, limits) -> Element:
-    """The open element after closing the innermost one of ``names`` below ``limits``, if there is one."""
-    e = at
-    while e.parent is not None and e.tag not in limits:
-        if e.tag in names:
-            return e.parent
-        e = e.parent
-    return at
+class Open:
+    """The open elements: ``at`` is the innermost; those of a name are a stack, so that none is searched for."""
+
+    def __init__(self, root: Element):
+        self.at = root
+        self.named: dict[str, list[Element]] = {}
+
+    def enter(self, e: Element) -> None:
+        self.named.setdefault(e.tag, []).append(e)
+        self.at = e
+
+    def _innermost(self, names) -> Element | None:
+        return max((self.named[n][-1] for n in names if self.named.get(n)), key=lambda e: e.depth, default=None)
+
+    def close(self, names, limits=()) -> None:
+        """Close the innermost element of ``names`` and all inside it, if there is one below ``limits``."""
+        e = self._innermost(names)
+        if e is None or limits and (bar := self._innermost(limits)) is not None and bar.depth > e.depth:
+            return
+        while True:
+            inner = self.at
+            self.named[inner.tag].pop()
+            self.at = inner.parent
+            if inner is e:
+                return
 
 
 def parse(html: str) -> Element:
     """Element tree of a page; unclosed and misnested tags are closed as browsers mostly do, references are decoded."""
-    root = at = Element("#root", _NO_ATTRS, None)
-    done = 0
+    root = Element("#root", _NO_ATTRS, None, 0)
+    now = Open(root)
+    done = n = 0
     token = _TOKEN.search
     while m := token(html, done):
         if m.start() > done:
             data = html[done:m.start()]
-            at.children.append(unescape(data) if "&" in data else data)
+            now.at.children.append(unescape(data) if "&" in data else data)
         done = m.end()
         tag = m[2]
         if tag is None:
@@ -96,14 +119,15 @@ def parse(html: str) -> Element:
         tag = tag.lower()
         if m[1]:
             if tag not in VOID:
-                at = _close(at, (tag,), ())
+                now.close((tag,))
             continue
         if tag in ENDS_P:
-            at = _close(at, ("p",), P_LIMITS)
+            now.close(("p",), P_LIMITS)
         if tag in IMPLIED:
-            at = _close(at, *IMPLIED[tag])
-        e = Element(tag, _attributes(m[3]), at)
-        at.children.append(e)
+            now.close(*IMPLIED[tag])
+        n += 1
+        e = Element(tag, _attributes(m[3]), now.at, n)
+        now.at.children.append(e)
         if tag in RAW_TEXT:
             end = RAW_TEXT[tag].search(html, done)
             stop = end.start() if end else len(html)
@@ -111,9 +135,9 @@ def parse(html: str) -> Element:
             done = html.find(">", stop) + 1 if end else stop
             done = done or len(html)
         elif tag not in VOID:
-            at = e
+            now.enter(e)
     if done < len(html):
-        at.children.append(unescape(html[done:]))
+        now.at.children.append(unescape(html[done:]))
     return root
 
 
@@ -145,11 +169,10 @@ def content_roots(root: Element) -> list[Element]:
     return articles or found["main"] or [root]
 
 
-def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True) -> dict[int, list[Element]]:
+def subtree_hashes(root: Element, roots: list[Element]) -> dict[int, list[Element]]:
     """Elements by the hash of their subtree: name, id, class, texts and children; those a template may hold.
 
-    ``roots``: the page's content roots; without ``everywhere`` only elements in them.
-    Left out: prose, what holds prose, and inline elements inside a marked
+    ``roots``: the page's content roots. Left out: prose, what holds prose, and inline elements inside a marked
     article, page-level shells (html, body, the roots of the content), and
     subtrees without text.
     """
@@ -178,7 +201,7 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
             out.setdefault(h.intdigest() - (1 << 63), []).append(e)
         return h.digest() + (b"2" if prose else b"1" if text else b"0")
 
-    todo = [(r, False) for r in ([root] if everywhere else roots)]
+    todo = [(root, False)]
     while todo:  # down to the topmost elements that may be a template's, whose subtrees are hashed from the leaves up
         e, inside = todo.pop()
         inside = inside or id(e) in marked
@@ -195,34 +218,63 @@ def subtree_hashes(root: Element, roots: list[Element], everywhere: bool = True)
     return out
 
 
-def _letters(top: Element, dropped: bool) -> int:
-    """Characters of text that isn't boilerplate below ``top``; with ``dropped``, of that in dropped elements only."""
-    n, stack = 0, [(top, not dropped)]
+def _letters(top: Element, dropped: bool, links: bool = True) -> tuple[int, int]:
+    """Characters and words of text that isn't boilerplate below ``top``; with ``dropped``, of that in dropped elements
+    only; without ``links``, of that outside links."""
+    n = w = 0
+    stack = [(top, not dropped or top.drop)]
     while stack:
         e, counts = stack.pop()
         for c in e.children:
             if isinstance(c, str):
-                n += len("".join(c.split())) if counts else 0
-            elif not boilerplate(c, True):
+                words = c.split() if counts else ()
+                n, w = n + sum(map(len, words)), w + len(words)
+            elif not boilerplate(c, True) and (links or c.tag != "a"):
                 stack.append((c, counts or c.drop))
-    return n
+    return n, w
+
+
+def _spare(root: Element, roots: list[Element], dropped: list[Element]) -> None:
+    """Take back deletions that would take the page's own text.
+
+    Of a marked article (or main element): all, where they hold half of its
+    text or more. Of a page without one: those of mostly unlinked text, where
+    the unlinked text of all has ``BODY_WORDS`` words and is half of the page's.
+    """
+    marked = [r for r in roots if r is not root]
+    for r in marked:
+        if 2 * _letters(r, True)[0] >= _letters(r, False)[0]:
+            stack = [r]
+            while stack:
+                e = stack.pop()
+                e.drop = False
+                stack += [c for c in e.children if not isinstance(c, str)]
+    if not marked:
+        n, words = _letters(root, True, links=False)
+        if words >= BODY_WORDS and 2 * n >= _letters(root, False)[0]:
+            for e in dropped:
+                if 2 * _letters(e, False, links=False)[0] >= _letters(e, False)[0]:
+                    e.drop = False
 
 
 def main_text(html: str, template=()) -> str:
-    """Text of the page's content without boilerplate and without subtrees whose hash is in ``template``.
+    """Text of the page: without the elements whose places are in ``template``, then without boilerplate by tag, role
+    and class, then of its articles (or main element) alone if it has any.
 
-    Blocks are joined by one space, white space is one space. Where such
-    subtrees hold half of a marked article's text or more, they are its own
-    text and stay.
+    Blocks are joined by one space, white space is one space. What
+    :func:`_spare` finds to be the page's own text stays.
     """
     root = parse(html)
     roots = content_roots(root)
     if len(template):
-        hashes = subtree_hashes(root, roots, everywhere=False)
-        for h in template:
-            for e in hashes.get(h, ()):
+        gone, dropped, stack = set(template), [], [root]
+        while stack:
+            e = stack.pop()
+            if e.place in gone:
                 e.drop = True
-    own = {id(r) for r in roots if len(template) and r is not root and 2 * _letters(r, True) >= _letters(r, False)}
+                dropped.append(e)
+            stack += [c for c in e.children if not isinstance(c, str)]
+        _spare(root, roots, dropped)
     parts: list[str] = []
     for top in roots:
         stack: list = [(top, top is not root)]
@@ -232,7 +284,7 @@ def main_text(html: str, template=()) -> str:
                 parts.append(x)
                 continue
             e, inside = x
-            if e.drop and id(top) not in own or e is not top and boilerplate(e, inside):
+            if e.drop or e is not top and boilerplate(e, inside):
                 parts.append(" ")
                 continue
             if e.tag in BLOCKS:
@@ -243,40 +295,49 @@ def main_text(html: str, template=()) -> str:
     return " ".join("".join(parts).split())
 
 
-def _keyed(pages: DataFrame, html: str, url: str) -> DataFrame:
-    every = [F.col(c) for c in pages.columns]
-    return (pages.withColumn("_r1", F.xxhash64(*every)).withColumn("_r2", F.xxhash64(F.lit(1), *reversed(every)))
-            .withColumn("_host", host_of(F.col(url))))
+def _same(a: list[str], b: list[str]):
+    both = F.lit(True)
+    for x, y in zip(a, b, strict=True):
+        both = both & (F.col(x) == F.col(y))
+    return both
 
 
-def template_rows(pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES,
-                  min_share: float = MIN_SHARE) -> DataFrame:
-    """``_r1, _r2, template``: per page that has any, the hashes of its subtrees that are its host's template.
+def template_places(pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES,
+                    min_share: float = MIN_SHARE) -> DataFrame:
+    """``page1, page2, host, template``: per different page of a host that has any, the places of its elements whose
+    subtree is the host's template. ``page1`` and ``page2`` are hashes of the html.
 
-    ``min_pages`` and ``min_share`` are of the host's different pages: rows of equal html count once.
+    ``min_pages`` and ``min_share`` are of the host's different pages: rows of equal html are one page.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = []
-            for page in b.column(5).to_pylist():
+            hashes, places = [], []
+            for page in b.column(3).to_pylist():
                 tree = parse(page or "")
-                hashes.append(list(subtree_hashes(tree, content_roots(tree))))
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(hashes, pa.list_(pa.int64()))], names=names)
-
-    names = ["_r1", "_r2", "_host", "_p1", "_p2", "_hashes"]
+                found = [(h, e.place) for h, es in subtree_hashes(tree, content_roots(tree)).items() for e in es]
+                hashes.append([h for h, _ in found])
+                places.append([p for _, p in found])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                                             names=[*key, "hashes", "places"])
+
+    key = ["host", "page1", "page2"]
+    found = S.map_batches(_page_key(pages, html, url).select(*key, F.col(html).alias("html")), run,
+                          "host string, page1 long, page2 long, hashes array<long>, places array<int>")
+    different = persist_table(found.groupBy(*key).agg(F.first(F.struct("hashes", "places")).alias("f")), "html-subtrees")
+    host_pages = different.groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    often = (different.select("host", F.explode(F.array_distinct("f.hashes")).alias("hash"))
+             .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
+             .join(host_pages, F.col("host") == F.col("h")).filter(F.col("pages") >= F.lit(min_share) * F.col("n")).select("host", "hash"))
+    here = different.select(*key, F.explode(F.arrays_zip("f.hashes", "f.places")).alias("x"))
+    here = here.select(*key, F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
+    return here.join(often, ["host", "hash"], "left_semi").groupBy(*key).agg(F.collect_set("place").alias("template"))
+
+
+def _page_key(pages: DataFrame, html: str, url: str) -> DataFrame:
+    """``pages`` with ``host``, and two hashes of the html (a null is empty)."""
     page = F.coalesce(F.col(html), F.lit(""))
-    keyed = _keyed(pages, html, url).withColumn("_p1", F.xxhash64(page)).withColumn("_p2", F.xxhash64(F.lit(1), page))
-    found = S.map_batches(keyed.select(*names[:5], html), run,
-                          "_r1 long, _r2 long, _host string, _p1 long, _p2 long, _hashes array<long>")
-    same = ["_host", "_p1", "_p2"]  # rows of equal pages: one page
-    different = found.groupBy(*same).agg(F.first("_hashes").alias("_hashes"))
-    host_pages = keyed.select(*same).distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
-    found = found.select("_r1", "_r2", "_host", F.explode("_hashes").alias("_hash"))
-    often = (different.select("_host", F.explode("_hashes").alias("_hash"))
-             .groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in")).filter(F.col("_in") >= min_pages)
-             .join(host_pages, "_host").filter(F.col("_in") >= F.lit(min_share) * F.col("_pages")).select("_host", "_hash"))
-    return (found.join(often, ["_host", "_hash"], "left_semi").groupBy("_r1", "_r2")
-            .agg(F.collect_set("_hash").alias("template")))
+    return (pages.withColumn("page1", F.xxhash64(page)).withColumn("page2", F.xxhash64(F.lit(1), page))
+            .withColumn("host", host_of(F.col(url))))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES,
@@ -285,26 +346,26 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", min_pages: i
 
     Null or empty html gives an empty text; a null url counts to the host
     with the empty name. Repeated rows each keep their row. Input columns named
-    ``text`` or ``n_chars`` are replaced; an empty table stays empty. Whole
-    pages are read, whatever their length.
+    ``text`` or ``n_chars`` are replaced, all others come back as they are; an
+    empty table stays empty. Whole pages are read, whatever their length.
     """
     rest = [c for c in pages.columns if c not in (html, "text", "n_chars")]
-    pages = pages.select(*rest, html)
-    keyed = _keyed(pages, html, url).drop("_host")
-    templates = (template_rows(pages, html, url, min_pages, min_share)
-                 .withColumnsRenamed({"_r1": "_t1", "_r2": "_t2"}).hint("shuffle_hash"))
-    both = keyed.join(templates, (F.col("_r1") == F.col("_t1")) & (F.col("_r2") == F.col("_t2")), "left")
-    both = both.select(*rest, html, "template")
-    schema = both.select(rest).schema.add("text", "string").add("n_chars", "long")
+    packed = pages.select(F.struct(*rest).alias("rest") if rest else F.lit(True).alias("rest"),
+                          F.col(html).alias("html"), F.col(url).alias("url"))
+    templates = (template_places(packed, min_pages=min_pages, min_share=min_share)
+                 .withColumnsRenamed({"page1": "t1", "page2": "t2", "host": "th"}).hint("shuffle_hash"))
+    both = _page_key(packed, "html", "url").join(templates, _same(["page1", "page2", "host"], ["t1", "t2", "th"]), "left")
+    both = both.select("rest", "html", "template")
+    schema = both.select("rest").schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(page or "", hashes or ()) for page, hashes in
-                     zip(b.column(len(rest)).to_pylist(), b.column(len(rest) + 1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(rest)], pa.array(texts, pa.string()),
-                                              pa.array([len(t) for t in texts], pa.int64())], names=[*rest, "text", "n_chars"])
+            texts = [main_text(page or "", places or ()) for page, places in
+                     zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()),
+                                              pa.array([len(t) for t in texts], pa.int64())], names=["rest", "text", "n_chars"])
 
-    return S.map_batches(both, run, schema)
+    return S.map_batches(both, run, schema).select(*[F.col("rest")[c].alias(c) for c in rest], "text", "n_chars")
 
 
 def op10_html_text(spark, sf: str) -> DataFrame:
