@@ -17,12 +17,9 @@ from pyspark.sql import functions as F
 
 from . import spans as S
 
-# Largest shares of characters inside repeated n-grams and lines. They are twice
-# those of the published repetition rules (0.15 for 5 words down to 0.10 for
-# 10 words; 0.20 for lines): a clean text of 50 words that says one sentence
-# twice exceeds the published ones.
-NGRAM_LIMITS = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
-LINE_LIMIT = 0.40
+# The published repetition rules, largest shares of characters inside n-grams and lines that occurred before.
+NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+LINE_LIMIT = 0.20
 MIN_WORDS = 50
 BASE_NGRAM = 3
 BASE_PERCENT = 50
