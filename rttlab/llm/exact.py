@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from rttlab.session import persist_table, shared_path
 
+from . import spans as S
+
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 # The state lives in RocksDB on disk; a task closes its store when it has committed, so that the
 # stores open at once (several MB each) are as many as running tasks, not as partitions.
@@ -91,10 +93,15 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", d
                  norm.alias("norm"), digest(norm).alias("digest"))
      .join(repeated, F.col("digest") == F.col("_digest"), "left_semi").write.parquet(copies))
     copies = spark.read.parquet(copies)
-    firsts = out.filter("locator = keep_locator and group_size > 1").select("digest", F.col("row_hash").alias("_first"))
-    content = (copies.join(firsts, "digest").filter("row_hash = _first")
-               .groupBy("digest").agg(F.min("norm").alias("kept_norm")))
-    differ = (copies.join(content, "digest").filter("norm <> kept_norm").select(F.col("digest").alias("_digest")).distinct())
+    firsts = (out.filter("locator = keep_locator and group_size > 1")
+              .select(F.col("digest").alias("_digest"), F.col("row_hash").alias("_first")))
+    # by digest and row, so that the rows of a digest with many copies are spread
+    content = (copies.join(firsts, (F.col("digest") == F.col("_digest")) & (F.col("row_hash") == F.col("_first")))
+               .groupBy("digest", "row_hash").agg(F.min("norm").alias("kept_norm")).select("digest", "kept_norm"))
+    content = persist_table(content, "dedup-content")
+    # written before it is made distinct: nothing behind the join then hinders Spark from splitting a hot digest
+    differ = persist_table(copies.join(content, "digest").filter("norm <> kept_norm").select(F.col("digest").alias("_digest")),
+                           "dedup-differences").distinct()
     differ = persist_table(differ, "dedup-collisions")
     if not differ.isEmpty():
         # A digest of several texts: its rows are grouped by the bytes themselves.
@@ -109,13 +116,14 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", d
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", digest=sha256_digest) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; see :func:`dedup_classes`."""
-    stay = dedup_classes(docs, id_col, text, digest).filter("kept")
-    stay = stay.select(F.col("id").alias("_id"), F.col("row_hash").alias("_row"))
-    rows = docs.withColumn("_hash", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    same_id = (F.col(id_col) == F.col("_id")) | (F.col(id_col).isNull() & F.col("_id").isNull())
-    rows = rows.join(stay, (F.col("_hash") == F.col("_row")) & same_id)
-    return rows.dropDuplicates(["_hash", "_id"]).select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns (of any name); see :func:`dedup_classes`. Of whole rows
+    that repeat, one stays; an empty table stays empty."""
+    used = {"id": id_col, "text": text}
+    packed = S.hide(docs, **used)
+    stay = dedup_classes(packed, "id", "text", digest).filter("kept").select(F.col("id").alias("kept_id"), F.col("row_hash").alias("kept_row"))
+    rows = packed.withColumn("row_hash", F.xxhash64(*[F.col(c) for c in packed.columns]))
+    rows = rows.join(stay, (F.col("row_hash") == F.col("kept_row")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.dropDuplicates(["row_hash", "id"]).select(*S.unhide(rows, docs.columns, **used))
 
 
 def op9_exact_dedup(spark, sf: str) -> DataFrame:
