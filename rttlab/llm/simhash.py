@@ -169,15 +169,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     a component but name one only if all its ids are null. An empty table
     gives an empty table; columns named like an output are replaced.
     """
-    docs = docs.select([c for c in docs.columns if c not in ("fingerprint", "root", "component_id")])
-    prints = persist_table(fingerprints(docs, text, n=n), "simhash-prints")
-    groups = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first_id"))
+    columns = [c for c in docs.columns if c not in ("fingerprint", "root", "component_id", text)]
+    packed = S.hide(docs.select(*[F.col(f"`{c}`") for c in [*columns, text]]), id=id_col, text=text)
+    prints = persist_table(fingerprints(packed, n=n), "simhash-prints")
+    groups = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("first_id"))
     groups = persist_table(groups, "simhash-groups")
     roots = components(groups.select("fp"), links(groups.select("fp"), d))
     named = roots.join(groups, "fp")
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(names, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
-    return prints.join(named, F.col("fingerprint") == F.col("_fp")).drop("_fp")
+    named = named.join(names, "root").select("fp", "root", "component_id")
+    return (prints.join(named, F.col("fingerprint") == F.col("fp"))
+            .select(*S.unhide(prints, columns, id=id_col), "fingerprint", "root", "component_id"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = SHINGLE_WORDS, d: int = MAX_BITS) -> DataFrame:
@@ -186,11 +188,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: i
     A null id comes first; of several rows with that id, the one with the
     smallest row hash, and of whole rows that repeat, one.
     """
-    rows = docs.withColumn("_hash", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    classes = near_duplicates(rows.select(F.col(id_col).alias("_id"), "_hash", text), "_id", text, n, d)
-    stay = classes.groupBy("root").agg(F.min(F.struct("_id", "_hash")).alias("s")).select("s._id", F.col("s._hash").alias("_row"))
-    same_id = (F.col(id_col) == F.col("_id")) | (F.col(id_col).isNull() & F.col("_id").isNull())
-    return (rows.join(stay, (F.col("_hash") == F.col("_row")) & same_id).dropDuplicates(["_hash", "_id"]).select(*docs.columns))
+    used = {"id": id_col, "text": text}
+    packed = S.hide(docs, **used)
+    rows = packed.withColumn("row_hash", F.xxhash64(*[F.col(c) for c in packed.columns]))
+    classes = near_duplicates(rows.select("id", "row_hash", "text"), "id", "text", n, d)
+    stay = classes.groupBy("root").agg(F.min(F.struct("id", "row_hash")).alias("s")).select(
+        F.col("s.id").alias("kept_id"), F.col("s.row_hash").alias("kept_row"))
+    rows = rows.join(stay, (F.col("row_hash") == F.col("kept_row")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.dropDuplicates(["row_hash", "id"]).select(*S.unhide(rows, docs.columns, **used))
 
 
 def op8_simhash(spark, sf: str) -> DataFrame:
