@@ -154,7 +154,15 @@ def test_suffix_array_and_fm_index():
         want = [i + length <= len(t) and count[tuple(t[i:i + length])] > 1 for t in texts for i in range(len(t))]
         offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         for find, kind in ((suffix.find_repeats, "u1"), (fmindex.find_repeats, "u8")):
-            assert find(np.array(flat, kind), offs, np.ones(len(texts), bool), length).tolist() == want
+            assert find(np.array(flat, kind), offs, np.ones(len(texts), np.int64), length).tolist() == want
+            copies = [rng.randint(1, 2) for _ in texts]
+            count = collections.Counter()
+            for t, c in zip(texts, copies, strict=True):
+                for i in range(len(t) - length + 1):
+                    count[tuple(t[i:i + length])] += c
+            more = [i + length <= len(t) and count[tuple(t[i:i + length])] > 1 for t in texts for i in range(len(t))]
+            assert find(np.array(flat, kind), offs, np.array(copies), length).tolist() == more
+            count = collections.Counter(tuple(t[i:i + length]) for t in texts for i in range(len(t) - length + 1))
 
 
 @pytest.fixture(scope="module")
