@@ -120,11 +120,11 @@ def q_packet_loss(spark, sf):
 
 
 def q_ip_columns(spark, sf):
-    p = _ping(spark, sf)
+    p = IP.with_ipv6_bytes(_ping(spark, sf), "dst_addr", "bytes")
     return p.select("dst_addr", IP.is_ipv6("dst_addr").alias("is_ipv6"),
                     IP.ipv4_to_int("dst_addr").alias("ipv4_int"),
                     IP.int_to_ipv4(IP.ipv4_to_int("dst_addr")).alias("ipv4_text"),
-                    F.hex(IP.ipv6_to_bytes("dst_addr")).alias("ipv6_hex"))
+                    F.hex("bytes").alias("ipv6_hex"))
 
 
 def q_optimize_dataset(spark, sf):

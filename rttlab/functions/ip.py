@@ -7,7 +7,7 @@ the address invalid (0).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -59,33 +59,50 @@ def int_to_ipv4(x) -> Column:
     return F.when(x.isNotNull() & (x > 0), t)
 
 
+def _ipv6_steps(ip: Column):
+    """The steps of F-4: yields (name, expression), and is sent what stands for it in later steps, which use it several times."""
+    s = yield "_v6_text", F.lower(ip)
+    tail = yield "_v6_tail", F.substring_index(s, ":", -1)
+    v4_tail = F.contains(tail, F.lit("."))
+    v4 = ipv4_to_int(tail)
+    hex_tail = F.concat(F.lpad(F.hex(F.floor(v4 / 65536)), 4, "0"), F.lit(":"), F.lpad(F.hex(v4 % 65536), 4, "0"))
+    # an embedded dotted IPv4 tail (``::ffff:1.2.3.4``) becomes two hex groups; one that does not parse spoils the text
+    s2 = yield "_v6_hex", F.when(v4_tail & ipv4_valid(tail), F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(tail)), hex_tail)) \
+                           .when(~v4_tail, s)
+    fill = yield "_v6_fill", F.lit(8) - F.regexp_count(s2, F.lit("[0-9a-f]+"))
+    # '::' stands for the missing zero groups
+    zeros = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(fill, F.lit(0))))
+    one = (F.regexp_count(s2, F.lit("::")) == 1) & (fill >= 1)
+    expanded = yield "_v6_groups", F.when(one, F.regexp_replace(F.regexp_replace(s2, "::", zeros), "^:|:$", "")).otherwise(s2)
+    # every group is left-padded to four digits with two regex replacements
+    padded = F.regexp_replace(F.regexp_replace(F.concat(F.lit(":"), expanded), ":", ":000"), ":0*([0-9a-f]{4})", "$1")
+    valid = expanded.rlike(V6_FULL_RE) & ~F.contains(s2, F.lit(":::"))
+    yield "", F.when(F.coalesce(valid, F.lit(False)), F.unhex(padded))
+
+
 def ipv6_to_bytes(ip) -> Column:
-    """F-4: textual IPv6 -> 16 packed bytes; IPv4, invalid or NULL -> NULL.
+    """F-4: textual IPv6 -> 16 packed bytes; IPv4, invalid or NULL -> NULL. One expression, in which the steps are
+    repeated; for a column of a table :func:`with_ipv6_bytes` plans less."""
+    steps = _ipv6_steps(_c(ip))
+    name, expression = next(steps)
+    while name:
+        name, expression = steps.send(expression)
+    return expression
 
-    '::' is expanded with the number of missing zero groups, an embedded
-    dotted IPv4 tail (``::ffff:1.2.3.4``) becomes two hex groups, and every
-    group is left-padded to four digits with two regex replacements.
+
+def with_ipv6_bytes(df: DataFrame, ip: str, out: str) -> DataFrame:
+    """F-4 as a column ``out`` of ``df``.
+
+    The steps are columns of their own, so that Catalyst computes each once
+    and the plan does not repeat them; they are dropped at the end.
     """
-    s = F.lower(_c(ip))
-    tail = F.substring_index(s, ":", -1)
-    v4_tail = F.contains(tail, F.lit("."))
-    v4 = ipv4_to_int(tail)
-    hex_tail = F.concat(F.lpad(F.hex(F.floor(v4 / 65536)), 4, "0"), F.lit(":"),
-                        F.lpad(F.hex(v4 % 65536), 4, "0"))
-    s2 = F.when(v4_tail, F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(tail)), hex_tail)) \
-          .otherwise(s)
-    n_dc = F.regexp_count(s2, F.lit("::"))
-    fill = F.lit(8) - F.regexp_count(s2, F.lit("[0-9a-f]+"))
-    expanded = F.when(n_dc == 1, F.regexp_replace(
-        F.regexp_replace(s2, "::", F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(fill, F.lit(0))))),
-        "^:|:$", "")).otherwise(s2)
-    padded = F.regexp_replace(F.regexp_replace(F.concat(F.lit(":"), expanded), ":", ":000"),
-                              ":0*([0-9a-f]{4})", "$1")
-    valid = (F.contains(s, F.lit(":")) & s.rlike(r"^[0-9a-f:.]+$")
-             & (~v4_tail | ipv4_valid(tail))
-             & (n_dc <= 1) & ((n_dc == 0) | (fill >= 1)) & ~F.contains(s2, F.lit(":::"))
-             & expanded.rlike(V6_FULL_RE))
-    return F.when(F.coalesce(valid, F.lit(False)), F.unhex(padded))
+    columns = [c for c in df.columns if c != out]
+    steps = _ipv6_steps(F.col(ip))
+    name, expression = next(steps)
+    while name:
+        df = df.withColumn(name, expression)
+        name, expression = steps.send(F.col(name))
+    return df.select(*columns, expression.alias(out))
 
 
 def dst_addr_display(dst_is_v6="dst_is_ipv6", dst_addr="dst_addr",

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import ipv4_to_int, ipv6_to_bytes, is_ipv6
+from ..functions.ip import ipv4_to_int, is_ipv6, with_ipv6_bytes
 from .filters import rename_edge
+from .pairs import top_sources_by_degree
 
 
 def resolve_dst_probe(ping: DataFrame, probe_map: DataFrame) -> DataFrame:
@@ -49,10 +50,8 @@ def dedup_probe_map(probe_map: DataFrame) -> DataFrame:
 def source_ip_columns(dedup_map: DataFrame) -> DataFrame:
     """The deduplicated map in optimized form: (dst_prb_id, src_is_ipv6,
     src_ipv4_int, src_ipv6_bytes)."""
-    return dedup_map.select("dst_prb_id",
-                            is_ipv6("ip").alias("src_is_ipv6"),
-                            ipv4_to_int("ip").alias("src_ipv4_int"),
-                            ipv6_to_bytes("ip").alias("src_ipv6_bytes"))
+    m = dedup_map.select("dst_prb_id", "ip", is_ipv6("ip").alias("src_is_ipv6"), ipv4_to_int("ip").alias("src_ipv4_int"))
+    return with_ipv6_bytes(m, "ip", "src_ipv6_bytes").drop("ip")
 
 
 def add_source_ip(df: DataFrame, probe_map: DataFrame) -> DataFrame:
@@ -70,20 +69,12 @@ def add_source_ip_fanout(df: DataFrame, probe_map: DataFrame) -> DataFrame:
     return df.join(src, df.prb_id == src.dst_prb_id, "left").drop("dst_prb_id")
 
 
-def top_sources(edges: DataFrame, k: int = 100) -> DataFrame:
-    """H-2 helper: the ``k`` sources with most distinct destinations
-    (ties by smaller id). Bounded by ``k`` rows."""
-    deg = edges.select("src", "dst").distinct().groupBy("src").agg(
-        F.count(F.lit(1)).alias("connections"))
-    return deg.orderBy(F.desc("connections"), F.asc("src")).limit(k)
-
-
 def filter_top_endpoints(edges: DataFrame, k: int = 100) -> DataFrame:
     """D-6: keep rows whose src and dst are both among the top-``k`` sources.
 
     The top set is at most ``k`` rows, so both semi joins broadcast it.
     """
-    top = F.broadcast(top_sources(edges, k).select(F.col("src").alias("node")))
+    top = F.broadcast(top_sources_by_degree(edges, k).select(F.col("src").alias("node")))
     return (edges.join(top, edges.src == top.node, "left_semi")
                  .join(top, edges.dst == top.node, "left_semi"))
 

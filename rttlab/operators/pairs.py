@@ -42,8 +42,7 @@ def top_sources_by_degree(edges: DataFrame, k: int = 100) -> DataFrame:
 def _restrict(edges: DataFrame, pairs: DataFrame | None) -> DataFrame:
     if pairs is None:
         return edges
-    # pairs is a bounded top-k list: broadcast is safe
-    return edges.join(F.broadcast(pairs.select(*PAIR)), PAIR, "left_semi")
+    return edges.join(pairs.select(*PAIR), PAIR, "left_semi")  # Spark broadcasts a list below its threshold
 
 
 def _rolled_up(cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -193,9 +193,9 @@ def packet_loss(df: DataFrame) -> DataFrame:
 
 
 def latency_matrix(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """G-12: mean latency per pair among a bounded node list (long form
+    """G-12: mean latency per pair among a list of nodes (long form
     src, dst, avg_latency; missing cells are absent)."""
-    nb = F.broadcast(nodes.select(F.col(nodes.columns[0]).alias("node")))
+    nb = nodes.select(F.col(nodes.columns[0]).alias("node"))
     e = edges.join(nb, edges.src == nb.node, "left_semi").join(nb, edges.dst == nb.node, "left_semi")
     return e.groupBy(*PAIR).agg(r6(F.avg("avg")).alias("avg_latency"))
 

@@ -1,9 +1,10 @@
 """F-6: parsed ping rows -> compact typed table.
 
 One lazy chain: IP columns (F-1, F-2, F-4) -> source IPs from the
-deduplicated probe map (D-3, broadcast after a size check) -> narrowing
-(C-7) -> display columns (F-5) -> drop ``dst_addr``. On the fact side
-this is scan -> project -> BroadcastHashJoin -> project: no shuffle.
+deduplicated probe map (D-3; Spark broadcasts it below its byte threshold)
+-> narrowing (C-7) -> display columns (F-5) -> drop ``dst_addr``. On the fact
+side this is scan -> project -> join -> project: no shuffle while the map is
+small.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import (dst_addr_display, ipv4_to_int, ipv6_to_bytes, is_ipv6,
-                            src_addr_display)
+from ..functions.ip import dst_addr_display, ipv4_to_int, is_ipv6, src_addr_display, with_ipv6_bytes
 from ..operators.filters import downcast, parse_rtts
 from ..operators.joins import add_source_ip
 
@@ -22,11 +22,8 @@ OPT_COLUMNS = ["prb_id", "ts", "sent", "rcvd", "avg", "rtt_1", "rtt_2", "rtt_3",
 
 
 def add_dst_ip_columns(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "dst_is_ipv6": is_ipv6("dst_addr"),
-        "dst_ipv4_int": ipv4_to_int("dst_addr"),
-        "dst_ipv6_bytes": ipv6_to_bytes("dst_addr"),
-    })
+    df = df.withColumns({"dst_is_ipv6": is_ipv6("dst_addr"), "dst_ipv4_int": ipv4_to_int("dst_addr")})
+    return with_ipv6_bytes(df, "dst_addr", "dst_ipv6_bytes")
 
 
 def optimize_dataset(parsed: DataFrame, probe_map: DataFrame) -> DataFrame:

@@ -58,3 +58,14 @@ def test_display_columns(spark):
     out = df.select(IP.dst_addr_display().alias("d"), IP.src_addr_display().alias("s")).collect()
     assert [r.d for r in out] == ["2001:db8::1", "10.0.0.1", "10.0.0.1", "10.0.0.1"]
     assert [r.s for r in out] == [None, "10.0.0.2", None, None]
+
+
+def test_ipv6_bytes_as_a_column_of_a_table(spark):
+    more = ["2001:DB8::A", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.256", "::.1.2.3", "1:::2", ":", ":::", "::ffff:0:1.2.3.4", "12345::", "g::", "1.2.3.4:5"]
+    df = spark.createDataFrame([(x, "mine") for x in EDGE_IP + more], "ip string, kept string")
+    out = IP.with_ipv6_bytes(df, "ip", "packed")
+    assert out.columns == ["ip", "kept", "packed"]
+    for r in out.select("ip", F.hex("packed").alias("hex"), F.hex(IP.ipv6_to_bytes("ip")).alias("again")).collect():
+        assert r.hex == r.again == _py_v6(r.ip), r
+    plan = IP.with_ipv6_bytes(df, "ip", "packed")._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 6000 and plan.count("lower(") == 1     # no step is repeated
