@@ -518,6 +518,25 @@ def q_range_profile_sketch(spark, sf):
     return j.select("column", "min", "max", "n_unique", (F.abs(F.col("estimate") - F.col("n_unique")) <= 0.05 * F.col("n_unique")).alias("within_error"))
 
 
+# ---- the same operators on the larger table of edges
+def _big(operator):
+    def run(spark, sf):
+        apply_defaults(spark)
+        return operator(FX.edge_big(spark, sf))
+    return run
+
+
+BIG = {
+    "big_top_pairs": _big(lambda e: H.top_pairs(e, 10, 20)),
+    "big_summary": _big(G.summary),
+    "big_pair_latency_stats": _big(H.pair_latency_stats),
+    "big_autocorr_lag1": _big(I.autocorr_lag1),
+    "big_autocorr_multi": _big(lambda e: I.autocorr_multi(e, max_lag=60, min_n=60)),
+    "big_rolling_cv": _big(I.rolling_cv),
+    "big_trend": _big(H.trend),
+}
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_pairs": q_top_pairs,
     "parse_measurements": q_parse_measurements,
@@ -606,6 +625,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bounded_series_files": q_bounded_series_files,
     "range_profile_sketch": q_range_profile_sketch,
 }
+QUERIES.update(BIG)
 QUERIES.update(J.entry_queries(_opt, _edges))
 
 

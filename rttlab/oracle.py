@@ -6,7 +6,7 @@ and aggregates over the same fixture views (inlined as CTEs).
 
 from __future__ import annotations
 
-from .sources.fixtures import DUCK_PING, DUCK_PING_EDGE, DUCK_PROBE_IP_MAP
+from .sources.fixtures import DUCK_EDGE_BIG, DUCK_PING, DUCK_PING_EDGE, DUCK_PROBE_IP_MAP
 
 H = "100.0::double"
 
@@ -47,11 +47,13 @@ def pearson(x: str, y: str) -> str:
 
 TS = "make_timestamp(ts * 1000000)"
 
+EDGES = """edges as (select p.prb_id as src, m.dst_prb_id as dst, p.ts, p.avg, p.result, p.sent, p.rcvd
+          from ping p join probe_ip_map m on p.dst_addr = m.ip)"""
+
 BASE = f"""
 ping as ({DUCK_PING}),
 probe_ip_map as ({DUCK_PROBE_IP_MAP}),
-edges as (select p.prb_id as src, m.dst_prb_id as dst, p.ts, p.avg, p.result, p.sent, p.rcvd
-          from ping p join probe_ip_map m on p.dst_addr = m.ip),
+{EDGES},
 succ as (select * from edges where avg > 0 and sent = rcvd),
 parsed as (select prb_id, dst_addr, ts, sent, rcvd, avg,
                   try_cast(json_extract_string(result, '$[0].rtt') as double) as rtt_1,
@@ -580,3 +582,6 @@ ORACLE.update({
                                              from e where avg > 0) where rn <= 50""",
     "range_profile_sketch": q(f"""select *, true as within_error from ({_range_profile()})"""),
 })
+
+for _name in ("top_pairs", "summary", "pair_latency_stats", "autocorr_lag1", "autocorr_multi", "rolling_cv", "trend"):
+    ORACLE["big_" + _name] = ORACLE[_name].replace(EDGES, f"edges as ({DUCK_EDGE_BIG})")
