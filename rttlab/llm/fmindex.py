@@ -168,3 +168,17 @@ def op7_substring_dedup(spark, sf: str) -> DataFrame:
     """Words of ``documents`` inside windows of 35 words that occur elsewhere, removed."""
     out = substring_dedup(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = {"op7_substring_dedup": rf"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+d as (select row_number() over () as r, doc_id, w, len(w) as n from w),
+win as (select r, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) as m
+        from (select r, w, unnest(range(1, n - {WINDOW - 2})) as i from d where n >= {WINDOW})),
+twice as (select m from win group by m having count(*) > 1),
+gone as (select distinct r, i + k as i from win join twice using (m), range(0, {WINDOW}) t(k)),
+kept as (select d.r, string_agg(d.w[p.i], ' ' order by p.i) filter (g.i is null) as t, count(g.i) as n_removed
+         from (select r, unnest(range(1, n + 1)) as i from d) p join d using (r) left join gone g on g.r = p.r and g.i = p.i group by d.r)
+select doc_id, n::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (r)
+"""}

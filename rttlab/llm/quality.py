@@ -150,3 +150,31 @@ def op1_quality_rules(spark, sf: str) -> DataFrame:
     """Repetition coverage and verdict of every whole text of ``documents``."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     return quality_rules(docs).drop("text")
+
+
+ORACLE = {"op1_quality_rules": rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+words as (select r, w, i from (select r, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as w, unnest(range(1, 1 + len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')))) as i from d)),
+doc as (select r, list(w order by i) as w, count(*) as n_words, sum(length(w)) as word_chars from words group by r),
+grams as (select r, k.n, i, array_to_string(w[i:i + k.n - 1], ' ') as g
+          from (select r, w, unnest(range(1, n_words + 1)) as i, n_words from doc) cross join (values {", ".join(f"({n})" for n in (BASE_NGRAM, *NGRAM_LIMITS))}) k(n)
+          where i + k.n - 1 <= n_words),
+seen as (select r, n, i, row_number() over (partition by r, n, g order by i) as nth, count(*) over (partition by r, n, g) as c from grams),
+inside as (select distinct s.r, s.n, s.i + o.k as i from seen s, range(0, {max(NGRAM_LIMITS)}) o(k)
+           where o.k < s.n and case when s.n = {BASE_NGRAM} then s.c > 1 else s.nth > 1 end),
+chars as (select x.r, x.n, count(*) as words, sum(length(w.w)) as chars from inside x join words w on w.r = x.r and w.i = x.i group by x.r, x.n),
+ln as (select r, t, j, row_number() over (partition by r, t order by j) as nth
+       from (select r, unnest(string_split(text, chr(10))) as t, unnest(range(1, 1 + len(string_split(text, chr(10))))) as j from d)
+       where regexp_matches(t, '[^\x20\x09-\x0D]+')),
+lines as (select r, count(*) filter (nth > 1) as n_dup_lines, coalesce(sum(length(t)) filter (nth > 1), 0) as line_dup_chars, sum(length(t)) as line_chars from ln group by r),
+m as (select d.doc_id, coalesce(doc.n_words, 0) as n_words, coalesce(doc.word_chars, 0)::bigint as word_chars,
+             len(regexp_extract_all(d.text, '[#*$%&|<>]')) as n_symbols, coalesce(l.n_dup_lines, 0) as n_dup_lines,
+             coalesce(max(c.words) filter (c.n = {BASE_NGRAM}), 0) as n_repeat_words, coalesce(l.line_dup_chars, 0)::bigint as line_dup_chars,
+             coalesce(l.line_chars, 0)::bigint as line_chars,
+             {", ".join(f"coalesce(max(c.chars) filter (c.n = {n}), 0)::bigint as dup_chars_{n}" for n in NGRAM_LIMITS)}
+      from d left join doc using (r) left join lines l using (r) left join chars c on c.r = d.r group by all)
+select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {BASE_PERCENT} * n_words as base_failed,
+       not (n_words < {MIN_WORDS} or 100 * n_repeat_words > {BASE_PERCENT} * n_words) and not (line_chars > 0 and line_dup_chars > {LINE_LIMIT} * line_chars)
+       {" ".join(f"and not (word_chars > 0 and dup_chars_{n} > {x} * word_chars)" for n, x in NGRAM_LIMITS.items())} as kept
+from m
+"""}

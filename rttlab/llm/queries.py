@@ -12,7 +12,7 @@ QUERIES = {f.__name__: f for f in (
     html.op10_html_text, importance.op11_importance_resampling, mixing.op12_source_mixing,
     merkle.op13_merkle_manifest)} | {"pipeline": corpus_pipeline.run}
 
-ORACLE: dict[str, str] = {**exact.ORACLE, **urls.ORACLE, **warc.ORACLE, **importance.ORACLE, **mixing.ORACLE,
-                          **merkle.ORACLE}
+ORACLE: dict[str, str] = {**quality.ORACLE, **suffix.ORACLE, **fmindex.ORACLE, **exact.ORACLE, **urls.ORACLE, **warc.ORACLE, **importance.ORACLE,
+                          **mixing.ORACLE, **merkle.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

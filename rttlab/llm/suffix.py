@@ -177,7 +177,8 @@ def byte_unit(length: int = WINDOW, gram: int = GRAM) -> W.Unit:
 
 
 def suffix_dedup(docs: DataFrame, text: str = "text", length: int = WINDOW, gram: int = GRAM, hot_texts: int = W.HOT_TEXTS) -> DataFrame:
-    """``docs`` without ``text``, with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed`` and ``n_spans``.
+    """``docs`` without ``text``, with ``kept`` (remaining bytes), ``kept_text`` (the characters all of whose bytes remain),
+    ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     Every byte covered by a string of ``length`` bytes that starts at another
     place too is removed, judged on the input; matches never cross rows. Null
@@ -188,19 +189,49 @@ def suffix_dedup(docs: DataFrame, text: str = "text", length: int = WINDOW, gram
     unit = byte_unit(length, gram)
 
     def make(data: bytes, spans):
-        kept, at = [], 0
+        kept, whole, at, end = [], [], 0, 0
         for a, e in spans:
             kept.append(data[at:a])
-            at = e
-        kept = b"".join([*kept, data[at:]])
-        return kept, len(data), len(data) - len(kept), len(spans)
+            whole.append(data[end:_character(data, a)])
+            at, end = e, _character(data, e, 1)
+        kept, whole = (b"".join([*x, data[y:]]) for x, y in ((kept, at), (whole, end)))
+        return kept, whole.decode("utf-8", "replace"), len(data), len(data) - len(kept), len(spans)
 
-    return W.remove(docs, text, unit, make, [("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], hot_texts)
+    return W.remove(docs, text, unit, make, [("kept", "binary"), ("kept_text", "string"), ("n_bytes", "long"), ("n_removed", "long"),
+                                             ("n_spans", "long")], hot_texts)
+
+
+def _character(data: bytes, at: int, step: int = -1) -> int:
+    """The edge of a UTF-8 character next to ``at``, backwards or forwards."""
+    while 0 < at < len(data) and data[at] & 0xC0 == 0x80:
+        at += step
+    return at
 
 
 def op6_suffix_array_dedup(spark, sf: str) -> DataFrame:
-    """Bytes of ``documents`` inside 400-byte strings that occur elsewhere, removed. ``text`` is what remains; parts of
-    a character that a removed run cuts through are U+FFFD there (the digest is that of the bytes)."""
+    """Bytes of ``documents`` inside 400-byte strings that occur elsewhere, removed; ``text``: the characters that remain whole."""
     out = suffix_dedup(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
-                      F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.col("kept_text").alias("text"))
+
+
+ORACLE = {"op6_suffix_array_dedup": rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text, encode(coalesce(text, '')) as b,
+                  strlen(coalesce(text, ''))::bigint as n from documents),
+win as (select r, i, md5(b[i + 1:i + {WINDOW}]) as m from (select r, b, unnest(range(0, n - {WINDOW - 1})) as i from d where n >= {WINDOW})),
+hits as (select r, i, lag(i) over (partition by r order by i) as prev from win where m in (select m from win group by m having count(*) > 1)),
+runs as (select r, min(i) as a, max(i) + {WINDOW} as e from
+         (select r, i, sum((prev is null or i > prev + {WINDOW})::int) over (partition by r order by i) as run from hits) group by r, run),
+edges as (select r, a, e, coalesce(lag(e) over (partition by r order by a), 0) as before, lead(a) over (partition by r order by a) as after from runs),
+kept as (select d.r, string_agg(substr(hex(d.b), (2 * before + 1)::bigint, (2 * (a - before))::bigint)
+                                || case when after is null then substr(hex(d.b), (2 * e + 1)::bigint) else '' end, '' order by a) as h,
+                sum(e - a)::bigint as n_removed, count(*) as n_spans from edges join d using (r) group by d.r),
+chars as (select r, c, k, sum(strlen(c)) over (partition by r order by k) as e from
+          (select r, unnest(cs) as c, unnest(range(1, len(cs) + 1)) as k
+           from (select r, regexp_extract_all(text, '(?s).') as cs from d where r in (select r from runs)))),
+cut as (select distinct c.r, c.k from chars c join runs using (r) where runs.a < c.e and runs.e > c.e - strlen(c.c)),
+whole as (select c.r, string_agg(c.c, '' order by c.k) filter (cut.k is null) as t from chars c left join cut on cut.r = c.r and cut.k = c.k group by c.r)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(case when kept.r is null then b else unhex(h) end) as kept_sha256,
+       case when kept.r is null then text else coalesce(whole.t, '') end as text
+from d left join kept using (r) left join whole using (r)
+"""}
