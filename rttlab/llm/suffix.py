@@ -48,11 +48,12 @@ def dense(values: np.ndarray) -> np.ndarray:
 
 
 class Names:
-    """Numbers that stand for the next 7 (``keys``) and 28 (``names``) characters at each place, in their order."""
+    """Numbers that stand for the next 7 (``keys``) and 28 (``names``) characters at each place, in their order; zeros
+    follow for ``depth`` places past the end."""
 
     STEP = 4 * _CHUNK
 
-    def __init__(self, x: np.ndarray):
+    def __init__(self, x: np.ndarray, depth: int):
         self.n = n = len(x)
         self.keys = chunk_keys(x)
         names, step = dense(self.keys), _CHUNK
@@ -60,11 +61,8 @@ class Names:
             after = np.zeros(n, np.int64)
             after[:-step] = names[step:]
             names, step = dense(names * (n + 1) + after), 2 * step
-        self.names = names
-
-    def at(self, places: np.ndarray) -> np.ndarray:
-        """Names, 0 past the end."""
-        return np.where(places < self.n, self.names[np.minimum(places, self.n - 1)], 0)
+        self.names = np.concatenate([names, np.zeros(depth + self.STEP, np.int64)])
+        self.keys = np.concatenate([self.keys, np.zeros(depth + self.STEP, np.int64)])
 
 
 def sort_directly(names: Names, places: np.ndarray, depth: int) -> np.ndarray:
@@ -81,7 +79,7 @@ def sort_directly(names: Names, places: np.ndarray, depth: int) -> np.ndarray:
         at += Names.STEP
         if at >= depth or not len(where):
             return order
-        k = group * (names.n + 1) + names.at(order[where] + at)
+        k = group * (names.n + 1) + names.names[order[where] + at]
         o = np.argsort(k)
         order[where], group = order[where][o], k[o]
 
@@ -93,7 +91,7 @@ def suffix_array(x: np.ndarray, depth: int, names: Names | None = None) -> np.nd
         return np.zeros(0, np.int64)
     x = x.astype(np.int16, copy=False)
     small = smaller_than_next(x)
-    direct = sort_directly(names or Names(x), np.flatnonzero(small), depth)
+    direct = sort_directly(names or Names(x, depth), np.flatnonzero(small), depth)
     top = int(x.max()) + 1
     cuts = np.searchsorted(x[direct], np.arange(top + 1))
     induced: list[list[np.ndarray]] = [[] for _ in range(top)]
@@ -127,28 +125,27 @@ def suffix_array(x: np.ndarray, depth: int, names: Names | None = None) -> np.nd
 
 
 def adjacent_common(names: Names, order: np.ndarray, most: int) -> np.ndarray:
-    """Length of the common prefix of each suffix with the one before it in ``order``, up to ``most``."""
-    n = names.n
+    """Length of the common prefix of each suffix with the one before it in ``order``: up to ``most``, and to the
+    character where the last 28 before ``most`` decide; shorter ones in whole steps of 28.
+
+    Every suffix ends in a character of its own text's end (0), so keys past the end compare as zeros.
+    """
     out = np.zeros(len(order), np.int64)
     a, b, where, at = order[:-1], order[1:], np.arange(1, len(order)), 0
-    # whole names while they agree, then keys, then the characters of the differing key
-    while len(where) and at < most:
-        x, y = names.at(a + at), names.at(b + at)
-        same = (x == y) & (x > 0)
-        ended = ~same
-        s, t, w = a[ended] + at, b[ended] + at, where[ended]
-        done = np.full(len(w), at)
-        for _ in range(4):
-            inside = (s < n) & (t < n)
-            d = np.where(inside, names.keys[np.minimum(s, n - 1)] ^ names.keys[np.minimum(t, n - 1)], -1)
-            equal = d == 0
-            bits = np.frexp(np.where(d > 0, d, 1).astype(np.float64))[1]  # place of the highest differing bit
-            common = np.where(d > 0, (_CHUNK * _CHAR_BITS - bits) // _CHAR_BITS, 0)
-            out[w[~equal]] = (done + common)[~equal]
-            s, t, w, done = s[equal] + _CHUNK, t[equal] + _CHUNK, w[equal], done[equal] + _CHUNK
-        out[w] = done
+    while len(where) and at + Names.STEP <= most:  # whole names while they agree
+        same = names.names[a + at] == names.names[b + at]
+        out[where] = at
         a, b, where = a[same], b[same], where[same]
         at += Names.STEP
+    # then keys, then the characters of the differing key
+    while len(where) and at < most:
+        out[where] = at
+        d = names.keys[a + at] ^ names.keys[b + at]
+        bits = np.frexp(np.where(d > 0, d, 1).astype(np.float64))[1]  # place of the highest differing bit
+        same = d == 0
+        out[where] += np.where(same, _CHUNK, (_CHUNK * _CHAR_BITS - bits) // _CHAR_BITS)
+        a, b, where = a[same], b[same], where[same]
+        at += _CHUNK
     out[where] = most
     return np.minimum(out, most)
 
@@ -160,7 +157,7 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length
     x = np.zeros(len(items) + n, np.int16)  # a separator, 0, ends each text
     text = np.repeat(np.arange(n), np.diff(offs))
     x[np.arange(len(items)) + text] = items.astype(np.int16) + 1
-    names = Names(x)
+    names = Names(x, length)
     order = suffix_array(x, length, names)
     common = adjacent_common(names, order, length)
     weight = np.repeat(copies, np.diff(offs) + 1)  # of each place, separators included
