@@ -75,27 +75,27 @@ def route(capacity: dict, members: dict, quota: dict, max_repeats: int = MAX_REP
         for start in members:
             while spare[start] > 0:
                 # patterns and sources reached, each with the node before it
-                before, sources, queue, end = {start: None}, {}, deque([start]), None
-                while queue and end is None:
+                before, sources, queue, end = {start: None}, {}, deque([start]), []  # end: a source (which may be None)
+                while queue and not end:
                     p = queue.popleft()
                     for s in members[p]:
                         if s in sources:
                             continue
                         sources[s] = p
                         if left[s] > 0:
-                            end = s
+                            end = [s]
                             break
                         for q in into.get(s, ()):
                             if q not in before:
                                 before[q] = s
                                 queue.append(q)
-                if end is None:
+                if not end:
                     break
-                path, s, amount = [], end, min(spare[start], left[end])
+                path, s, amount = [], end[0], min(spare[start], left[end[0]])
                 while True:
                     p = sources[s]
                     path.append((p, s, 1))
-                    if before[p] is None:
+                    if p == start:
                         break
                     s = before[p]
                     path.append((p, s, -1))
@@ -107,7 +107,7 @@ def route(capacity: dict, members: dict, quota: dict, max_repeats: int = MAX_REP
                     else:
                         into[s].pop(p)
                 spare[start] -= amount
-                left[end] -= amount
+                left[end[0]] -= amount
     return {k: v for k, v in flow.items() if v}
 
 
