@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rttlab.session import shared_path
+from rttlab.session import persist_table, shared_path
 
 from . import spans as S
 
@@ -270,9 +270,19 @@ def merge_index(runs: DataFrame, parts: int) -> DataFrame:
 
 
 def capture_history(index: DataFrame) -> DataFrame:
-    """``index`` with the previous capture of the same URL key in its range (null for the range's first)."""
-    w = Window.partitionBy("index_part", "url_key").orderBy("index_row")
-    return index.withColumn("previous_page", F.lag("page_id").over(w))
+    """``index`` with the previous capture of the same URL key as ``previous_page`` (null for the key's first).
+
+    Within a range by a window; a range's first row of a key takes the last of
+    the key's range before, of which there is one row per range and key.
+    """
+    index = persist_table(index, "capture-index")  # read twice: its ranges stay what they are
+    here = Window.partitionBy("index_part", "url_key").orderBy("index_row")
+    last = index.groupBy("url_key", "index_part").agg(F.max_by("page_id", "index_row").alias("last"))
+    before = last.select(F.col("url_key").alias("k"), F.col("index_part").alias("p"),
+                         F.lag("last").over(Window.partitionBy("url_key").orderBy("index_part")).alias("before"))
+    rows = (index.withColumn("first", F.row_number().over(here) == 1).withColumn("inner", F.lag("page_id").over(here))
+            .join(before, F.col("url_key").eqNullSafe(F.col("k")) & (F.col("index_part") == F.col("p"))))
+    return rows.select(*index.columns, F.when(F.col("first"), F.col("before")).otherwise(F.col("inner")).alias("previous_page"))
 
 
 def build_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
