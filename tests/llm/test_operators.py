@@ -308,6 +308,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.build_archives(empty, str(tmp_path / "e")).count() == 0
 
 
+def test_capture_history_crosses_ranges(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["http://a.org/", "http://a.org/x", "http://b.org/", None]), f"page {i}", f"2024-01-{1 + rng.randrange(28):02d}T00:00:00Z") for i in range(120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, captured string").repartition(3)
+    index = warc.build_archives(pages, str(tmp_path / "w"))
+    assert len({r.index_part for r in index.collect()}) > 2
+    got = {r.page_id: r.previous_page for r in warc.capture_history(index).collect()}
+    want, last = {}, {}
+    for i, url, _, at in sorted(rows, key=lambda r: (r[1] or "", r[3], r[0])):
+        want[i] = last.get(url)
+        last[url] = i
+    assert got == want
+
+
 @pytest.mark.parametrize("ends", [0, 1, 2, 3, 4])
 def test_warc_archive_ends_in_line_ends(spark, tmp_path, ends):
     body = "A\r\nB" + "\r\n" * ends
