@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 512 << 10
-BATCH_ROWS = 1_000  # of an Arrow batch
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20  # of an Arrow batch
 
 U64 = np.uint64
 _MIX1, _MIX2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -27,8 +27,12 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow`` in batches of BATCH_ROWS rows, so that a worker holds a few MB of texts at a time."""
+    """``df.mapInArrow`` in batches of at most BATCH_ROWS rows and (but for one longer row) BATCH_BYTES bytes.
+
+    The limits are settings of the session and stay set: they count when the result is computed.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 
