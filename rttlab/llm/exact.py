@@ -83,7 +83,8 @@ def dedup_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", d
                  F.monotonically_increasing_id().alias("locator"), digest(norm).alias("digest"))
      .write.parquet(landing))
     rows = spark.read.parquet(landing)
-    registry = _registry(spark, landing, rows.schema)
+    # written, so that both sides of the join are plain exchanges and Spark can split a digest with many rows
+    registry = persist_table(_registry(spark, landing, rows.schema), "dedup-state")
     out = rows.join(registry, "digest")
 
     # Full bytes of the hits against the content that the state points at.
