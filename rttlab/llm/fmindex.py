@@ -57,17 +57,33 @@ class WaveletTree:
 
 
 def suffix_order(x: np.ndarray, depth: int) -> np.ndarray:
-    """Places ordered by at least ``depth`` symbols, by doubling."""
-    _, rank = np.unique(x, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    known = 1
-    while known < depth and rank.max(initial=0) < len(x):
-        after = np.zeros(len(x), np.int64)
-        after[:-known] = rank[known:]
-        _, rank = np.unique(rank * (len(x) + 2) + after, return_inverse=True)
-        rank = rank.astype(np.int64) + 1
+    """Places ordered by at least ``depth`` symbols: by three at first, then by doubling, of those not yet told apart."""
+    n = len(x)
+    m = int(x.max(initial=0)) + 2
+    known = 3 if m < 1 << 20 else 1
+    key = np.zeros(n, np.int64)
+    padded = np.concatenate([x.astype(np.int64) + 1, np.zeros(known, np.int64)])
+    for j in range(known):
+        key = key * m + padded[j:j + n]
+    order = np.argsort(key)
+    sorted_key = key[order]
+    new = np.ones(n, bool)
+    new[1:] = sorted_key[1:] != sorted_key[:-1]
+    rank = np.zeros(n + 2 * depth + 2, np.int64)  # place of the group in the order, from 1; zeros past the end
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + 1
+    slots = np.flatnonzero(~(new & np.append(new[1:], True))) if n else np.zeros(0, np.int64)  # in groups of several
+    while known < depth and len(slots):
+        at = order[slots]
+        group, next_ = rank[at], rank[at + known]
+        o = np.argsort(group * (n + 1) + next_)
+        at, group, next_ = at[o], group[o], next_[o]
+        order[slots] = at
+        new = np.ones(len(slots), bool)
+        new[1:] = (group[1:] != group[:-1]) | (next_[1:] != next_[:-1])
+        rank[at] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))] + 1
+        slots = slots[~(new & np.append(new[1:], True))]
         known *= 2
-    return np.argsort(rank, kind="stable")
+    return order
 
 
 class FMIndex:
@@ -83,9 +99,10 @@ class FMIndex:
         self.n = len(x)
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of the patterns with ``symbol`` put before them."""
+        """Intervals of the patterns with ``symbol`` put before them; both ends go down the tree together."""
         base = self.before[symbol] - self.origin[symbol]
-        return base + self.tree.descend(symbol, lo), base + self.tree.descend(symbol, hi)
+        down = self.tree.descend(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        return base + down[:len(lo)], base + down[len(lo):]
 
 
 def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
@@ -95,7 +112,9 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length
     From the end of a window the match is extended to the left while it occurs
     twice. If it ends after d words, the word before it is the first that no
     later window with a match may contain together with this end: the search
-    goes on behind it.
+    goes on behind it. Where a window matched, and in texts with copies, the
+    search starts some windows further on; if the match then reaches back to the
+    first, all of them occur twice, else they are searched one by one.
     """
     n = len(offs) - 1
     _, ids = np.unique(items, return_inverse=True)
@@ -103,26 +122,32 @@ def find_repeats(items: np.ndarray, offs: np.ndarray, copies: np.ndarray, length
     n_words = int(ids.max()) + 1 if len(ids) else 0
     x = np.zeros(len(items) + n, np.int64)  # a separator, 0, ends each text
     x[np.arange(len(items)) + text] = ids + 1
-    index = FMIndex(x, n_words + 1, length, np.repeat(copies, np.diff(offs) + 1))
-    hit = np.zeros(len(items), bool)
+    most = (1 << int(length).bit_length()) - 1 - length  # windows ahead that cost the index no further round of sorting
+    index = FMIndex(x, n_words + 1, length + most, np.repeat(copies, np.diff(offs) + 1))
+    found = np.zeros(len(items) + 1, np.int64)  # +1 where a run of matching windows begins, -1 behind it
     rows = np.flatnonzero(np.diff(offs) >= length)
     window, stop = offs[rows], offs[rows + 1] - length  # next window start, last window start
-    depth = np.zeros(len(rows), np.int64)
-    lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), index.n, np.int64)
-    while len(rows):
-        at = window + length - 1 - depth
-        lo, hi = index.extend(ids[at] + 1, lo, hi)
+    ahead = np.where(copies[rows] > 1, np.minimum(most, stop - window), 0)
+    depth, lo, hi = (np.zeros(len(rows), np.int64) for _ in range(3))
+    while len(window):
+        at = window + ahead + length - 1 - depth
+        symbol, more = ids[at] + 1, np.flatnonzero(depth)
+        low, high = index.extend(symbol[more], lo[more], hi[more])
+        lo, hi = index.before[symbol], index.before[symbol + 1]  # of patterns of one word
+        lo[more], hi[more] = low, high
         ends = index.weight[hi] - index.weight[lo] < 2  # found nowhere but here
         depth = depth + ~ends
-        whole = depth == length
-        hit[window[whole]] = True
-        window = np.where(ends, at + 1, np.where(whole, window + 1, window))
+        whole = depth == length + ahead
+        found[window[whole]] += 1
+        np.subtract.at(found, window[whole] + ahead[whole] + 1, 1)
+        single = ends & (ahead == 0)
+        window = np.where(single, at + 1, np.where(whole, window + ahead + 1, window))
         again = ends | whole
+        ahead = np.where(whole, np.minimum(most, stop - window), np.where(ends, 0, ahead))
         depth[again] = 0
-        lo[again], hi[again] = 0, index.n
         go = window <= stop
-        rows, window, stop, depth, lo, hi = rows[go], window[go], stop[go], depth[go], lo[go], hi[go]
-    return hit
+        window, stop, ahead, depth, lo, hi = window[go], stop[go], ahead[go], depth[go], lo[go], hi[go]
+    return np.cumsum(found[:-1]) > 0
 
 
 def word_unit(length: int = WINDOW, gram: int = GRAM) -> W.Unit:
