@@ -115,6 +115,51 @@ def test_compact_without_shuffle_in_time_order(spark, tmp_dir):
     assert "Exchange" not in plan
 
 
+def _sorted_files(spark, out, order):
+    """Rows of each file in name order, after a look at the order within."""
+    found = []
+    for f in sorted(B.file_ledger(spark, out).collect(), key=lambda r: r.file):
+        rows = spark.read.parquet(f.path).coalesce(1).collect()
+        keys = [(r[order] is not None, r[order] or 0) for r in rows]  # nulls first
+        assert keys == sorted(keys)
+        found.append(rows)
+    return found
+
+
+def test_compact_writes_the_files_it_counts(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "parts")
+    spark.range(1000).repartition(20).write.parquet(src)
+    before = spark.conf.get("spark.sql.unionOutputPartitioning", None)
+    for order in (None, "id"):
+        out = os.path.join(tmp_dir, f"out-{order}")
+        assert B.compact(spark, src, out, target_files=4, order=order) == B.file_ledger(spark, out).count() == 4
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(1000))
+    assert spark.conf.get("spark.sql.unionOutputPartitioning", None) == before
+
+
+def test_compact_sorts_large_files_in_pieces(spark, tmp_dir, monkeypatch):
+    src, out, one = (os.path.join(tmp_dir, n) for n in ("parts", "compact", "one"))
+    rows = spark.range(6000)
+    # half of the rows share a value, some have none; names that the pieces use, too; the second half of the files is of the second run
+    ts = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 97 == 0, None).otherwise(F.col("id") * 7919 % 6007)
+    rows = rows.select(ts.alias("ts"), F.col("id").alias("run"), F.concat(F.lit("r"), F.col("id")).alias("row"),
+                       F.col("id").alias("key"), F.lit(None).cast("string").alias("a.b"), (F.col("id") >= 3000).cast("int").alias("half"))
+    rows.repartition(8).write.partitionBy("half").parquet(src)
+    monkeypatch.setattr(B, "SORT_ROWS", 300)
+    pieces, real = [], B.shared_path
+    monkeypatch.setattr(B, "shared_path", lambda *a: pieces.append(real(*a)) or pieces[-1])
+    assert B.compact(spark, src, out, target_files=2, order="ts") == 2
+    files = _sorted_files(spark, out, "ts")
+    assert [len(f) for f in files] == [3000, 3000]
+    assert [{r.run >= 3000 for r in f} for f in files] == [{False}, {True}]  # each file holds its run's rows
+    assert sorted((r for f in files for r in f), key=lambda r: r.run) == rows.drop("half").orderBy("run").collect()
+    counts = [spark.read.parquet(r.path).count() for r in B.file_ledger(spark, pieces[0]).collect()]
+    assert len(counts) >= 20 and max(counts) <= 900  # no task sorts much more than it should, however many rows share a value
+    monkeypatch.setattr(B, "JOB_SCANS", 5)  # a job for each file
+    assert B.compact(spark, src, one, target_files=2, order="ts") == B.file_ledger(spark, one).count() == 2
+    assert spark.read.parquet(one).count() == 6000
+
+
 def test_size_report_by_value(spark, tmp_dir):
     p = ping(spark, SF)
     src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
